@@ -1,10 +1,607 @@
-"""The registered queries of the forum library and their SQL."""
+"""The registered queries of the forum library, each beside the SQL with the same result."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from ..functions import chunking, tagging, textops
+from ..functions.textops import BREAKS, ENTITIES, SPACE
+from ..functions.vocab import LATIN, NO_CATEGORY
+from ..operators import archive, quality, retrieval, sampling
+from ..sources import pages
+from ..streaming import incremental, streams
+from . import fixtures
+from .fixtures import PAGE_SIZE, THREADS, table
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def register(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(query: Query) -> Query:
+        QUERIES[query.__name__] = query
+        if sql is not None:
+            ORACLE_SQL[query.__name__] = sql
+        return query
+
+    return add
+
+
+# --- pieces of SQL ---------------------------------------------------------------
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _strip(t: str) -> str:
+    return f"regexp_replace({t}, '^[{SPACE}]+|[{SPACE}]+$', '', 'g')"
+
+
+def _tidy(t: str) -> str:
+    t = f"replace(replace({t}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+    t = f"replace(replace({t}, chr(12288), ' '), chr(65533), '')"
+    return _strip(f"regexp_replace(regexp_replace({t}, '[ \\t]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g')")
+
+
+def _clean(t: str) -> str:
+    for tag in BREAKS:
+        t = f"regexp_replace({t}, {_q(tag)}, chr(10), 'g')"
+    t = f"regexp_replace({t}, '<[^>]+>', '', 'g')"
+    for name, char in ENTITIES:
+        t = f"replace({t}, {_q(name)}, {_q(char)})"
+    return _tidy(t)
+
+
+def _list(words: Sequence[str]) -> str:
+    return "[" + ", ".join(_q(w) for w in words) + "]"
+
+
+def _in(text: str, words: Sequence[str]) -> str:
+    return f"list_filter({_list(words)}, lambda w: contains({text}, w))"
+
+
+POSTS = """(SELECT doc_id AS tid, CAST(regexp_extract(source, '(\\d+)', 1) AS INT) AS fid, source AS board, text AS content,
+    substr(text, 1, 40) AS title, lang AS author FROM documents)"""
+CONV = f"""(SELECT conv_id AS tid, conv_id % 7 AS fid, 'b' || (conv_id % 7) AS board, 'thread ' || conv_id AS title, role AS author, turn + 1 AS floor,
+    turn // {PAGE_SIZE} + 1 AS page, turn % {PAGE_SIZE} + 1 AS position, '2026-4-3 10:' || (turn + 10) || ':36' AS post_time, text AS content FROM conversations)"""
+LISTED = f"""(SELECT user_id AS fid, event_id % 3 + 1 AS page, event_id AS pos, event_id % {THREADS} AS tid,
+    event_type || ' ' || (event_id % {THREADS}) AS title FROM events)"""
+SCAN = "title || chr(10) || substr(content, 1, 500)"
+STICKY = f"(SELECT tid FROM {LISTED} GROUP BY tid HAVING count(DISTINCT fid) >= 3)"
+_FIRST = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tid ORDER BY fid, page, pos) AS rn FROM {LISTED}) WHERE rn = 1"
+
+
+# --- text -----------------------------------------------------------------------
+
+
+@register(f"SELECT page_id, {_clean('html')} AS content FROM pages")
+def clean_html_pages(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", textops.clean_html(F.col("html"), numeric=False).alias("content"))
+
+
+LIST_LINK = r'(?s)<li><a href="([^"]*)">(.*?)</a>'
+
+
+@register(
+    f"""SELECT page_id, regexp_extract(link, {_q(LIST_LINK)}, 1) AS href, {_strip(f"regexp_replace(regexp_extract(link, {_q(LIST_LINK)}, 2), '<[^>]+>', '', 'g')")} AS title
+    FROM (SELECT page_id, unnest(regexp_extract_all(html, {_q(LIST_LINK)})) AS link FROM pages)"""
+)
+def page_links(spark, sf_dir):
+    links = table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit(LIST_LINK), F.lit(0))).alias("link"))
+    return links.select("page_id", F.regexp_extract("link", LIST_LINK, 1).alias("href"), textops.strip(textops.strip_tags(F.regexp_extract("link", LIST_LINK, 2))).alias("title"))
+
+
+@register(f"SELECT DISTINCT tid, page, 'thread' AS kind FROM {CONV}")
+def page_id_from_url(spark, sf_dir):
+    rendered = fixtures.rendered_thread_pages(spark, sf_dir).select("url")
+    return pages.page_identity(rendered).select("tid", "page", "kind")
+
+
+@register(f"SELECT tid, page, position, author, post_time, {_tidy('content')} AS content FROM {CONV}")
+def thread_page_posts(spark, sf_dir):
+    named = pages.page_identity(fixtures.rendered_thread_pages(spark, sf_dir))
+    good, _ = pages.split_errors(named)
+    posts = pages.number_in_page(pages.thread_posts(good, numeric=False), ["tid", "page"])
+    return posts.select("tid", "page", "position", "author", "post_time", "content")
+
+
+@register(f"SELECT fid, pos // 10 % 40 + 1 AS page, tid, title || ' ' || pos AS title FROM {LISTED}")
+def board_page_threads(spark, sf_dir):
+    named = pages.page_identity(fixtures.rendered_board_pages(spark, sf_dir)).drop("tid")
+    return pages.thread_listings(named).select("fid", "page", "tid", "title")
+
+
+@register(f"SELECT fid, pos // 10 % 40 + 1 AS page, max(pos % 50 + 1) AS last_page FROM {LISTED} GROUP BY ALL")
+def board_max_page(spark, sf_dir):
+    named = pages.page_identity(fixtures.rendered_board_pages(spark, sf_dir))
+    return named.select("fid", "page", pages.max_page(F.col("html"), pages.BOARD_PAGE).alias("last_page"))
+
+
+@register(
+    f"""WITH last AS (SELECT fid, max(pos % 50 + 1) AS n FROM {LISTED} GROUP BY fid),
+    wanted AS (SELECT fid, unnest(range(1, n + 1)) AS page FROM last)
+    SELECT fid, page FROM wanted EXCEPT SELECT fid, pos // 10 % 40 + 1 FROM {LISTED}"""
+)
+def fetch_frontier(spark, sf_dir):
+    named = pages.page_identity(fixtures.rendered_board_pages(spark, sf_dir))
+    last = named.groupBy("fid").agg(F.max(pages.max_page(F.col("html"), pages.BOARD_PAGE)).alias("last"))
+    return pages.frontier(last, "fid", "last", named)
+
+
+@register(f"SELECT doc_id, {_tidy(chr(39) + '  ' + chr(39) + ' || text || chr(13) || chr(10) || chr(9) || chr(12288)')} AS norm FROM documents")
+def normalize_text(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", textops.normalize(F.concat(F.lit("  "), "text", F.lit("\r\n\t　"))).alias("norm"))
+
+
+@register("SELECT doc_id, chr(CAST(65 + doc_id % 26 AS INT)) || chr(CAST(20013 + doc_id % 50 AS INT)) || '<' || substr(text, 1, 5) AS decoded FROM documents")
+def numeric_entities(spark, sf_dir):
+    number = F.format_string("&#%d;&#x%s;&amp;lt;", 65 + F.pmod("doc_id", F.lit(26)), F.lower(F.hex(20013 + F.pmod("doc_id", F.lit(50)))))
+    return table(spark, sf_dir, "documents").select("doc_id", textops.decode_entities(F.concat(number, F.substring("text", 1, 5))).alias("decoded"))
+
+
+@register(
+    f"""SELECT doc_id, len(list_filter(string_split(regexp_replace(text, '([。？！.?!])[{SPACE}]*', '\\1' || chr(30), 'g'), chr(30)), lambda s: {_strip('s')} <> '')) AS n_sentences FROM documents"""
+)
+def sentence_count(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(chunking.sentences(F.col("text"))).alias("n_sentences"))
+
+
+@register(
+    f"""SELECT doc_id, w AS chunk FROM (SELECT doc_id, unnest(list_transform(range(0, length(text), 1300), lambda s: {_strip('substr(text, s + 1, 1500)')})) AS w FROM documents) WHERE w <> ''"""
+)
+def fixed_windows(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(chunking.windows(F.col("text"), 1500, 200)).alias("chunk"))
+
+
+@register()
+def chunk_documents(spark, sf_dir):
+    posts = tagging.with_tags(fixtures.document_posts(spark, sf_dir), LATIN)
+    chunks = chunking.to_chunks(posts, 1500, 200, LATIN)
+    return chunks.select("id", "text", "source.chunk_index", "source.chunk_count", "source.cues", "source.source_label")
+
+
+@register()
+def chunk_stats(spark, sf_dir):
+    posts = fixtures.document_posts(spark, sf_dir)
+    return chunking.chunk_statistics(posts, chunking.to_chunks(posts, 1500, 200, LATIN))
+
+
+_CUES = "concat_ws(',', " + ", ".join(f"CASE WHEN len({_in('title || chr(10) || norm', w)}) > 0 THEN {_q(n)} END" for n, w in LATIN.cues.items()) + ")"
+_NORM = f"(SELECT *, {_tidy('content')} AS norm FROM {POSTS})"
+
+
+@register(f"SELECT tid, {_CUES} AS cues FROM {_NORM}")
+def cues(spark, sf_dir):
+    posts = fixtures.document_posts(spark, sf_dir)
+    return posts.select("tid", chunking.cues(F.col("title"), textops.normalize(F.col("content")), LATIN).alias("cues"))
+
+
+_HAY = "title || chr(10) || substr(norm, 1, 800)"
+_LABEL = "coalesce(" + ", ".join(f"nullif(regexp_extract({_HAY}, {_q(p)}, 0), '')" for p in LATIN.labels) + ", '')"
+
+
+@register(f"SELECT tid, {_LABEL} AS label FROM {_NORM}")
+def source_label(spark, sf_dir):
+    posts = fixtures.document_posts(spark, sf_dir)
+    return posts.select("tid", chunking.source_label(F.col("title"), textops.normalize(F.col("content")), LATIN.labels).alias("label"))
+
+
+_ROLES = _in("content", LATIN.roles)
+
+
+@register(
+    f"""SELECT tid, '【' || board || '】《' || title || '》第1楼｜' || author || '｜2026-4-3 10:52:36' || chr(10) || '链接: {fixtures.BASE}/forum.php?mod=viewthread&tid=' || tid || chr(10)
+    || CASE WHEN len(roles) > 0 THEN '标签: ' || array_to_string(roles, '，') || chr(10) ELSE '' END
+    || CASE WHEN cues <> '' THEN '语义线索: ' || cues || chr(10) ELSE '' END || chr(10) AS prefix
+    FROM (SELECT *, {_ROLES} AS roles, {_CUES} AS cues FROM {_NORM})"""
+)
+def chunk_prefix(spark, sf_dir):
+    posts = fixtures.document_posts(spark, sf_dir)
+    posts = posts.withColumn("tags", tagging.contained(F.col("content"), LATIN.roles)).withColumn("cues", chunking.cues(F.col("title"), textops.normalize(F.col("content")), LATIN))
+    names = ("board", "title", "floor", "author", "post_time", "url", "tags", "cues")
+    return posts.select("tid", chunking.chunk_prefix(*[F.col(n) for n in names]).alias("prefix"))
+
+
+# --- tags -----------------------------------------------------------------------
+
+# the documents hold no season words: a title and a content with some are put before them
+SEASONED = """(SELECT doc_id AS tid, CASE doc_id % 5 WHEN 0 THEN (2000 + doc_id % 30) || '年 ' WHEN 1 THEN lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') || '春 '
+    WHEN 2 THEN 'x' || lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') || ' 秋 ' WHEN 3 THEN '暑 寒 ' ELSE '' END || substr(text, 1, 20) AS title,
+    CASE WHEN doc_id % 3 = 0 THEN '1998 ' ELSE '' END || text AS content FROM documents)"""
+_SHORT = f"(\\p{{Nd}}{{2}})[{SPACE}]*([春秋暑寒])"
+_YY = "CAST(nullif(regexp_extract(title, '{0}', 1), '') AS INT)"
+_YEAR = f"""coalesce(nullif(regexp_extract(title, '(?:19|20)\\p{{Nd}}{{2}}', 0), ''), nullif(regexp_extract({SCAN}, '(?:19|20)\\p{{Nd}}{{2}}', 0), ''),
+    CAST({_YY.format('^' + _SHORT)} + CASE WHEN {_YY.format('^' + _SHORT)} < 50 THEN 2000 ELSE 1900 END AS VARCHAR),
+    CAST({_YY.format(_SHORT)} + CASE WHEN {_YY.format(_SHORT)} <= 50 THEN 2000 ELSE 1900 END AS VARCHAR), '')"""
+_SEASON = f"""coalesce(nullif(regexp_extract(title, '{_SHORT}', 2), ''), nullif(regexp_extract({SCAN}, '{_SHORT}', 2), ''),
+    {", ".join(f"CASE WHEN contains(substr(title, 1, 30), '{s}') THEN '{s}' END" for s in "暑寒春秋")}, '')"""
+
+
+def _seasoned(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    two = F.lpad(F.pmod("doc_id", F.lit(100)).cast("string"), 2, "0")
+    kind = F.pmod("doc_id", F.lit(5))
+    start = (
+        F.when(kind == 0, F.concat((2000 + F.pmod("doc_id", F.lit(30))).cast("string"), F.lit("年 ")))
+        .when(kind == 1, F.concat(two, F.lit("春 ")))
+        .when(kind == 2, F.concat(F.lit("x"), two, F.lit(" 秋 ")))
+        .when(kind == 3, F.lit("暑 寒 "))
+        .otherwise(F.lit(""))
+    )
+    content = F.concat(F.when(F.pmod("doc_id", F.lit(3)) == 0, F.lit("1998 ")).otherwise(F.lit("")), "text")
+    return d.select(F.col("doc_id").alias("tid"), F.concat(start, F.substring("text", 1, 20)).alias("title"), content.alias("content"))
+
+
+@register(f"SELECT tid, {_YEAR} AS year, {_SEASON} AS season FROM {SEASONED}")
+def classify_year_season(spark, sf_dir):
+    found = tagging.classify(F.col("title"), F.col("content"), vocab=LATIN)
+    return _seasoned(spark, sf_dir).select("tid", found["year"].alias("year"), found["season"].alias("season"))
+
+
+_EVENT = f"coalesce({_in('substr(title, 1, 40)', LATIN.event_types)}[1], {_in('title', LATIN.event_types)}[1], '')"
+_ACTIVITY = f"coalesce({_in('title', LATIN.activity_types)}[1], {_in(f'substr({SCAN}, 1, 200)', LATIN.activity_types)}[1], '')"
+
+
+@register(f"SELECT tid, {_EVENT} AS event_type, {_ACTIVITY} AS activity_type FROM {POSTS}")
+def classify_event_activity(spark, sf_dir):
+    found = tagging.classify(F.col("title"), F.col("content"), vocab=LATIN)
+    return fixtures.document_posts(spark, sf_dir).select("tid", found["event_type"].alias("event_type"), found["activity_type"].alias("activity_type"))
+
+
+_ROUTES, _PROBLEMS = _in(SCAN, LATIN.routes), _in("content", LATIN.problems)
+
+
+@register(f"SELECT tid, array_to_string({_ROUTES}, '|') AS routes, array_to_string({_ROLES}, '|') AS roles, array_to_string({_PROBLEMS}, '|') AS problems FROM {POSTS}")
+def classify_vocab_lists(spark, sf_dir):
+    found = tagging.classify(F.col("title"), F.col("content"), vocab=LATIN)
+    return fixtures.document_posts(spark, sf_dir).select("tid", *[F.array_join(found[k], "|").alias(k) for k in ("routes", "roles", "problems")])
+
+
+_ALL_TAGS = f"""list_concat([{_YEAR}, CASE WHEN {_SEASON} = '' THEN '' WHEN length({_YEAR}) = 4 THEN substr({_YEAR}, 3, 2) || {_SEASON} ELSE {_SEASON} END, {_EVENT}, {_ACTIVITY}],
+    {_ROUTES}, {_ROLES}, {_PROBLEMS}, ['b'])"""
+
+
+@register(
+    f"""SELECT tid, string_agg(tag, '|' ORDER BY spot) AS tags FROM (
+        SELECT tid, tag, min(spot) AS spot FROM (SELECT tid, unnest(tags) AS tag, generate_subscripts(tags, 1) AS spot FROM (SELECT tid, {_ALL_TAGS} AS tags FROM {SEASONED}))
+        WHERE tag <> '' GROUP BY tid, tag) GROUP BY tid"""
+)
+def merged_tags(spark, sf_dir):
+    posts = _seasoned(spark, sf_dir).withColumn("board", F.lit("b·2026"))
+    return tagging.with_tags(posts, LATIN).select("tid", F.array_join("tags", "|").alias("tags"))
+
+
+_TAGGED = f"(SELECT tid, author, unnest(list_distinct(list_concat({_ROUTES}, {_ROLES}, {_PROBLEMS}, list_filter([{_EVENT}, {_ACTIVITY}, {_YEAR}], lambda x: x <> '')))) AS tag FROM {POSTS})"
+
+
+@register(f"SELECT author, tag, count(*) AS posts FROM {_TAGGED} GROUP BY ALL")
+def tag_facets(spark, sf_dir):
+    return archive.tag_facets(tagging.with_tags(fixtures.document_posts(spark, sf_dir), LATIN, board=None), ["author"])
+
+
+@register("SELECT lang, source, count(*) AS posts FROM documents GROUP BY ROLLUP (lang, source)")
+def facet_rollup(spark, sf_dir):
+    return archive.facet_rollup(table(spark, sf_dir, "documents"), ["lang", "source"])
+
+
+# --- threads --------------------------------------------------------------------
+
+
+@register(f"SELECT tid, CASE WHEN fid % 3 <> 0 THEN 'c·' || board ELSE '{NO_CATEGORY}' END AS category FROM {POSTS}")
+def board_category_join(spark, sf_dir):
+    posts = fixtures.document_posts(spark, sf_dir).select("tid", "fid")
+    return pages.with_category(posts, fixtures.board_names(spark, sf_dir)).select("tid", "category")
+
+
+@register(f"SELECT tid, fid, title, arg_min(author, floor) AS first_author, arg_min(post_time, floor) AS first_time, count(*) AS post_count FROM {CONV} GROUP BY tid, fid, title")
+def thread_rollup(spark, sf_dir):
+    rolled = archive.thread_rollup(fixtures.conversation_posts(spark, sf_dir), LATIN)
+    return rolled.select("tid", "fid", "title", "first_author", "first_time", "post_count")
+
+
+@register(f"SELECT tid, count(*) AS posts FROM {CONV} GROUP BY tid")
+def post_counts(spark, sf_dir):
+    return archive.post_counts(fixtures.conversation_posts(spark, sf_dir))
+
+
+@register(
+    f"""SELECT (SELECT count(DISTINCT tid) FROM {CONV}) AS threads, (SELECT max(tid) FROM {CONV}) AS highest_tid, (SELECT count(DISTINCT fid) FROM {CONV}) AS boards_done,
+    (SELECT count(*) FROM {CONV}) AS posts, (SELECT count(DISTINCT source) FROM documents WHERE CAST(regexp_extract(source, '(\\d+)', 1) AS INT) % 3 <> 0) AS boards_total"""
+)
+def status_report(spark, sf_dir):
+    posts = fixtures.conversation_posts(spark, sf_dir)
+    return archive.status_report(archive.thread_rollup(posts, LATIN), posts, fixtures.board_names(spark, sf_dir))
+
+
+@register(f"SELECT tid, page, position, floor FROM {CONV}")
+def floor_numbering(spark, sf_dir):
+    posts = fixtures.conversation_posts(spark, sf_dir).drop("floor")
+    return archive.number_floors(posts).select("tid", "page", "position", "floor")
+
+
+@register(f"SELECT tid, floor, page, position, floor AS floor_again FROM {CONV}")
+def floor_page_position(spark, sf_dir):
+    posts = fixtures.conversation_posts(spark, sf_dir).select("tid", "floor")
+    placed = posts.withColumns({"page": archive.page_of(F.col("floor"), PAGE_SIZE), "position": archive.position_of(F.col("floor"), PAGE_SIZE)})
+    return placed.withColumn("floor_again", archive.floor_of(F.col("page"), F.col("position"), PAGE_SIZE))
+
+
+@register(f"SELECT tid, count(*) AS live FROM {CONV} GROUP BY tid")
+def live_counts(spark, sf_dir):
+    posts = fixtures.conversation_posts(spark, sf_dir)
+    return archive.live_post_count(posts.groupBy("tid", "page").agg(F.count("*").alias("posts_on_page")), PAGE_SIZE)
+
+
+@register(f"SELECT tid, floor, length(content) AS added, floor AS favorites FROM {CONV}")
+def meta_positional_join(spark, sf_dir):
+    posts = fixtures.conversation_posts(spark, sf_dir).select("tid", "page", "position", "floor")
+    meta = pages.thread_meta(fixtures.rendered_meta_pages(spark, sf_dir))
+    return archive.attach_meta(posts, meta).select("tid", "floor", F.col("meta.recommend_add").alias("added"), F.col("meta.favorite_count").alias("favorites"))
+
+
+# --- samples --------------------------------------------------------------------
+
+
+@register(f"SELECT tid, count(DISTINCT fid) AS n_boards FROM {LISTED} GROUP BY tid HAVING count(DISTINCT fid) >= 3")
+def sticky_threads(spark, sf_dir):
+    return sampling.sticky_threads(fixtures.listings(spark, sf_dir))
+
+
+@register(f"SELECT tid, fid, page, pos, title FROM ({_FIRST}) WHERE tid IN {STICKY}")
+def sticky_home_board(spark, sf_dir):
+    return sampling.sticky_home(fixtures.listings(spark, sf_dir))
+
+
+@register(f"SELECT tid, array_to_string(list_sort(list(DISTINCT fid)), ',') AS fids FROM {LISTED} GROUP BY tid")
+def boards_per_thread(spark, sf_dir):
+    return sampling.boards_per_thread(fixtures.listings(spark, sf_dir)).select("tid", F.array_join(F.col("fids").cast("array<string>"), ",").alias("fids"))
+
+
+@register(f"SELECT tid, fid, page, pos, title FROM ({_FIRST}) WHERE tid IN {STICKY} UNION ALL SELECT tid, fid, page, pos, title FROM {LISTED} WHERE tid NOT IN {STICKY}")
+def one_board_each(spark, sf_dir):
+    return sampling.one_board_each(fixtures.listings(spark, sf_dir))
+
+
+@register(f"SELECT fid, count(*) AS listed FROM {LISTED} GROUP BY fid")
+def listing_counts(spark, sf_dir):
+    return sampling.listing_counts(fixtures.listings(spark, sf_dir))
+
+
+_SAMPLE = f"""SELECT fid, tid, title FROM (SELECT fid, tid, title, row_number() OVER (PARTITION BY fid ORDER BY md5('42:' || fid || ':' || tid), tid) AS rn
+    FROM (SELECT fid, tid, arg_min(title, pos + 10000000000 * page) AS title FROM {LISTED} WHERE tid NOT IN {STICKY} GROUP BY fid, tid)) WHERE rn <= 3"""
+
+
+@register(_SAMPLE)
+def stratified_sample(spark, sf_dir):
+    rest = sampling.without_stickies(fixtures.listings(spark, sf_dir))
+    return sampling.board_sample(rest, 3, 42).select("fid", "tid", "title")
+
+
+@register(
+    f"""WITH s AS (SELECT fid FROM ({_SAMPLE}) UNION ALL SELECT fid FROM ({_FIRST}) WHERE tid IN {STICKY})
+    SELECT fid, threads, coalesce(sampled, 0) AS sampled FROM (SELECT fid, count(DISTINCT tid) AS threads FROM {LISTED} GROUP BY fid)
+    LEFT JOIN (SELECT fid, count(*) AS sampled FROM s GROUP BY fid) USING (fid)"""
+)
+def sample_report(spark, sf_dir):
+    seen = fixtures.listings(spark, sf_dir)
+    return sampling.board_report(seen, sampling.sample_threads(seen, 3, 42))
+
+
+# --- updates --------------------------------------------------------------------
+
+# stored: the first three floors of the threads below the median; landed: everything
+_HALF = "(SELECT median(conv_id) FROM conversations)"
+_STORED = f"(SELECT * FROM {CONV} WHERE floor <= 3 AND tid < {_HALF})"
+
+
+def _stored(spark, sf_dir):
+    posts = fixtures.conversation_posts(spark, sf_dir)
+    half = posts.agg(F.median("tid").alias("half"))
+    return posts.crossJoin(F.broadcast(half)).filter("floor <= 3 and tid < half").drop("half")
+
+
+@register(f"SELECT tid, min(fid) AS fid FROM {CONV} WHERE tid > (SELECT max(tid) FROM {_STORED}) GROUP BY tid")
+def new_threads(spark, sf_dir):
+    threads = archive.thread_rollup(_stored(spark, sf_dir), LATIN)
+    listed = fixtures.conversation_posts(spark, sf_dir).select("tid", "fid", "page", F.col("position").alias("pos"), "title")
+    return incremental.new_threads(listed, threads).select("tid", "fid")
+
+
+@register(
+    f"""SELECT tid, live, coalesce(stored, 0) AS stored FROM (SELECT tid, count(*) AS live FROM {CONV} GROUP BY tid)
+    LEFT JOIN (SELECT tid, count(*) AS stored FROM {_STORED} GROUP BY tid) USING (tid) WHERE live > coalesce(stored, 0)"""
+)
+def updated_threads(spark, sf_dir):
+    return incremental.updated_threads(live_counts(spark, sf_dir), _stored(spark, sf_dir))
+
+
+@register(
+    f"""WITH n AS (SELECT DISTINCT tid FROM {CONV} WHERE tid > (SELECT max(tid) FROM {_STORED})),
+    u AS (SELECT tid FROM {CONV} c GROUP BY tid HAVING count(*) > (SELECT count(*) FROM {_STORED} s WHERE s.tid = c.tid))
+    SELECT tid, min(priority) AS priority FROM (SELECT tid, 0 AS priority FROM n UNION ALL SELECT tid, 1 FROM u) GROUP BY tid"""
+)
+def work_list(spark, sf_dir):
+    return incremental.work_list(new_threads(spark, sf_dir), updated_threads(spark, sf_dir))
+
+
+@register(f"SELECT tid, floor, author FROM {CONV} WHERE (tid, floor) NOT IN (SELECT tid, floor FROM {_STORED})")
+def unseen_floors(spark, sf_dir):
+    return incremental.unseen_floors(fixtures.conversation_posts(spark, sf_dir), _stored(spark, sf_dir)).select("tid", "floor", "author")
+
+
+@register(f"SELECT tid, floor FROM {CONV} c WHERE floor > (SELECT count(*) FROM {_STORED} s WHERE s.tid = c.tid)")
+def floors_beyond_count(spark, sf_dir):
+    return incremental.beyond_count(fixtures.conversation_posts(spark, sf_dir), _stored(spark, sf_dir)).select("tid", "floor")
+
+
+@register(f"SELECT DISTINCT tid FROM {CONV} WHERE tid NOT IN (SELECT tid FROM {_STORED})")
+def unfinished_threads(spark, sf_dir):
+    queue = fixtures.conversation_posts(spark, sf_dir).select("tid").distinct()
+    return incremental.unfinished(queue, _stored(spark, sf_dir))
+
+
+@register(
+    f"""SELECT tid, count(*) AS post_count, CASE WHEN count(*) > (SELECT count(*) FROM {_STORED} s WHERE s.tid = c.tid) THEN 't2' ELSE 't1' END AS last_crawl FROM {CONV} c GROUP BY tid"""
+)
+def thread_upsert(spark, sf_dir):
+    stored = _stored(spark, sf_dir)
+    threads = archive.thread_rollup(stored, LATIN, F.lit("t1"))
+    _, updated = incremental.apply_update(stored, threads, fixtures.conversation_posts(spark, sf_dir), "t2")
+    return updated.select("tid", "post_count", "last_crawl")
+
+
+@register(f"SELECT tid, floor, max(version) AS version FROM (SELECT tid, floor, 1 AS version FROM {_STORED} UNION ALL SELECT tid, floor, floor % 2 * 2 FROM {CONV}) GROUP BY tid, floor")
+def latest_posts(spark, sf_dir):
+    old = _stored(spark, sf_dir).select("tid", "floor", F.lit(1).alias("version"))
+    new = fixtures.conversation_posts(spark, sf_dir).select("tid", "floor", (F.pmod("floor", F.lit(2)) * 2).alias("version"))
+    return archive.latest_posts(old.unionByName(new), "version")
+
+
+@register(f"SELECT (SELECT max(tid) FROM {CONV}) AS highest_tid, (SELECT count(*) FROM {CONV}) AS total_archived")
+def archive_state(spark, sf_dir):
+    posts = fixtures.conversation_posts(spark, sf_dir)
+    return incremental.archive_state(archive.thread_rollup(posts, LATIN), posts).select("highest_tid", "total_archived")
+
+
+@register(f"SELECT tid, floor FROM {CONV} WHERE tid NOT IN (SELECT tid FROM {_STORED})")
+def orphan_posts(spark, sf_dir):
+    threads = archive.thread_rollup(_stored(spark, sf_dir), LATIN)
+    return archive.orphans(fixtures.conversation_posts(spark, sf_dir), threads).select("tid", "floor")
+
+
+# --- search ---------------------------------------------------------------------
+
+_WORDS = "regexp_extract_all(lower(coalesce({0}, '')), '[\\p{{L}}\\p{{N}}]+')"
+_INDEX = f"""(SELECT token, doc_id, field, count(*) AS tf FROM (SELECT doc_id, 'author' AS field, unnest({_WORDS.format('lang')}) AS token FROM documents
+    UNION ALL SELECT doc_id, 'content', unnest({_WORDS.format('text')}) FROM documents) GROUP BY ALL)"""
+
+
+def _index(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("author"), F.col("text").alias("content"))
+    return docs, retrieval.token_index(docs, ["doc_id"], ["author", "content"])
+
+
+@register(f"SELECT field, token, sum(tf)::BIGINT AS tf, count(*) AS docs FROM {_INDEX} GROUP BY field, token")
+def token_index(spark, sf_dir):
+    return _index(spark, sf_dir)[1].groupBy("field", "token").agg(F.sum("tf").alias("tf"), F.count("*").alias("docs"))
+
+
+@register(f"SELECT doc_id FROM {_INDEX} WHERE token IN ('the', 'of', 'and') GROUP BY doc_id HAVING count(DISTINCT token) = 3")
+def term_match(spark, sf_dir):
+    return retrieval.match_all(_index(spark, sf_dir)[1], ["the", "of", "And"], ["doc_id"])
+
+
+@register(
+    """SELECT field, count(*) AS entries, sum(tf)::BIGINT AS tf FROM (SELECT 'author' AS field, doc_id, lower(lang) AS token, 1 AS tf FROM documents WHERE doc_id % 3 <> 1
+    UNION ALL SELECT 'content', doc_id, 'replaced', 1 FROM documents WHERE doc_id % 3 = 0
+    UNION ALL SELECT 'content', doc_id, token, count(*) FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS token FROM documents WHERE doc_id % 3 = 2) GROUP BY ALL) GROUP BY field"""
+)
+def index_refresh(spark, sf_dir):
+    docs, index = _index(spark, sf_dir)
+    changed = docs.filter("doc_id % 3 = 0").withColumn("content", F.lit("Replaced"))
+    fresh = retrieval.refresh_index(index, changed, ["doc_id"], docs.filter("doc_id % 3 = 1"), fields=["author", "content"])
+    return fresh.groupBy("field").agg(F.count("*").alias("entries"), F.sum("tf").alias("tf"))
+
+
+_BM25 = f"""WITH w AS (SELECT doc_id, {_WORDS.format('text')} AS words FROM documents),
+    q AS (SELECT DISTINCT item_id AS query_id, unnest({_WORDS.format('text')}) AS token FROM benchmark),
+    totals AS (SELECT count(*) AS n, avg(len(words)) AS mean FROM w),
+    tf AS (SELECT token, doc_id, length, count(*) AS tf FROM (SELECT doc_id, len(words) AS length, unnest(words) AS token FROM w) WHERE token IN (SELECT token FROM q) GROUP BY ALL),
+    df AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
+    scored AS (SELECT query_id, doc_id, sum(ln((n - df + 0.5) / (df + 0.5) + 1) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))) AS score
+        FROM tf JOIN df USING (token) JOIN q USING (token), totals GROUP BY query_id, doc_id),
+    kw AS (SELECT * FROM (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM scored) WHERE rank <= 10)"""
+
+
+@register(f"{_BM25} SELECT query_id, rank, doc_id, round(score, 6) AS score FROM kw")
+def bm25_topk(spark, sf_dir):
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    return retrieval.bm25(table(spark, sf_dir, "documents"), items, 10).withColumn("score", F.round("score", 6))
+
+
+@register(
+    """SELECT query_id, rank, vec_id, round(score, 6) AS score FROM (SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS score,
+        row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 9) DESC, v.vec_id) AS rank
+        FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0) WHERE rank <= 10"""
+)
+def vector_topk(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    queries = vectors.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return retrieval.vector_topk(vectors, queries, 10).withColumn("score", F.round("score", 6))
+
+
+@register(
+    f"""{_BM25}, late AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY doc_id DESC) AS rank FROM kw),
+    fused AS (SELECT query_id, doc_id, sum(part) AS score FROM (SELECT query_id, doc_id, 2.0 / (60 + rank) AS part FROM kw UNION ALL SELECT query_id, doc_id, 1.0 / (60 + rank) FROM late) GROUP BY ALL)
+    SELECT query_id, doc_id, round(score, 9) AS score FROM fused"""
+)
+def rrf_fusion(spark, sf_dir):
+    from pyspark.sql import Window
+
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    by_words = retrieval.bm25(table(spark, sf_dir, "documents"), items, 10)
+    by_id = by_words.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("doc_id"))))
+    return retrieval.fuse([by_words, by_id], [2.0, 1.0]).select("query_id", "doc_id", F.round("score", 9).alias("score"))
+
+
+# --- quality --------------------------------------------------------------------
+
+_AUDIT = " UNION ALL ".join(f"SELECT {_q(k)} AS kind, 'content' AS field, count(*) FILTER (WHERE regexp_matches(content, {_q(p)})) AS hits FROM {POSTS}" for k, p in quality.PRIVATE.items())
+
+
+@register(f"{_AUDIT} UNION ALL SELECT kind, 'tags', 0 FROM (VALUES {', '.join(f'({_q(k)})' for k in quality.PRIVATE)}) AS t(kind)")
+def privacy_audit(spark, sf_dir):
+    posts = tagging.with_tags(fixtures.document_posts(spark, sf_dir), LATIN)
+    return quality.privacy_audit(posts, ["content"], ["tags"])
+
+
+@register(f"SELECT tid, count(DISTINCT fid) AS n_boards FROM {LISTED} WHERE tid IN {STICKY} GROUP BY tid")
+def sticky_twice(spark, sf_dir):
+    seen = fixtures.listings(spark, sf_dir)
+    marked = seen.join(sampling.sticky_threads(seen), "tid", "left_semi").withColumn("sticky", F.lit(2))
+    return quality.sticky_twice(marked)
+
+
+@register(f"SELECT (SELECT count(*) FROM documents) AS posts, (SELECT count(*) FROM documents WHERE len({_WORDS.format('text')}) + len({_WORDS.format('lang')}) > 0) AS with_words, (SELECT count(DISTINCT doc_id) FROM {_INDEX}) AS indexed")
+def index_matches_posts(spark, sf_dir):
+    docs, index = _index(spark, sf_dir)
+    return quality.index_matches(docs.withColumn("title", F.lit("")), index, ["doc_id"])
+
+
+@register(f"SELECT author, strftime(strptime(post_time, '%Y-%-m-%-d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS at, count(*) AS posts FROM {CONV} GROUP BY ALL")
+def post_times(spark, sf_dir):
+    posts = archive.with_post_ts(fixtures.conversation_posts(spark, sf_dir))
+    return posts.groupBy("author", F.date_format("post_ts", "yyyy-MM-dd HH:mm:ss").alias("at")).agg(F.count("*").alias("posts"))
+
+
+@register(f"SELECT tid, count(*) AS posts FROM {CONV} GROUP BY tid")
+def streamed_counts(spark, sf_dir):
+    """The posts arrive as a stream and are archived; the archive then gives the batch result."""
+    import uuid
+
+    root = f"{spark.conf.get('spark.checkpoint.dir', None) or _local(spark)}/stream-{uuid.uuid4().hex}"
+    source = f"{sf_dir}/conversations.parquet"
+    landed = spark.readStream.schema(spark.read.parquet(source).schema).parquet(_folder(source))
+    posts = landed.select(F.col("conv_id").alias("tid"), (F.col("turn") + 1).alias("floor"), F.col("role").alias("author"))
+    streams.archive_stream(posts, f"{root}/archive", f"{root}/checkpoint").awaitTermination()
+    return archive.post_counts(spark.read.parquet(f"{root}/archive"))
+
+
+def _local(spark) -> str:
+    import tempfile
+
+    root = spark.sparkContext.getCheckpointDir()
+    if not root:
+        root = tempfile.mkdtemp(prefix="threadmill-checkpoints-")
+        spark.sparkContext.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
+def _folder(path: str) -> str:
+    """A stream reads folders; a single file is matched in its folder by a pattern."""
+    return path[:-1] + "[t]"
