@@ -59,7 +59,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, epochs: int = 25, batches: int = 12, rate: float = 0.05, lift: float = 8.0, support: int = 4, seed: int = 5) -> Model:
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, epochs: int = 60, batches: int = 12, rate: float = 0.05, lift: float = 8.0, support: int = 4, seed: int = 5) -> Model:
     """Non-negative PU logistic regression on sets of hashed features."""
     n_pos, n_all = len(positive), len(positive) + len(unlabelled)
     if not n_pos or not unlabelled:
