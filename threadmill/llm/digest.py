@@ -28,6 +28,9 @@ from pyspark.sql import functions as F
 
 from .scratch import parallelism, written
 
+#: Repeated digests that are broadcast, some 20 MB; with more, texts are joined by shuffling.
+BROADCAST_DIGESTS = 200_000
+
 _RUN = re.compile(r"\s+")
 
 
@@ -129,7 +132,9 @@ def collided(docs: DataFrame, repeated: DataFrame, text: str = "text") -> DataFr
 def fingerprint_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Every row of :func:`with_next` with fingerprints settled by byte comparison."""
     paired = with_next(docs, text, doc_id)
-    repeated = paired.groupBy("fp").count().filter("count > 1").select("fp")
+    repeated = written(paired.groupBy("fp").count().filter("count > 1").select("fp"), "repeated")
+    if repeated.count() <= BROADCAST_DIGESTS:
+        repeated = F.broadcast(repeated)
     bad = written(collided(docs, repeated, text), "collisions")
     for plain, sha in (("fp", "sha"), ("edited_fp", "edited_sha")):
         marked = bad.select(F.col("fp").alias("__bad"))
