@@ -96,6 +96,15 @@ def rendered_board_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select(url.alias("url"), F.array_join(F.transform("all", lambda x: x["link"]), "\n").alias("html"))
 
 
+def rendered_index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Front pages with links to ten boards each: a link without text before the one with the name."""
+    seen = listings(spark, sf_dir)
+    start = F.format_string('<a href="forum.php?mod=forumdisplay%sfid=%d">', F.when(F.pmod("pos", F.lit(2)) == 0, "&amp;").otherwise("&"), "fid")
+    link = F.concat(start, F.lit('<img src="x"></a>'), start, F.format_string("<b>Board</b> &nbsp;%d\n</a>", "fid"))
+    pages = seen.groupBy(F.floor(F.col("pos") / 10).alias("n")).agg(F.sort_array(F.collect_list(F.struct("pos", link.alias("link")))).alias("all"))
+    return pages.select(F.format_string(f"{BASE}/forum.php?n=%d", "n").alias("url"), F.array_join(F.transform("all", lambda x: x["link"]), "").alias("html"))
+
+
 def board_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boards of the documents' sources; numbers that divide by three are unknown."""
     rows = document_posts(spark, sf_dir).select("fid", "board").distinct()

@@ -7,11 +7,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import chunking, tagging, textops
 from ..functions.textops import BREAKS, ENTITIES, SPACE
 from ..functions.vocab import LATIN, NO_CATEGORY
 from ..operators import archive, quality, retrieval, sampling
-from ..sources import pages
+from ..sources import io, pages
 from ..streaming import incremental, streams
 from . import fixtures
 from .fixtures import PAGE_SIZE, THREADS, table
@@ -110,6 +111,48 @@ def thread_page_posts(spark, sf_dir):
     return posts.select("tid", "page", "position", "author", "post_time", "content")
 
 
+@register(f"SELECT DISTINCT fid, 'Board' || fid AS board FROM {LISTED}")
+def discovered_boards(spark, sf_dir):
+    return pages.discover_boards(fixtures.rendered_index_pages(spark, sf_dir))
+
+
+@register(
+    f"""SELECT tid, page, '{fixtures.BASE}/archiver/?tid-' || tid || '.html' || CASE WHEN page > 1 THEN '&page=' || page ELSE '' END AS thread_url,
+    '{fixtures.BASE}/archiver/?fid-' || fid || '.html' || CASE WHEN page > 1 THEN '&page=' || page ELSE '' END AS board_url,
+    '{fixtures.BASE}/forum.php?mod=viewthread&tid=' || tid AS web_url FROM {CONV}"""
+)
+def page_urls(spark, sf_dir):
+    posts = fixtures.conversation_posts(spark, sf_dir)
+    return posts.select(
+        "tid",
+        "page",
+        pages.thread_url(fixtures.BASE, F.col("tid"), F.col("page")).alias("thread_url"),
+        pages.board_url(fixtures.BASE, F.col("fid"), F.col("page")).alias("board_url"),
+        pages.thread_web_url(fixtures.BASE, F.col("tid")).alias("web_url"),
+    )
+
+
+_NOTICED = "(SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '提示信息' ELSE '' END || CASE WHEN page_id % 2 = 0 THEN '<p class=\"author\">' ELSE '' END || html AS html FROM pages)"
+
+
+@register(f"SELECT page_id, CASE WHEN contains(substr(html, 1, 200), '提示信息') AND NOT contains(html, 'class=\"author\"') THEN 'notice page' ELSE 'good' END AS verdict FROM {_NOTICED}")
+def error_pages(spark, sf_dir):
+    notice = F.when(F.pmod("page_id", F.lit(3)) == 0, "提示信息").otherwise("")
+    author = F.when(F.pmod("page_id", F.lit(2)) == 0, '<p class="author">').otherwise("")
+    landed = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("url"), F.concat(notice, author, "html").alias("html"))
+    good, bad = pages.split_errors(landed)
+    both = good.select("url", F.lit("good").alias("verdict")).unionByName(bad.select("url", F.col("reason").alias("verdict")))
+    return both.select(F.col("url").cast("long").alias("page_id"), "verdict")
+
+
+@register(f"SELECT tid, page, max(page) OVER (PARTITION BY tid) AS last_page FROM (SELECT DISTINCT tid, page FROM {CONV})")
+def thread_max_page(spark, sf_dir):
+    rendered = pages.page_identity(fixtures.rendered_thread_pages(spark, sf_dir)).select("tid", "page")
+    last = rendered.groupBy("tid").agg(F.max("page").alias("n"))
+    linked = rendered.join(last, "tid").withColumn("html", F.array_join(F.transform(F.sequence(F.lit(1), "n"), lambda p: F.format_string('<a href="?tid-%d.html&page=%d">', F.col("tid"), p)), " "))
+    return linked.select("tid", "page", pages.max_page(F.col("html"), pages.THREAD_PAGE).alias("last_page"))
+
+
 @register(f"SELECT fid, pos // 10 % 40 + 1 AS page, tid, title || ' ' || pos AS title FROM {LISTED}")
 def board_page_threads(spark, sf_dir):
     named = pages.page_identity(fixtures.rendered_board_pages(spark, sf_dir)).drop("tid")
@@ -344,6 +387,20 @@ def meta_positional_join(spark, sf_dir):
     return archive.attach_meta(posts, meta).select("tid", "floor", F.col("meta.recommend_add").alias("added"), F.col("meta.favorite_count").alias("favorites"))
 
 
+@register(f"SELECT tid, floor, length(content) AS content_len, '[]' AS tags FROM {CONV}")
+def posts_for_sql(spark, sf_dir):
+    return io.posts_for_sql(fixtures.conversation_posts(spark, sf_dir)).select("tid", "floor", "content_len", "tags")
+
+
+@register(f"SELECT tid, floor, author, content FROM {CONV}")
+def posts_jsonl_round_trip(spark, sf_dir):
+    """The posts as JSON lines, and read back with the fixed schema."""
+    posts = fixtures.conversation_posts(spark, sf_dir)
+    lines = posts.select(F.to_json(F.struct(*posts.columns)).alias("line"))
+    row = F.from_json("line", schemas.POSTS_DDL, {"mode": "FAILFAST"}).alias("p")
+    return schemas.with_defaults(lines.select(row).select("p.*"), schemas.POSTS_DDL).select("tid", "floor", "author", "content")
+
+
 # --- samples --------------------------------------------------------------------
 
 
@@ -434,6 +491,12 @@ def unseen_floors(spark, sf_dir):
     return incremental.unseen_floors(fixtures.conversation_posts(spark, sf_dir), _stored(spark, sf_dir)).select("tid", "floor", "author")
 
 
+@register(f"SELECT DISTINCT tid FROM {CONV} WHERE tid NOT IN (SELECT tid FROM {_STORED}) AND page <= 2")
+def skip_archived(spark, sf_dir):
+    queue = incremental.first_pages(fixtures.conversation_posts(spark, sf_dir).select("tid", "page")).select("tid").distinct()
+    return incremental.skip_archived(queue, archive.thread_rollup(_stored(spark, sf_dir), LATIN))
+
+
 @register(f"SELECT tid, floor FROM {CONV} c WHERE floor > (SELECT count(*) FROM {_STORED} s WHERE s.tid = c.tid)")
 def floors_beyond_count(spark, sf_dir):
     return incremental.beyond_count(fixtures.conversation_posts(spark, sf_dir), _stored(spark, sf_dir)).select("tid", "floor")
