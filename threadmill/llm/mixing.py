@@ -149,10 +149,14 @@ def choose_copies(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0),
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **options) -> DataFrame:
     """``docs`` with each row repeated as often as the mix takes it; columns as they were."""
-    chosen = choose_copies(docs, text=text, source=source, doc_id=doc_id, **options).filter("copies > 0")
+    chosen = written(choose_copies(docs, text=text, source=source, doc_id=doc_id, **options), "copies")
+    repeated = (chosen.agg(F.max("nth")).first()[0] or 1) > 1
+    chosen = chosen.filter("copies > 0")
     chosen = chosen.select(F.col("doc_id").alias("__a"), F.col("tag").alias("__b"), F.col("nth").alias("__n"), F.col("source").alias("__s"), F.col("copies").alias("__copies"))
     named = docs.withColumns({"__id": F.col(doc_id).cast("long"), "__tag": F.xxhash64(text), "__source": F.col(source).cast("string")})
-    named = named.withColumn("__nth", F.row_number().over(Window.partitionBy("__id", "__tag", "__source").orderBy("__id")))
+    # rows that are told apart by nothing else are numbered; without any, texts are not shuffled for it
+    nth = F.row_number().over(Window.partitionBy("__id", "__tag", "__source").orderBy("__id")) if repeated else F.lit(1)
+    named = named.withColumn("__nth", nth)
     same = F.col("__id").eqNullSafe(F.col("__a")) & (F.col("__tag") == F.col("__b")) & (F.col("__nth") == F.col("__n")) & F.col("__source").eqNullSafe(F.col("__s"))
     taken = named.join(chosen, same)
     return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])

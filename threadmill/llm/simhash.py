@@ -170,9 +170,11 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
     Null doc_ids count as largest. The columns of ``docs`` are returned unchanged.
     """
-    groups = near_groups(docs, **options)
+    groups = written(near_groups(docs, **options), "groups")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")
-    kept = groups.groupBy("root").agg(F.min(order).alias("one")).select(F.col("one.doc_id").alias("__keep_id"), F.col("one.tag").alias("__keep_tag")).distinct()
+    kept = groups.groupBy("root").agg(F.min(order).alias("one")).select(F.col("one.doc_id").alias("__keep_id"), F.col("one.tag").alias("__keep_tag"))
     named = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__tag": F.xxhash64("text")})
     stay = named.join(kept, named["__id"].eqNullSafe(kept["__keep_id"]) & (named["__tag"] == kept["__keep_tag"]), "left_semi")
-    return stay.dropDuplicates(["__id", "__tag"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    if not groups.groupBy("doc_id", "tag").count().filter("count > 1").isEmpty():  # only then do texts need a second shuffle
+        stay = stay.dropDuplicates(["__id", "__tag"])
+    return stay.select(*[F.col(f"`{c}`") for c in docs.columns])
