@@ -109,17 +109,16 @@ def test_meta(spark):
 
 
 def test_page_stream(spark, tmp_path):
-    """Raw pages stream in twice; the archive holds each floor once."""
-    body = '<p class="author"><strong>甲</strong> 发表于 2026-4-3 10:52:36</p>正文'.encode("gbk") + b"\x80"
-    raw = spark.createDataFrame([(f"http://f/?tid-{i}.html", bytearray(body), None) for i in (1, 2, 3)], "url string, body binary, fetched_at timestamp")
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    from threadmill.operators.archive import post_counts
+    """Raw pages stream in twice, the second time with a longer last page; the archive holds each floor once."""
     from threadmill.sources import io
 
-    for _ in range(2):
-        raw.write.mode("append").parquet(source)
-        parsed = streams.parse_stream(io.stream_raw_pages(spark, source))
-        streams.archive_stream(parsed, out, str(tmp_path / "checkpoint")).awaitTermination()
-    rows = spark.read.parquet(out)
-    assert {r["tid"]: r["posts"] for r in post_counts(rows).collect()} == {1: 1, 2: 1, 3: 1}
-    assert {r["content"] for r in rows.collect()} == {"正文"}
+    block = '<p class="author"><strong>甲</strong> 发表于 2026-4-3 10:52:36</p>正文{}'
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for last in (1, 2):
+        rows = [(f"http://f/?tid-{t}.html&page={p}", bytearray("".join(block.format(i) for i in range(15 if p == 1 else last)).encode("gbk") + b"\x80"), None) for t in (1, 2) for p in (1, 2)]
+        spark.createDataFrame(rows, "url string, body binary, fetched_at timestamp").write.mode("append").parquet(source)
+        streams.archive_stream(io.stream_raw_pages(spark, source), out, str(tmp_path / "checkpoint"), prepare=streams.parse_pages).awaitTermination()
+    found = spark.read.parquet(out)
+    assert {r["tid"]: r["posts"] for r in archive.post_counts(found).collect()} == {1: 17, 2: 17}
+    assert sorted(r["floor"] for r in found.filter("tid = 1").collect()) == list(range(1, 18))
+    assert found.filter("floor = 17").first()["content"] == "正文1"

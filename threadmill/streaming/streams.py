@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..functions.textops import post_timestamp
 from ..functions.vocab import Vocab
-from ..operators.archive import post_records
-from ..sources.pages import decode_pages, is_error_page, page_identity, thread_posts
+from ..operators.archive import PAGE_SIZE, floor_of, post_records
+from ..sources.pages import decode_pages, is_error_page, number_in_page, page_identity, thread_posts
 
 
-def parse_stream(pages: DataFrame, vocab: Vocab = Vocab()) -> DataFrame:
-    """Posts of a stream of raw pages; stateless, so it scales with the pages alone."""
+def parse_pages(pages: DataFrame, vocab: Vocab = Vocab(), page_size: int = PAGE_SIZE) -> DataFrame:
+    """Full posts of a batch of raw thread pages, numbered in their page and their thread."""
     named = page_identity(decode_pages(pages) if "body" in pages.columns else pages)
-    good = named.filter((F.col("kind") == "thread") & ~is_error_page(F.col("html"))).drop("kind", "fetched_at")
-    return post_records(thread_posts(good).withColumn("position", F.col("position") + 1), vocab)
+    good = named.filter((F.col("kind") == "thread") & ~is_error_page(F.col("html"))).select("url", "tid", "page", "html")
+    # a page landed twice in one batch is one page
+    posts = number_in_page(thread_posts(good.dropDuplicates(["tid", "page"])), ["tid", "page"])
+    return post_records(posts.withColumn("floor", floor_of(F.col("page"), F.col("position"), page_size)), vocab)
 
 
 def first_seen(posts: DataFrame, delay: str | None = None, ts: str = "post_ts") -> DataFrame:
@@ -40,20 +45,20 @@ def running_counts(posts: DataFrame) -> DataFrame:
     return posts.groupBy("tid").agg(F.count("*").alias("posts"))
 
 
-def archive_stream(posts: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("tid", "floor")) -> StreamingQuery:
+def archive_stream(rows: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("tid", "floor"), prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Append unseen posts to the Parquet archive at ``path``; a repeated batch adds nothing.
 
-    Each batch is one folder ``batch=<id>``, overwritten if the batch is run again,
-    and drops keys that earlier batches wrote.
+    ``prepare`` turns a batch of the stream (such as raw pages) into posts. Each
+    batch is one folder ``batch=<id>``, overwritten if the batch is run again, and
+    drops keys that earlier batches wrote; of those only the keys are read.
     """
-    schema = posts.schema
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.dropDuplicates(list(keys))
+        fresh = (prepare(batch) if prepare else batch).dropDuplicates(list(keys))
         if batch_id > 0:
-            old = spark.read.schema(schema.add("batch", "long")).option("basePath", path).parquet(path)
+            kept = StructType([f for f in fresh.schema if f.name in keys]).add("batch", "long")
+            old = batch.sparkSession.read.schema(kept).option("basePath", path).parquet(path)
             fresh = fresh.join(old.filter(F.col("batch") < batch_id).select(*keys), list(keys), "left_anti")
         fresh.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
 
-    return posts.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return rows.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
