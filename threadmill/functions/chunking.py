@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from .textops import head, normalize, strip
+from .textops import SPACE, head, normalize, strip
 from .vocab import Vocab
 
 SENTENCE_END = re.compile(r"(?<=[。？！.?!])\s*")
@@ -101,11 +101,13 @@ def chunk_id(fid: Column, tid: Column, floor: Column, index: Column) -> Column:
 def to_chunks(posts: DataFrame, max_chars: int = 1500, overlap: int = 200, vocab: Vocab = Vocab(), dedupe_tail: bool = False) -> DataFrame:
     """Retrieval records (text, source, id) of every post with content."""
     full = schemas.with_defaults(posts, schemas.POSTS_DDL)
-    norm = full.withColumn("content", normalize(F.col("content"))).filter(F.length("content") > 0)
+    # what normalizing leaves something of; said of the raw text, the test stops at its first word
+    norm = full.filter(F.rlike("content", F.lit(f"[^{SPACE}\ufffd]"))).withColumn("content", normalize(F.col("content")))
     marked = norm.withColumn("cues", cues(F.col("title"), F.col("content"), vocab)).withColumn("source_label", source_label(F.col("title"), F.col("content"), vocab.labels))
     names = ("board", "title", "floor", "author", "post_time", "url", "tags", "cues")
     ready = marked.withColumn("prefix", chunk_prefix(*[F.col(n) for n in names])).withColumn("parts", chunks(F.col("content"), max_chars, overlap, dedupe_tail))
-    each = ready.withColumn("chunk_count", F.size("parts")).select("*", F.posexplode("parts").alias("at", "part")).withColumn("chunk_index", F.col("at") + 1)
+    # outer, or Spark would run the Python step once more to test the list's size; a post has one chunk at least
+    each = ready.select("*", F.size("parts").alias("chunk_count"), F.posexplode_outer("parts").alias("at", "part")).withColumn("chunk_index", F.col("at") + 1)
     fields = [f.name for f in schemas.struct(schemas.CHUNKS_DDL)["source"].dataType]
     return each.select(F.concat("prefix", "part").alias("text"), F.struct(*fields).alias("source"), chunk_id(F.col("fid"), F.col("tid"), F.col("floor"), F.col("chunk_index")).alias("id"))
 

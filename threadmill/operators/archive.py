@@ -115,8 +115,13 @@ def orphans(posts: DataFrame, threads: DataFrame) -> DataFrame:
 
 
 def tag_facets(posts: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Posts per tag (and further columns)."""
-    return posts.select(*(by or []), F.explode("tags").alias("tag")).groupBy(*(by or []), "tag").agg(F.count("*").alias("posts"))
+    """Posts per tag (and further columns).
+
+    The outer form of explode keeps Spark from testing the list's size first,
+    which would compute a list made by expressions twice.
+    """
+    each = posts.select(*(by or []), F.explode_outer("tags").alias("tag")).filter("tag is not null")
+    return each.groupBy(*(by or []), "tag").agg(F.count("*").alias("posts"))
 
 
 def facet_rollup(posts: DataFrame, levels: list[str]) -> DataFrame:

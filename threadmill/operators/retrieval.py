@@ -59,7 +59,7 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2, b: f
     wanted = asked.select("token").distinct()
     words = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("words"))
     totals = words.agg(F.count("*").alias("n"), F.avg(F.size("words")).alias("mean"))
-    tf = words.select("doc_id", F.size("words").alias("length"), F.explode("words").alias("token")).join(wanted, "token", "left_semi").groupBy("token", "doc_id", "length").agg(F.count("*").alias("tf"))
+    tf = words.select("doc_id", F.size("words").alias("length"), F.explode_outer("words").alias("token")).join(wanted, "token", "left_semi").groupBy("token", "doc_id", "length").agg(F.count("*").alias("tf"))
     df = tf.groupBy("token").agg(F.count("*").alias("df"))
     idf = df.crossJoin(F.broadcast(totals)).select("token", "mean", F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1).alias("idf"))
     weight = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean")))

@@ -18,6 +18,8 @@ THREAD_LINK = r'(?s)<li>\s*<a\s+href="\?tid-(\d+)\.html"[^>]*>(.*?)</a>'
 BOARD_PAGE = r'href="\?fid-\d+\.html&page=(\d+)"'
 THREAD_PAGE = r'href="\?tid-\d+\.html&page=(\d+)"'
 AUTHOR_BLOCK = r'(?i)<\w+\s+class="author">'
+#: More parts than a page can have.
+REST = 1 << 30
 POST_OPENER = r'<(?:div|table)\s+id="(?:post_|pid)(\d+)"[^>]*>'
 
 
@@ -127,7 +129,7 @@ def thread_posts(pages: DataFrame, html: str = "html", numeric: bool = True, nav
     if nav_marker:
         source = F.substring_index(source, nav_marker, 1)
     parts = F.split(source, AUTHOR_BLOCK)
-    blocks = pages.select(*keep, F.posexplode(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))).alias("__at", "__part"))
+    blocks = pages.select(*keep, F.posexplode(F.slice(parts, 2, REST)).alias("__at", "__part"))
     part = F.col("__part")
     closing = F.when(F.contains(F.substring(part, 1, 200), F.lit("</p>")), F.lit("</p>")).otherwise(F.lit("</div>"))
     at = F.locate("</p>", part)
@@ -139,7 +141,7 @@ def thread_posts(pages: DataFrame, html: str = "html", numeric: bool = True, nav
         strip(_matched(part, r"(?s)<strong>(.*?)</strong>", NO_AUTHOR)).alias("author"),
         strip(_matched(part, rf"{TIME_MARK}[{SPACE}]*([^<]+)")).alias("post_time"),
         clean_html(body, numeric).alias("content"),
-    ).filter((F.col("content") != "") | (F.col("author") != NO_AUTHOR))
+    ).filter((F.col("author") != NO_AUTHOR) | (F.col("content") != ""))
     return rows.withColumnRenamed("__at", "position")
 
 
@@ -177,8 +179,8 @@ def thread_meta(pages: DataFrame, html: str = "html") -> DataFrame:
     keep = [c for c in pages.columns if c not in (html, "at", "pid", "meta")]
     pids = F.regexp_extract_all(F.col(html), F.lit(POST_OPENER), F.lit(1))
     parts = F.split(F.col(html), POST_OPENER)
-    pairs = F.arrays_zip(pids.alias("pid"), F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))).alias("block"))
-    blocks = pages.withColumn("__pairs", pairs).select(*keep, F.posexplode("__pairs").alias("at", "__pair"))
+    pairs = F.arrays_zip(pids.alias("pid"), F.slice(parts, 2, REST).alias("block"))
+    blocks = pages.select(*keep, F.posexplode(pairs).alias("at", "__pair"))
     block = F.col("__pair.block")
     rows = F.regexp_extract_all(block, F.lit(RATE_ROW), F.lit(0))
     rated = F.transform(
