@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from threadmill.llm import ann, binary_ids, digest, entries, langid, linededup, mixing, packing, sharding, simhash, toxicity
-from threadmill.llm.scratch import new_path
+from threadmill.llm.scratch import new_path, written
 
 LONG = "lorem ipsum dolor sit amet " * 20_000
 ROWS = [
@@ -62,6 +62,19 @@ def test_packing(messy, none):
     assert packing.pack_documents(none, entries.tokenizer_path(), 64).count() == 0
 
 
+def test_sequences(messy):
+    """The sequences hold every document's ids, in the places that the pieces name."""
+    packed = packing.pack_documents(messy.filter("doc_id <> 4"), entries.tokenizer_path(), 16, with_ids=True)
+    rows = packing.sequences(written(packed, "packed")).collect()
+    found = {}
+    for r in rows:
+        assert len(r["ids"]) <= 16 and sum(d["length"] for d in r["documents"]) == len(r["ids"])
+        for d in r["documents"]:
+            found.setdefault(d["doc_id"], []).append((d["piece"], r["ids"][d["offset"] : d["offset"] + d["length"]]))
+    assert [i for _, part in sorted(found[7]) for i in part] == encode(ROWS[11][1])
+    assert [i for _, part in sorted(found[6]) for i in part] == encode(ROWS[10][1])
+
+
 @pytest.mark.parametrize("score", ["norm", "dot"])
 def test_packing_bounds(score):
     rng = np.random.default_rng(0)
@@ -234,6 +247,16 @@ def test_digest(messy, none):
     assert digest.fingerprint_documents(none).count() == 0
 
 
+def test_fingerprints(messy, none):
+    rows = digest.fingerprints(messy).collect()
+    assert len(rows) == len(ROWS)
+    groups = {}
+    for r in rows:
+        groups.setdefault(r["fingerprint"], set()).add(r["first_id"])
+    assert all(len(v) == 1 for v in groups.values()) and len(groups) == len({digest.canonical(t or "") for _, t, *_ in ROWS})
+    assert digest.fingerprints(none).count() == 0
+
+
 def test_digest_alone(spark):
     one = spark.createDataFrame([(3, "abcd")], "doc_id long, text string")
     row = digest.fingerprint_documents(one).first()

@@ -129,14 +129,34 @@ def collided(docs: DataFrame, repeated: DataFrame, text: str = "text") -> DataFr
     return same.filter("low <> high").select("fp")
 
 
-def fingerprint_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Every row of :func:`with_next` with fingerprints settled by byte comparison."""
-    paired = with_next(docs, text, doc_id)
-    repeated = written(paired.groupBy("fp").count().filter("count > 1").select("fp"), "repeated")
+def _settled(rows: DataFrame, docs: DataFrame, text: str, columns: list[tuple[str, str]]) -> DataFrame:
+    """``rows`` with each (digest, sha) pair of ``columns`` made one fingerprint; byte comparison decides where sha is needed."""
+    repeated = written(rows.groupBy("fp").count().filter("count > 1").select("fp"), "repeated")
     if repeated.count() <= BROADCAST_DIGESTS:
         repeated = F.broadcast(repeated)
     bad = written(collided(docs, repeated, text), "collisions")
-    for plain, sha in (("fp", "sha"), ("edited_fp", "edited_sha")):
+    for plain, sha in columns:
         marked = bad.select(F.col("fp").alias("__bad"))
-        paired = paired.join(marked, F.col(plain) == F.col("__bad"), "left").withColumn(plain, F.when(F.col("__bad").isNull(), F.col(plain)).otherwise(F.concat(plain, F.lit("-"), sha))).drop("__bad")
-    return paired.select("doc_id", "n_chars", "edited_sha256", F.col("fp").alias("fingerprint"), F.col("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next")
+        rows = rows.join(marked, F.col(plain) == F.col("__bad"), "left").withColumn(plain, F.when(F.col("__bad").isNull(), F.col(plain)).otherwise(F.concat(plain, F.lit("-"), sha))).drop("__bad")
+    return rows
+
+
+def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, fingerprint and first_id (the smallest doc_id with that fingerprint) of every row."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            forms = [canonical(t) for t in batch.column(1).to_pylist()]
+            made = [pa.array([digest(f) for f in forms], pa.string()), pa.array([hashlib.sha256(f).hexdigest() for f in forms], pa.string())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=["doc_id", "fp", "sha"])
+
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = _settled(written(texts.mapInArrow(each, "doc_id long, fp string, sha string"), "digests"), docs, text, [("fp", "sha")])
+    firsts = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    return rows.join(firsts, "fp").select("doc_id", F.col("fp").alias("fingerprint"), "first_id")
+
+
+def fingerprint_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """Every row of :func:`with_next` with fingerprints settled by byte comparison."""
+    rows = _settled(with_next(docs, text, doc_id), docs, text, [("fp", "sha"), ("edited_fp", "edited_sha")])
+    return rows.select("doc_id", "n_chars", "edited_sha256", F.col("fp").alias("fingerprint"), F.col("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next")

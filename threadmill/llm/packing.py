@@ -25,17 +25,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .scratch import written
 from .wordbpe import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PACKED = f"{PIECES}, sequence_id long, offset long"
+_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int, end_id: int = 1, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Pieces of at most ``max_tokens`` ids of each whole text plus ``end_id``."""
+def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int, end_id: int = 1, text: str = "text", doc_id: str = "doc_id", with_ids: bool = False) -> DataFrame:
+    """Pieces of at most ``max_tokens`` ids of each whole text plus ``end_id``.
+
+    ``with_ids`` adds the ids themselves as little-endian uint32.
+    """
     end = np.array([end_id], dtype="<u4").tobytes()
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
@@ -46,15 +51,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int, end_id: int =
                 raw += end
                 for piece, at in enumerate(range(0, len(raw), 4 * max_tokens)):
                     part = raw[at : at + 4 * max_tokens]
-                    rows.append((one, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+                    rows.append((one, piece, at // 4, len(part) // 4, zlib.crc32(part), part)[: len(names)])
             if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=names)
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return narrow.mapInArrow(cut, PIECES)
+    return narrow.mapInArrow(cut, PIECES + ", ids binary" * with_ids)
 
 
 def pack_group(lengths: np.ndarray, capacity: tuple[float, float, float], weights: tuple[float, float, float], score: str) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +101,7 @@ def pack(
     score: str = "norm",
     group_pieces: int = 16_384,
 ) -> DataFrame:
-    """``pieces`` (a written table with ``length``) with ``sequence_id`` and ``offset``.
+    """``pieces`` (a written table with ``length``, other columns as they are) with ``sequence_id`` and ``offset``.
 
     ``max_attention`` bounds a sequence's sum of squared lengths; a piece that is
     alone always has a sequence, so bounds below one piece's cost are raised to it.
@@ -136,9 +138,28 @@ def pack(
         if waiting and sum(b.num_rows for b in waiting):
             yield flush()
 
-    return pieces.repartition(groups).mapInArrow(place, PACKED)
+    schema = StructType([*pieces.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
+    return pieces.repartition(groups).mapInArrow(place, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, end_id: int = 1, **options) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, end_id: int = 1, with_ids: bool = False, **options) -> DataFrame:
     """Tokenize, cut and pack every document; one row per piece."""
-    return pack(written(token_pieces(docs, tokenizer, max_tokens, end_id), "pieces"), max_tokens, **options)
+    return pack(written(token_pieces(docs, tokenizer, max_tokens, end_id, with_ids=with_ids), "pieces"), max_tokens, **options)
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """sequence_id, ids (array of int) and documents (doc_id, piece, offset, length) of pieces packed with their ids.
+
+    A group is one sequence, so it is never larger than the token capacity.
+    """
+
+    def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [np.frombuffer(b"".join(parts), "<u4").astype(np.int32) for parts in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["sequence_id", "ids"])
+
+    part = F.struct("offset", "doc_id", "piece", "length", "ids")
+    whole = packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    ids = whole.select("sequence_id", F.transform("parts", lambda p: p["ids"]).alias("ids")).mapInArrow(numbers, "sequence_id long, ids array<int>")
+    documents = F.transform("parts", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["piece"].alias("piece"), p["offset"].alias("offset"), p["length"].alias("length")))
+    return ids.join(whole.select("sequence_id", documents.alias("documents")), "sequence_id")
