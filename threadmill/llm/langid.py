@@ -138,25 +138,24 @@ def fit(docs: DataFrame, per_lang: int = 1000, text: str = "text", lang: str = "
         return Model([], codewords(0), np.zeros((BUCKETS + 1, 1), np.float32), np.ones(1), np.zeros(1), np.ones(1))
     share = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(per_lang / counts[k]))])
     drawn = F.shiftrightunsigned(F.xxhash64(F.lit(11), "doc_id"), 11).cast("double") * F.lit(2.0**-53)
-    sample = rows.filter(drawn < share[F.col("lang")]).select("lang", "text", F.pmod(F.xxhash64("doc_id"), F.lit(16)).alias("part"))
+    sample = rows.filter(drawn < share[F.col("lang")]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[str, int], np.ndarray] = {}
+        found: dict[str, np.ndarray] = {}
         for batch in batches:
-            for one, t, part in zip(*(c.to_pylist() for c in batch.columns)):
+            for one, t in zip(*(c.to_pylist() for c in batch.columns)):
                 data = np.frombuffer(letters(t), np.uint8)
-                row = found.setdefault((one, part % 2), np.zeros(BUCKETS))
+                row = found.setdefault(one, np.zeros(BUCKETS))
                 for order in ORDERS:
                     if len(data) >= order:
                         row += np.bincount(gram_buckets(data, order), minlength=BUCKETS) / len(data)
-        for (one, half), row in found.items():
+        for one, row in found.items():
             at = np.flatnonzero(row)
-            yield pa.RecordBatch.from_arrays([pa.array([one]), pa.array([half], pa.int32()), pa.array([at.astype("<u4").tobytes()]), pa.array([row[at].astype("<f4").tobytes()])], names=["lang", "half", "at", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([one]), pa.array([at.astype("<u4").tobytes()]), pa.array([row[at].astype("<f4").tobytes()])], names=["lang", "at", "n"])
 
-    table = np.zeros((2, len(langs), BUCKETS))
-    for r in sample.repartition(4, "part").mapInArrow(count, "lang string, half int, at binary, n binary").toLocalIterator():
-        table[r["half"], langs.index(r["lang"]), np.frombuffer(r["at"], "<u4")] += np.frombuffer(r["n"], "<f4")
-    use = table.sum(axis=0) + 1e-6
+    use = np.full((len(langs), BUCKETS), 1e-6)
+    for r in sample.repartition(4).mapInArrow(count, "lang string, at binary, n binary").toLocalIterator():
+        use[langs.index(r["lang"]), np.frombuffer(r["at"], "<u4")] += np.frombuffer(r["n"], "<f4")
     use = use / np.maximum(use.sum(axis=1, keepdims=True), 1e-9)
     smooth = use + 0.02 / BUCKETS
     code = codewords(len(langs))
