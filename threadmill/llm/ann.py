@@ -5,9 +5,10 @@ dimension, packed into 64-bit words, with two scalars: its length and the inner
 product of its direction with its code's. A query, turned alike and rounded to
 four bits per dimension, meets a code by and-ing bit planes and counting bits,
 which estimates the inner product; the scalars also bound the error (Gao & Long
-2024). In each block of codes the 20th largest lower bound is a threshold, and
-only vectors whose upper bound reaches it are compared exactly, in double
-precision on the original components.
+2024). In each block the vectors with the largest estimates are compared exactly
+first; the k-th best of them is a threshold, and of the others only those whose
+upper bound reaches it are compared exactly too, in double precision on the
+original components.
 
 All queries meet all vectors, block by block: rows are dealt to blocks by a hash
 of their id and their components, and a task holds one block of each. Only each
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 PLANES = 4
 #: Queries looked at together.
 SOME = 64
+#: Times k vectors that are compared before a threshold is known.
+FIRST = 5
 
 
 def rotation(dim: int, seed: int = 7) -> np.ndarray:
@@ -86,14 +89,17 @@ def search_block(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for at in range(0, len(queries), SOME):
         guess, error = estimate(codes, length, fit, queries[at : at + SOME], turn, epsilon)
-        lower, upper = guess - error, guess + error
+        upper = guess + error
+        first = min(len(ids), FIRST * k)
         for i, one in enumerate(query_ids[at : at + SOME]):
             own = ids == one
-            lower[i, own], upper[i, own] = -np.inf, -np.inf
-            if len(ids) > k:
-                limit = np.partition(lower[i], len(ids) - k)[len(ids) - k]
-                rows = np.flatnonzero((upper[i] >= limit) & ~own)
-            else:
+            guess[i, own], upper[i, own] = -np.inf, -np.inf
+            rows = np.argpartition(-guess[i], first - 1)[:first]
+            rows = rows[~own[rows]]
+            if len(rows) >= k and first < len(ids):
+                exact = (vectors[rows] * queries[at + i]).sum(axis=1)
+                rows = np.flatnonzero(upper[i] >= np.partition(exact, len(exact) - k)[len(exact) - k])
+            elif first < len(ids):
                 rows = np.flatnonzero(~own)
             score = (vectors[rows] * queries[at + i]).sum(axis=1)
             best = np.lexsort((ids[rows], -score))[:k]
