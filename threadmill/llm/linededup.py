@@ -33,14 +33,20 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(SPACE)), UPPER, LOWER)
+def stripped(line: Column) -> Column:
+    return F.btrim(line, F.lit(SPACE))
+
+
+def line_key(bare: Column) -> Column:
+    """A stripped line with A-Z in lower case; ``lower`` does that, and faster, if all is ASCII."""
+    return F.when(F.octet_length(bare) == F.length(bare), F.lower(bare)).otherwise(F.translate(bare, UPPER, LOWER))
 
 
 def occurrences(docs: DataFrame, min_chars: int, text: str, doc_id: str) -> DataFrame:
     """doc_id, tag (hash of the text), pos, h1, h2 for every line with a key of ``min_chars``."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), F.posexplode(lines_of(F.col(text))).alias("pos", "line"))
-    keyed = rows.select("doc_id", "tag", "pos", line_key(F.col("line")).alias("key")).filter(F.length("key") >= min_chars)
+    bare = rows.select("doc_id", "tag", "pos", stripped(F.col("line")).alias("bare")).filter(F.length("bare") >= min_chars)
+    keyed = bare.select("doc_id", "tag", "pos", line_key(F.col("bare")).alias("key"))
     return keyed.select("doc_id", "tag", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"))
 
 
