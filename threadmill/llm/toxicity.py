@@ -64,15 +64,19 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     n_pos, n_all = len(positive), len(positive) + len(unlabelled)
     if not n_pos or not unlabelled:
         return Model({}, -30.0)
-    everything = np.concatenate([*positive, *unlabelled])
-    ends = np.cumsum([len(x) for x in (*positive, *unlabelled)])
-    names, column = np.unique(everything, return_inverse=True)
-    row = np.repeat(np.arange(n_all), np.diff(np.concatenate(([0], ends))))
-    in_pos = np.bincount(column[row < n_pos], minlength=len(names))
+    names, in_pos = np.unique(np.concatenate(positive), return_counts=True)
+    names, in_pos = names[in_pos >= support], in_pos[in_pos >= support]
+
+    def columns(found: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(names, found), max(0, len(names) - 1))
+        return at[names[at] == found] if len(names) else np.empty(0, dtype=np.int64)
+
+    # only features that enough positives have are numbered, so the rest of the unlabelled words take no room
+    rows = [columns(x) for x in (*positive, *unlabelled)]
+    column, row = np.concatenate(rows), np.repeat(np.arange(n_all), [len(r) for r in rows])
     expected = np.bincount(column[row >= n_pos], minlength=len(names)) * n_pos / len(unlabelled)
-    chosen = (in_pos >= support) & ((in_pos - expected) / np.sqrt(expected + 1) >= lift)
-    place = np.cumsum(chosen) - 1
-    keep = chosen[column]
+    chosen = (in_pos - expected) / np.sqrt(expected + 1) >= lift
+    place, keep = np.cumsum(chosen) - 1, chosen[column]
     row, column, names = row[keep], place[column[keep]], names[chosen]
     starts = np.searchsorted(row, np.arange(n_all + 1))
 
