@@ -2,8 +2,9 @@
 
 The BPE of a word does not depend on its neighbours and white space is dropped
 by the tokenizer, so a text's ids are its white-space-separated words' ids in
-order. Each worker keeps the ids of words it has met (up to ``CACHE_WORDS``,
-then it starts afresh) and sends only new words to the tokenizers library.
+order. Each worker keeps the ids of words it has met and sends only new words to
+the tokenizers library. The store has two halves: when the newer one is full, the
+older one is forgotten, and words found there in the meantime have moved on.
 """
 
 from __future__ import annotations
@@ -12,8 +13,8 @@ import os
 
 import numpy as np
 
-#: Words whose ids a worker keeps at most.
-CACHE_WORDS = 800_000
+#: Words of each half of a worker's store at most.
+CACHE_WORDS = 700_000
 #: New words sent to the library in one call.
 CALL_WORDS = 20_000
 #: Bytes of text looked through for new words at a time.
@@ -46,37 +47,55 @@ class Encoder:
         #: Texts with these are encoded whole: word by word they could differ.
         self.special = [MARK.encode(), *(t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values())]
         self.words: dict[bytes, bytes] = {}  # ids as little-endian uint32
+        self.older: dict[bytes, bytes] = {}
+        # lower-case ASCII letters are their own normal form and one piece, which ends in a token that ends words
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.last = np.zeros(self.vocab_size, dtype=bool)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if suffix:
+            self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn(self, new: set[bytes]) -> None:
         """Add words; one that ends in a run of ``TAIL`` is its stem's ids, then the run's."""
-        known, tails, fresh = self.words, {}, set()
+        known, tails, letters, others = self.words, {}, set(), set()
         for word in new:
             stem = word.rstrip(TAIL)
             if len(stem) < len(word) and stem and stem[-1] in LETTERS:
                 tails[word] = stem
-                fresh.add(stem)
-                fresh.add(word[len(stem) :])
-            else:
-                fresh.add(word)
-        self._ask([w for w in fresh if w not in known])
+                tail = word[len(stem) :]
+                if tail not in known:
+                    others.add(tail)
+                word = stem
+                if word in known:
+                    continue
+            (letters if word.isalpha() else others).add(word)  # bytes are alpha if they are all ASCII letters
+        for at in range(0, len(letters := list(letters)), CALL_WORDS):
+            some = letters[at : at + CALL_WORDS]
+            ids = self.plain.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids
+            if not self._keep(some, ids, np.flatnonzero(self.last[ids]) + 1, 0):
+                others.update(some)
+        for at in range(0, len(others := list(others)), CALL_WORDS):
+            some = others[at : at + CALL_WORDS]
+            ids = self._whole(f" {MARK} ".join([w.decode() for w in some]))
+            marks = np.append(np.flatnonzero(np.array(ids) == self.mark[0]), len(ids))
+            if len(self.mark) != 1 or not self._keep(some, ids, marks, 1):  # the mark is no piece of its own here
+                known.update((w, np.array(self._whole(w.decode()), dtype="<u4").tobytes()) for w in some)
         for word, stem in tails.items():
             known[word] = known[stem] + known[word[len(stem) :]]
 
-    def _ask(self, words: list[bytes]) -> None:
-        for at in range(0, len(words), CALL_WORDS):
-            some = words[at : at + CALL_WORDS]
-            ids = np.array(self._whole(f" {MARK} ".join([w.decode() for w in some])), dtype="<u4")
-            ends = np.append(np.flatnonzero(ids == self.mark[0]), len(ids)).tolist()
-            if len(ends) != len(some) or len(self.mark) != 1:  # not a piece of its own in this vocabulary
-                self.words.update((w, np.array(self._whole(w.decode()), dtype="<u4").tobytes()) for w in some)
-                continue
-            flat, start = ids.tobytes(), 0
-            for word, end in zip(some, ends):
-                self.words[word] = flat[4 * start : 4 * end]
-                start = end + 1
+    def _keep(self, words: list[bytes], ids: list[int], ends: np.ndarray, gap: int) -> bool:
+        """Store each word's part of ``ids`` if there are as many ends as words; ``gap`` ids follow each part."""
+        if len(ends) != len(words):
+            return False
+        flat, start = np.array(ids, dtype="<u4").tobytes(), 0
+        for word, end in zip(words, ends.tolist()):
+            self.words[word] = flat[4 * start : 4 * end]
+            start = end + gap
+        return True
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Each whole UTF-8 text's ids as little-endian uint32; a null or empty text has none."""
@@ -96,10 +115,13 @@ class Encoder:
         split = [text.lower().split() for text in texts]
         new = set().union(*split).difference(self.words)
         if len(self.words) + 2 * len(new) > CACHE_WORDS:
-            self.words.clear()
+            self.older, self.words = self.words, {}
             new = set().union(*split)
-        if len(new) > CACHE_WORDS // 2:  # a text of that many different words alone
+        if len(new) > CACHE_WORDS:  # texts of that many different words
             return [self._alone(text) for text in texts]
+        for word in new.intersection(self.older):
+            self.words[word] = self.older[word]
+        new.difference_update(self.words)
         if new:
             self._learn(new)
         get = self.words.__getitem__
