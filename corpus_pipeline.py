@@ -27,8 +27,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that ten or more of them share."""
-    return linededup.dedup_lines(docs, min_docs=10, keep_first=False, min_chars=1)
+    """Documents without the lines that ten or more different texts share; copies count once, so the next stage finds them whole."""
+    return linededup.dedup_lines(docs, min_docs=10, keep_first=False, min_chars=1, per_text=True)
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

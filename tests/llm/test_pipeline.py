@@ -42,3 +42,17 @@ def test_run(spark):
         if name != "packing":
             before = spark.createDataFrame(after.collect(), docs.schema)
     assert len(corpus_pipeline.run(spark, SF).columns) >= 7
+
+
+def test_copies_survive(spark):
+    """Of twelve copies one reaches the last stage whole; a line of twelve different texts goes."""
+    copy = "\n".join(f"the people of the village number{i} went with their children to the market and came home in the evening" for i in range(5))
+    rows = [(i, copy, "en", "a") for i in range(12)]
+    rows += [(100 + i, f"this is the story number{i} which was told by the old man of house{i} to all of us\nAll rights reserved.", "en", "a") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    lines = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_stage(spark, docs, "").collect()}
+    assert all(lines[i] == copy for i in range(12)) and not any("rights" in lines[100 + i] for i in range(12))
+    stages, after = dict(corpus_pipeline.STAGES), spark.createDataFrame([(d, t, "en", "a") for d, t in lines.items()], docs.schema)
+    for name in ("near_copies", "mixing", "packing"):
+        after = stages[name](spark, after, "")
+    assert {r["doc_id"] for r in after.collect() if r["doc_id"] < 100} == {0}

@@ -63,12 +63,13 @@ def key_decisions(lines: DataFrame, partitions: int) -> DataFrame:
     return whole.select("h1", "h2", "n_docs", F.col("first.doc_id").alias("first_id"), F.col("first.tag").alias("first_tag"), F.col("first.pos").alias("first_pos"))
 
 
-def drop_bitmaps(docs: DataFrame, min_docs: int = 2, keep_first: bool = True, min_chars: int = 1, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def drop_bitmaps(docs: DataFrame, min_docs: int = 2, keep_first: bool = True, min_chars: int = 1, per_text: bool = False, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, tag and ``dropped``, a map from word number to 64 bits, for documents that lose a line.
 
     A key in at least ``min_docs`` documents loses all its lines, or all but its
     first occurrence with ``keep_first``. Bit ``i`` of word ``w`` is line 64 w + i;
-    a line whose bit is clear, or whose word is absent, is kept.
+    a line whose bit is clear, or whose word is absent, is kept. With ``per_text``
+    documents with equal texts count as one, so copies do not empty each other.
     """
     lines = occurrences(docs, min_chars, text, doc_id)
     partitions = parallelism(docs.sparkSession)
@@ -77,6 +78,10 @@ def drop_bitmaps(docs: DataFrame, min_docs: int = 2, keep_first: bool = True, mi
     if decisions.count() <= BROADCAST_KEYS:
         decisions = F.broadcast(decisions)
     hit = lines.join(decisions, ["h1", "h2"])
+    if per_text:  # a key is in no more texts than documents, so only the keys found above are counted again
+        hit = written(hit, "line-hits")
+        texts = hit.select("h1", "h2", "tag").distinct().groupBy("h1", "h2").count().filter(F.col("count") >= min_docs)
+        hit = hit.join(texts, ["h1", "h2"], "left_semi")
     if keep_first:
         first = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("tag") == F.col("first_tag")) & (F.col("pos") == F.col("first_pos"))
         hit = hit.filter(~first)
