@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmill.llm import langid, linededup, mixing, packing, simhash
+from threadmill.llm import langid, linededup, mixing, packing, shinglesets, simhash
 from threadmill.llm.entries import remainder, table, tokenizer_path
 from threadmill.llm.scratch import new_path
 from threadmill.plans.cluster import ship
@@ -32,13 +32,13 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest doc_id."""
+    """One document of each group of near copies by fingerprint: that with the smallest doc_id."""
     return simhash.keep_one(docs, distance=4, words_each=4)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated, or left out, so that sources meet their targets."""
-    return mixing.mix(docs, weights=(1.0, 2.0, 3.0), most=3.0, share=1.0)
+    """Documents repeated, or left out, so that sources meet their targets; first, of documents alike by 0.8 in five-word shingles one stays."""
+    return mixing.mix(shinglesets.keep_one(docs, least=0.8, words_each=5), weights=(1.0, 2.0, 3.0), most=3.0, share=1.0)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

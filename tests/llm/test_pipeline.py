@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
+import pytest
+
 import corpus_pipeline
+from threadmill.llm import shinglesets
 
 from .test_contracts import WORD, simhash
 
@@ -56,3 +60,48 @@ def test_copies_survive(spark):
     for name in ("near_copies", "mixing", "packing"):
         after = stages[name](spark, after, "")
     assert {r["doc_id"] for r in after.collect() if r["doc_id"] < 100} == {0}
+
+
+def sets(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+@pytest.mark.parametrize("limits", [(32, 512), (1, 5)])
+def test_near_texts(spark, monkeypatch, limits):
+    """Of texts that chains of similarity 0.8 connect one stays, in small buckets and by tiles; fingerprints miss most of them."""
+    monkeypatch.setattr(shinglesets, "JOIN_MAX", limits[0])
+    monkeypatch.setattr(shinglesets, "CHUNK", limits[1])
+    rng = np.random.default_rng(4)
+    rows = []
+    for g in range(6):
+        base = [f"word{k}" for k in rng.integers(0, 5000, 100)]
+        for i in range(12):
+            words = list(base)
+            for at in rng.integers(0, 100, int(rng.integers(0, 4))):
+                words[at] = f"other{rng.integers(0, 5000)}"
+            rows.append((20 * g + i, " ".join(words), "en", "a"))
+    rows += [(900, None, "en", "a"), (901, "", "en", "a"), (902, "three words only", "en", "a"), (903, "Three  words ONLY", "en", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    root, made = {d: d for d, *_ in rows}, {d: sets(t) for d, t, *_ in rows}
+
+    def find(d):
+        return d if root[d] == d else find(root[d])
+
+    for a in made:
+        for b in made:
+            if a < b and made[a] and len(made[a] & made[b]) >= 0.8 * len(made[a] | made[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    want = {find(d) for d in root}
+    assert {r["doc_id"] for r in shinglesets.keep_one(docs).collect()} == want and len(want) < 40
+    left = corpus_pipeline.near_copy_stage(spark, docs, "")
+    assert left.count() > len(want)
+    assert {find(r["doc_id"]) for r in corpus_pipeline.mixing_stage(spark, left, "").collect()} <= want
+    assert shinglesets.keep_one(docs.limit(0)).count() == 0
+
+
+def test_near_texts_stage(spark):
+    """The documents that the mixing stage returns are pairwise less alike than 0.8."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{k}x" for k in range(100) if i == 0 or k % 100 != 50), "en", "a") for i in range(2)], "doc_id long, text string, lang string, source string")
+    assert {r["doc_id"] for r in corpus_pipeline.mixing_stage(spark, docs, "").collect()} == {0}
