@@ -317,6 +317,18 @@ def test_toxicity_learns():
     assert np.mean(np.array(fine) > threshold) < 0.02 and np.mean(np.array(toxic) > threshold) > 0.75
 
 
+def test_toxicity_few_positives():
+    """Thirty positives suffice: words that few of them have, and other documents lack, are learned."""
+    rng = np.random.default_rng(1)
+    clean = lambda: rng.integers(100, 400, 30)
+    bad = lambda: np.append(clean(), rng.choice(10, 3, replace=False))
+    model = toxicity.train([np.unique(bad()) for _ in range(30)], [np.unique(bad() if i % 10 == 0 else clean()) for i in range(600)], 0.1)
+    z = lambda f: model.bias + sum(model.weights.get(int(k), 0) for k in set(f.tolist()))
+    assert set(range(10)) <= set(model.weights)
+    toxic, fine = np.array([z(bad()) for _ in range(300)]), np.array([z(clean()) for _ in range(300)])
+    assert np.mean(toxic > np.log(0.3 / 0.7)) > 0.75 and np.mean(fine > np.log(0.3 / 0.7)) < 0.1
+
+
 def test_ann(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.standard_normal(9).tolist()) for i in range(200)]

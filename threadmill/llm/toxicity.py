@@ -5,7 +5,8 @@ trained with numpy from confirmed toxic documents and documents of unknown kind.
 The risk is the class prior times the positives' loss, plus the unlabelled
 documents' loss as negatives less what the positives among them account for;
 when that second part falls below zero, its gradient is reversed (Kiryo et al.
-2017). Words enter when positives have them far more often than chance would.
+2017). Words enter when positives have them at several times the unlabelled
+documents' rate, however many documents there are; weights decay.
 
 The fit takes at most about ``max_positive`` and ``max_unlabelled`` documents,
 chosen by a hash of doc_id; their hashed words, not texts, go to the driver.
@@ -59,7 +60,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, epochs: int = 60, batches: int = 12, rate: float = 0.05, lift: float = 8.0, support: int = 4, seed: int = 5) -> Model:
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, epochs: int = 60, batches: int = 12, rate: float = 0.05, ratio: float = 3.0, support: int = 3, decay: float = 5e-4, seed: int = 5) -> Model:
     """Non-negative PU logistic regression on sets of hashed features."""
     n_pos, n_all = len(positive), len(positive) + len(unlabelled)
     if not n_pos or not unlabelled:
@@ -75,7 +76,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     rows = [columns(x) for x in (*positive, *unlabelled)]
     column, row = np.concatenate(rows), np.repeat(np.arange(n_all), [len(r) for r in rows])
     expected = np.bincount(column[row >= n_pos], minlength=len(names)) * n_pos / len(unlabelled)
-    chosen = (in_pos - expected) / np.sqrt(expected + 1) >= lift
+    chosen = (in_pos + 0.5) / (expected + 0.5) >= ratio  # a ratio of rates, which does not grow with the sample
     place, keep = np.cumsum(chosen) - 1, chosen[column]
     row, column, names = row[keep], place[column[keep]], names[chosen]
     starts = np.searchsorted(row, np.arange(n_all + 1))
@@ -86,7 +87,8 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     first, second, step = np.zeros_like(w), np.zeros_like(w), 0
     order_p, order_u = np.arange(n_pos), np.arange(n_pos, n_all)
     batches = max(1, min(batches, n_pos // 8))
-    for _ in range(epochs):
+    mean, taken = np.zeros_like(w), 0  # of the last third of the epochs, as single steps swing
+    for epoch in range(epochs):
         rng.shuffle(order_p)
         rng.shuffle(order_u)
         for some_p, some_u in zip(np.array_split(order_p, batches), np.array_split(order_u, batches)):
@@ -106,10 +108,14 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
             else:
                 g[:k], g[k:] = prior * p[:k] / k, -p[k:] / (len(some) - k)
             grad = np.append(np.bincount(cols, g[owner], minlength=len(names)), g.sum())
+            grad[:-1] += decay * w[:-1]
             step += 1
             first = 0.9 * first + 0.1 * grad
             second = 0.999 * second + 0.001 * grad * grad
             w -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+            if 3 * epoch >= 2 * epochs:
+                mean, taken = mean + w, taken + 1
+    w = mean / taken if taken else w
     return Model(dict(zip(names.tolist(), w[:-1].tolist())), float(w[-1]))
 
 
