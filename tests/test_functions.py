@@ -158,3 +158,26 @@ def test_to_chunks(spark):
 def test_defaults(spark):
     row = schemas.with_defaults(spark.createDataFrame([(1, None)], "tid long, title string"), schemas.POSTS_DDL).first()
     assert row["tid"] == 1 and row["title"] == "" and row["page"] == 1 and row["floor"] == 0 and row["tags"] == []
+
+
+def test_whole_text_numeric_entities(spark, tmp_path):
+    """The registered queries decode references anywhere in a text, as plain Python does."""
+    import re
+
+    from threadmill.plans import registry
+
+    texts = [f"{'long text ' * n}&#{65 + n}; middle &#x4e{n:02x}; &amp;amp; end &#1114112;&#55296;" for n in range(1, 40)] + ["", None]
+
+    def decoded(text):
+        for name, char in textops.ENTITIES:
+            text = text.replace(name, char)
+        char = lambda n: "" if n >= 0x110000 else "?" if 0xD800 <= n <= 0xDFFF else chr(n)
+        text = re.sub(r"&#(\d+);", lambda m: char(int(m[1])), text)
+        return re.sub(r"&#x([0-9a-fA-F]+);", lambda m: char(int(m[1], 16)), text)
+
+    spark.createDataFrame(list(enumerate(texts)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    pages = {r["page_id"]: r["content"] for r in registry.QUERIES["clean_html_numeric"](spark, str(tmp_path)).collect()}
+    assert pages == {i: None if t is None else decoded(t) for i, t in enumerate(texts)}
+    docs = {r["doc_id"]: r["decoded"] for r in registry.QUERIES["whole_text_entities"](spark, str(tmp_path)).collect()}
+    assert docs == {i: None if t is None else chr(65 + i % 26) + chr(20013 + i % 50) + "<" + decoded(t) for i, t in enumerate(texts)}

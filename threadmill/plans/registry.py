@@ -58,6 +58,12 @@ def _clean(t: str) -> str:
     return _tidy(t)
 
 
+def _named(t: str) -> str:
+    for name, char in ENTITIES:
+        t = f"replace({t}, {_q(name)}, {_q(char)})"
+    return t
+
+
 def _list(words: Sequence[str]) -> str:
     return "[" + ", ".join(_q(w) for w in words) + "]"
 
@@ -187,6 +193,17 @@ def numeric_entities(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", textops.decode_entities(F.concat(number, F.substring("text", 1, 5))).alias("decoded"))
 
 
+@register(f"SELECT doc_id, chr(CAST(65 + doc_id % 26 AS INT)) || chr(CAST(20013 + doc_id % 50 AS INT)) || '<' || {_named('text')} AS decoded FROM documents")
+def whole_text_entities(spark, sf_dir):
+    number = F.format_string("&#%d;&#x%s;&amp;lt;", 65 + F.pmod("doc_id", F.lit(26)), F.lower(F.hex(20013 + F.pmod("doc_id", F.lit(50)))))
+    return table(spark, sf_dir, "documents").select("doc_id", textops.decode_entities(F.concat(number, "text")).alias("decoded"))
+
+
+@register()
+def clean_html_numeric(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", textops.clean_html(F.col("html")).alias("content"))
+
+
 @register(
     f"""SELECT doc_id, len(list_filter(string_split(regexp_replace(text, '([。？！.?!])[{SPACE}]*', '\\1' || chr(30), 'g'), chr(30)), lambda s: {_strip('s')} <> '')) AS n_sentences FROM documents"""
 )
