@@ -348,6 +348,14 @@ def test_ann(spark):
     assert ann.nearest(df.limit(0)).count() == 0
 
 
+def test_ann_repeated_id(spark):
+    """Of rows with one id the smallest vector is searched, in whatever order they come."""
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])]
+    for some in (rows, rows[::-1]):
+        df = spark.createDataFrame(some, "vec_id long, embedding array<float>").coalesce(1)
+        assert [r["vec_id"] for r in ann.nearest(df, k=1).collect()] == [2]
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages(spark, messy, none, name, stage):
     assert stage(spark, none, "").count() == 0

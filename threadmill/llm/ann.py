@@ -18,7 +18,8 @@ about once in a thousand.
 Defined cases: vectors that are null, empty, zero, of another length than most,
 or hold a null or non-finite component take no part; equal scores go to the
 smaller id; rows with a null id are left out; of rows with the same id each takes
-part, and a query does not find its own id; an empty table gives no rows.
+part as a vector, the one with the smallest components (compared in order) is
+the query, and a query does not find its own id; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -121,7 +122,7 @@ def nearest(vectors: DataFrame, query_every: int = 20, k: int = 20, epsilon: flo
     """query_id, rank, vec_id, score of the ``k`` best for every row whose id divides by ``query_every``."""
     rows, dim = usable(vectors, vec_id, embedding)
     n = rows.count()
-    asked = rows.filter(F.pmod("vec_id", F.lit(query_every)) == 0).dropDuplicates(["vec_id"])
+    asked = rows.filter(F.pmod("vec_id", F.lit(query_every)) == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     m = asked.count()
     n_blocks, q_blocks = max(1, math.ceil(n / block_rows)), max(1, math.ceil(m / block_queries))
     mine = F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_blocks)).cast("int")
