@@ -9,9 +9,12 @@ ambiguous.
 
 The classifiers are fitted on about ``per_lang`` documents of each language,
 chosen by a hash of doc_id; only n-gram counts reach the driver. Defined cases:
-a null text, or one without a letter, is ``und`` with score 0; nulls, ties and
-repeated rows need nothing special; without training rows all texts are ``und``;
-equal losses go to the language that is first by code point.
+a null text, or one without a letter (as ``str.isalpha`` has it), is ``und`` with
+score 0; a very long text is looked at ``CHUNK`` bytes at a time, all of it;
+rows with a null language or text are not learned from; repeated rows are
+predicted alike; without training rows all texts are ``und``; equal losses go to
+the language that is first by code point; an empty table gives no rows; columns
+other than the named ones are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +35,9 @@ BUCKETS = 1 << 16
 ORDERS = (2, 3, 4)
 #: Bytes of text looked at together.
 CHUNK = 1 << 18
-_OTHER = re.compile(r"[\W\d_]+")
+# word characters that are numerals but no letters, such as superscripts and Roman numerals
+_NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_OTHER = re.compile(rf"[\W\d_{re.escape(_NUMERALS)}]+")
 _MULTIPLIERS = {n: np.uint32((2654435761 * (2 * n + 1)) & 0xFFFFFFFF) for n in ORDERS}
 
 
