@@ -11,9 +11,11 @@ documents' rate, however many documents there are; weights decay.
 The fit takes at most about ``max_positive`` and ``max_unlabelled`` documents,
 chosen by a hash of doc_id; their hashed words, not texts, go to the driver.
 Every whole text is scored. Defined cases: a null or empty text has no words and
-gets the model's base score; a document with several labels is toxic if one says
-so; labels without a document, and null labels, are passed over; without a toxic
-label all scores are 0; an empty table gives no rows.
+gets the model's base score; a very long text counts each of its words once; a
+document with several labels is toxic if one says so; repeated rows score alike;
+labels without a document, and null labels, are passed over; without a toxic
+label all scores are 0; an empty table gives no rows; columns other than the
+named ones are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -119,13 +121,17 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return Model(dict(zip(names.tolist(), w[:-1].tolist())), float(w[-1]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_unlabelled: int = 12_000, text: str = "text", doc_id: str = "doc_id", toxic: str = "toxic") -> Model:
-    """Fit on documents and labels, which must hold training rows only."""
+def fit(docs: DataFrame, labels: DataFrame, max_positive: int = 3000, max_unlabelled: int = 12_000, prior: float | None = None, text: str = "text", doc_id: str = "doc_id", toxic: str = "toxic") -> Model:
+    """Fit on documents and labels, which must hold training rows only.
+
+    ``prior`` is the share of toxic documents among the unlabelled ones; without it
+    the share among the labels stands for it, whatever that is.
+    """
     marks = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(toxic).cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     seen = marks.agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).first()
     if not seen["bad"]:
         return Model({}, -30.0)
-    prior = min(0.9, max(1e-3, seen["bad"] / seen["n"]))
+    prior = seen["bad"] / seen["n"] if prior is None else prior
     drawn = F.shiftrightunsigned(F.xxhash64(F.lit(13), "doc_id"), 11).cast("double") * F.lit(2.0**-53)
     ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"))
     total = ids.count()
