@@ -6,13 +6,18 @@ A piece goes to a sequence where it fits in all three and which the score
 prefers: the smallest weighted norm of what would be left (``"norm"``), or the
 largest weighted dot product of the piece with what is left (``"dot"``).
 
+A piece whose own attention cost is above the bound has a sequence to itself, and
+only such a sequence exceeds it.
+
 Pieces are dealt round robin to groups of about ``group_pieces`` and each group
 is packed on its own, longest piece first, so a task's memory does not grow
 with the corpus, no key can be hot, and a group wastes about one sequence.
 
-Defined cases: a null or empty text is a document of the end id alone; null or
-repeated doc_ids are packed like any other row; an empty table gives no rows;
-columns other than the named ones are ignored.
+Defined cases: a null or empty text is a document of the end id alone; a very
+long text is encoded by one task, some megabytes at a time, and cut into as many
+pieces as it needs; null or repeated doc_ids are packed like any other row; of
+sequences that score alike the one opened first is taken; an empty table gives
+no rows; columns other than the named ones are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,6 +35,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from .scratch import written
 from .wordbpe import encoder
 
+#: Bytes of pieces, which may carry their ids, that wait to be packed together.
+GROUP_BYTES = 128 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
@@ -60,7 +67,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int, end_id: int =
 
 
 def pack_group(lengths: np.ndarray, capacity: tuple[float, float, float], weights: tuple[float, float, float], score: str) -> tuple[np.ndarray, np.ndarray]:
-    """Sequence number and offset of each piece, given longest first."""
+    """Sequence number and offset of each piece, given longest first.
+
+    A piece costlier than the attention capacity counts as all of it, so nothing joins it.
+    """
     cap, weight = np.array(capacity, dtype=float), np.array(weights, dtype=float)
     n = len(lengths)
     left = np.empty((3, max(16, n)))
@@ -70,7 +80,7 @@ def pack_group(lengths: np.ndarray, capacity: tuple[float, float, float], weight
     bins, offsets = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64)
     count = made = 0
     for i, length in enumerate(lengths.tolist()):
-        need = np.array([length, 1.0, float(length) * length])
+        need = np.array([length, 1.0, min(float(length) * length, cap[2])])
         rest = left[:, :count] - need[:, None]
         fits = np.flatnonzero((rest[0] >= 0) & (rest[1] >= 0) & (rest[2] >= 0))
         if fits.size:
@@ -86,7 +96,7 @@ def pack_group(lengths: np.ndarray, capacity: tuple[float, float, float], weight
         bins[i] = one = open_ids[best]
         offsets[i] = used[one]
         used[one] += length
-        if left[0, best] < smallest or left[1, best] < 1:  # nothing fits any more: close it
+        if left[0, best] < smallest or left[1, best] < 1 or left[2, best] < min(smallest**2, cap[2]):  # nothing fits any more: close it
             count -= 1
             left[:, best], open_ids[best] = left[:, count], open_ids[count]
     return bins, offsets
@@ -103,10 +113,10 @@ def pack(
 ) -> DataFrame:
     """``pieces`` (a written table with ``length``, other columns as they are) with ``sequence_id`` and ``offset``.
 
-    ``max_attention`` bounds a sequence's sum of squared lengths; a piece that is
-    alone always has a sequence, so bounds below one piece's cost are raised to it.
+    ``max_attention`` bounds a sequence's sum of squared lengths, by default at what
+    ``max_tokens`` implies; only a sequence of one piece may exceed it.
     """
-    capacity = (float(max_tokens), float(max_pieces or max_tokens), float(max(max_attention or 0, max_tokens**2) if max_attention is None else max_attention))
+    capacity = (float(max_tokens), float(max_pieces or max_tokens), float(max_tokens**2 if max_attention is None else max_attention))
     groups = max(1, math.ceil(pieces.count() / group_pieces))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,9 +131,8 @@ def pack(
             waiting.clear()
             lengths = table.column("length").to_numpy()
             order = np.argsort(-lengths, kind="stable")
-            cap = (capacity[0], capacity[1], max(capacity[2], float(lengths.max()) ** 2))
             bins, offsets = np.empty(len(order), dtype=np.int64), np.empty(len(order), dtype=np.int64)
-            bins[order], offsets[order] = pack_group(lengths[order], cap, weights, score)
+            bins[order], offsets[order] = pack_group(lengths[order], capacity, weights, score)
             first = (base << 40) + (turn << 26)
             turn += 1
             table = table.append_column("sequence_id", pa.array(bins + first)).append_column("offset", pa.array(offsets))
@@ -132,7 +141,8 @@ def pack(
         for batch in batches:
             for at in range(0, batch.num_rows, 2 * group_pieces):
                 part = batch.slice(at, 2 * group_pieces)
-                if waiting and sum(b.num_rows for b in waiting) + part.num_rows > 2 * group_pieces:
+                full = sum(b.num_rows for b in waiting) + part.num_rows > 2 * group_pieces
+                if waiting and (full or sum(b.nbytes for b in waiting) > GROUP_BYTES):
                     yield flush()
                 waiting.append(part)
         if waiting and sum(b.num_rows for b in waiting):
