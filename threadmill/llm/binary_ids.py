@@ -4,13 +4,17 @@ File format: a Parquet table of blocks. A block holds whole documents in
 ascending doc_id order: ``payload`` has each id in the fewest bits that the
 vocabulary needs, little-endian bit order, padded to a byte; ``doc_ids`` and
 ``ends`` (ids up to the end of each document) are its index, ``shard`` and
-``block`` give its place, ``first`` the ids before it in its shard. A reader
-needs one block row to decode any document in it, with numpy alone.
-
-Shards are ranges of doc_id, so the files follow ascending doc_id order and no
-task holds more than one block of ids. Defined cases: a null or empty text has
-the end id only; null doc_ids come first; repeated doc_ids stay next to each
-other, ordered by text; an empty table gives an empty file and no rows.
+``block`` give its place, ``first`` the ids before it in its shard, ``low`` and
+``high`` its least and greatest doc_id. A reader needs one block row to decode
+any document in it, with numpy alone, and the files' statistics of ``low`` and
+``high`` say which file holds that row.
+
+Shards are ranges of doc_id, so the files follow ascending doc_id order. A task
+holds one block of ids, or one longer document's, beside the batch of texts that
+Arrow hands it. Defined cases: a null or empty text has the end id only; a very
+long text has a block to itself; null doc_ids come first; repeated doc_ids stay
+next to each other, ordered by text; an empty table gives an empty file and no
+rows; columns other than the named ones are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,9 +30,9 @@ from pyspark.sql import functions as F
 from .scratch import parallelism
 from .wordbpe import encoder
 
-BLOCKS = "shard int, block int, first long, n_ids long, bits int, doc_ids array<long>, ends array<long>, payload binary"
+BLOCKS = "shard int, block int, first long, n_ids long, bits int, low long, high long, doc_ids array<long>, ends array<long>, payload binary"
 DIGESTS = "shard int, doc_id long, start_in_shard long, n_tokens long, ids_crc32 long"
-_ARROW = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()), ("bits", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("payload", pa.binary())])
+_ARROW = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()), ("bits", pa.int32()), ("low", pa.int64()), ("high", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("payload", pa.binary())])
 
 
 def bits_for(vocab_size: int) -> int:
@@ -79,7 +83,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, block
             nonlocal block, first, ids, raws, size
             flat = np.frombuffer(b"".join(raws), "<u4")
             ends = np.cumsum([len(r) // 4 for r in raws])
-            row = {"shard": shard, "block": block, "first": first, "n_ids": len(flat), "bits": bits, "doc_ids": ids, "ends": ends.tolist(), "payload": pack_bits(flat, bits)}
+            known = [i for i in ids if i is not None]
+            row = {"shard": shard, "block": block, "first": first, "n_ids": len(flat), "bits": bits, "low": min(known, default=None), "high": max(known, default=None), "doc_ids": ids, "ends": ends.tolist(), "payload": pack_bits(flat, bits)}
             block, first, ids, raws, size = block + 1, first + len(flat), [], [], 0
             return pa.RecordBatch.from_pylist([row], _ARROW)
 
@@ -123,9 +128,15 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     return digests.join(F.broadcast(offsets), "shard").select("doc_id", (F.col("before") + F.col("start_in_shard")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def block_of(spark: SparkSession, path: str, doc_id: int) -> DataFrame:
+    """The blocks that may hold a document; Spark opens the files whose statistics admit it."""
+    blocks = spark.read.schema(BLOCKS).parquet(path)
+    return blocks.filter((F.col("low") <= doc_id) & (F.col("high") >= doc_id) & F.array_contains("doc_ids", F.lit(doc_id)))
+
+
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[int]:
-    """One document's ids by random access: only its block is decoded."""
-    rows = spark.read.schema(BLOCKS).parquet(path).filter(F.array_contains("doc_ids", F.lit(doc_id))).limit(1).collect()
+    """One document's ids by random access: only its block is read and only its ids are decoded."""
+    rows = block_of(spark, path, doc_id).limit(1).collect()
     if not rows:
         return []
     at = rows[0]["doc_ids"].index(doc_id)
