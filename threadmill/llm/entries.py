@@ -84,10 +84,10 @@ def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = linededup.with_bitmaps(docs, min_docs=10, keep_first=False, min_chars=1)
-    lines = linededup.lines_of(F.col("text"))
-    kept = linededup.kept_lines(lines, F.col("__dropped"))
-    counted = marked.select("doc_id", F.size(lines).cast("long").alias("n_lines"), F.array_join(kept, "\n").alias("kept"), "__dropped")
-    dropped = F.aggregate(F.coalesce(F.map_values("__dropped"), F.array().cast("array<bigint>")), F.lit(0).cast("long"), lambda a, w: a + F.bit_count(w))
+    lines = linededup.lines_of(F.col("row.text"))
+    kept = linededup.kept_lines(lines, F.col("dropped"))
+    counted = marked.select("row.doc_id", F.size(lines).cast("long").alias("n_lines"), F.array_join(kept, "\n").alias("kept"), "dropped")
+    dropped = F.aggregate(F.coalesce(F.map_values("dropped"), F.array().cast("array<bigint>")), F.lit(0).cast("long"), lambda a, w: a + F.bit_count(w))
     return counted.select("doc_id", "n_lines", dropped.alias("n_dropped"), F.sha2("kept", 256).alias("kept_sha256"))
 
 

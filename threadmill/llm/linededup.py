@@ -3,14 +3,17 @@
 Lines become 128-bit hashes of their keys; the hashes are range-partitioned and
 sorted by document and position behind them, so that equal keys stream by and
 the first occurrence and the number of documents fall out of one pass. A salt
-from the document splits a hot key over many ranges, and the few rows that the
-salts leave per key are then combined. Only decisions travel back: a bitmap of
+from the document, hashed with the key, splits a hot key over many ranges, and
+the few rows that the salts leave per key are then combined. Only decisions travel back: a bitmap of
 64-line words per document, of which only words with a dropped line are kept.
 
 Everything is DataFrame functions. Defined cases: a null or empty text is one
 empty line; a key shorter than ``min_chars`` is never dropped; each row counts
 as a document, also when its doc_id is null or repeated; equal rows get equal
-bitmaps; an empty table gives no rows.
+bitmaps; of equal first occurrences all count as first; a very long text is a
+row of hashes per line, so no task holds more of it than Spark's split does;
+columns of any name, also those used here, come back as they were; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import parallelism, written
+from .scratch import boxed, parallelism, written
 
 #: What is stripped from both ends of a key: [\x20\x09-\x0D].
 SPACE = " \t\n\x0b\x0c\r"
@@ -101,14 +104,16 @@ def kept_lines(lines: Column, dropped: Column) -> Column:
 
 
 def with_bitmaps(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with the column ``__dropped`` of :func:`drop_bitmaps` (null: nothing dropped)."""
-    maps = drop_bitmaps(docs, text=text, doc_id=doc_id, **options).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"), F.col("dropped").alias("__dropped"))
-    tag = F.xxhash64(docs[text])
-    return docs.join(maps, docs[doc_id].cast("long").eqNullSafe(maps["__id"]) & (tag == maps["__tag"]), "left").drop("__id", "__tag")
+    """``row``, a struct of each row's columns, and ``dropped`` as of :func:`drop_bitmaps` (null: nothing dropped)."""
+    maps = drop_bitmaps(docs, text=text, doc_id=doc_id, **options)
+    rows = boxed(docs, id=F.col(doc_id).cast("long"), mark=F.xxhash64(text))
+    return rows.join(maps, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("mark") == F.col("tag")), "left").select("row", "dropped")
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """``docs`` with the kept lines of each text, joined by newlines; a null text stays null."""
     marked = with_bitmaps(docs, text=text, **options)
-    clean = F.array_join(kept_lines(lines_of(F.col(text)), F.col("__dropped")), "\n")
-    return marked.withColumn(text, F.when(F.col("__dropped").isNull(), F.col(text)).otherwise(clean)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole, dropped = F.col("row")[text], F.col("dropped")
+    clean = F.array_join(kept_lines(lines_of(whole), dropped), "\n")
+    kept = F.when(dropped.isNull(), whole).otherwise(clean)
+    return marked.select(*[(kept if c == text else F.col("row")[c]).alias(c) for c in docs.columns])

@@ -13,7 +13,9 @@ misses its target by one document at most.
 Everything is DataFrame functions and every draw is a hash of the pair, so runs
 agree. Defined cases: a null text has size 0 and is never taken; null sources
 are one source, the last; repeated rows are separate documents; a source without
-words has target 0; an empty table gives no rows.
+words has target 0; a very long text is a size like any other, and may be as far
+as its source misses the target; columns of any name come back as they were; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import written
+from .scratch import boxed, unboxed, written
 
 #: Documents of a block, about.
 FAN_IN = 128
@@ -151,12 +153,9 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     """``docs`` with each row repeated as often as the mix takes it; columns as they were."""
     chosen = written(choose_copies(docs, text=text, source=source, doc_id=doc_id, **options), "copies")
     repeated = (chosen.agg(F.max("nth")).first()[0] or 1) > 1
-    chosen = chosen.filter("copies > 0")
-    chosen = chosen.select(F.col("doc_id").alias("__a"), F.col("tag").alias("__b"), F.col("nth").alias("__n"), F.col("source").alias("__s"), F.col("copies").alias("__copies"))
-    named = docs.withColumns({"__id": F.col(doc_id).cast("long"), "__tag": F.xxhash64(text), "__source": F.col(source).cast("string")})
+    chosen = chosen.filter("copies > 0").select("doc_id", "tag", "nth", F.col("source").alias("origin"), "copies")
+    rows = boxed(docs, id=F.col(doc_id).cast("long"), mark=F.xxhash64(text), source=F.col(source).cast("string"))
     # rows that are told apart by nothing else are numbered; without any, texts are not shuffled for it
-    nth = F.row_number().over(Window.partitionBy("__id", "__tag", "__source").orderBy("__id")) if repeated else F.lit(1)
-    named = named.withColumn("__nth", nth)
-    same = F.col("__id").eqNullSafe(F.col("__a")) & (F.col("__tag") == F.col("__b")) & (F.col("__nth") == F.col("__n")) & F.col("__source").eqNullSafe(F.col("__s"))
-    taken = named.join(chosen, same)
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = rows.withColumn("number", F.row_number().over(Window.partitionBy("id", "mark", "source").orderBy("id")) if repeated else F.lit(1))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("mark") == F.col("tag")) & (F.col("number") == F.col("nth")) & F.col("source").eqNullSafe(F.col("origin"))
+    return unboxed(rows.join(chosen, same).select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))))
