@@ -1,13 +1,16 @@
-"""Near copies by the Jaccard similarity of word-shingle sets.
+"""Links between texts by the Jaccard similarity of their word-shingle sets.
 
-Candidates come from MinHash: ``BANDS`` keys of ``EACH`` minima per document;
-documents that share a key are compared by their whole sets of hashed shingles,
-so a link is always a verified one. Of pairs at similarity 0.8, 0.2 % share no
-key. Pairs of small buckets are joined to their sets; larger buckets go by tiles
-of two chunks, which return a spanning forest. Links close into components.
+These help SimHash groups, whose fingerprints tell only near-identical texts:
+at similarity 0.8 two of them differ in some ten of 64 bits, too many for blocks
+to find. Candidates come from MinHash: ``BANDS`` keys of ``EACH`` minima of the
+same hashes that a fingerprint is made of. Texts that share a key are compared by
+their whole sets, so a link is always a verified one. Of pairs at similarity 0.8,
+0.2 % share no key. Pairs of small buckets are joined to their sets; larger
+buckets go by tiles of two chunks, which return a spanning forest.
 
 Defined cases: a text of fewer words than a shingle is one shingle; a text
-without words is like no other; null text counts as empty; repeated rows are
+without words has no link here; null text counts as empty; a very long text has
+as many keys as any other and a set of eight bytes a shingle; equal texts are
 one; an empty table gives no rows.
 """
 
@@ -16,37 +19,35 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import written
-from .simhash import components
 
 BANDS, EACH = 20, 6
-#: Documents of a bucket that are paired as rows; larger buckets go by tiles.
+#: Texts of a bucket that are paired as rows; larger buckets go by tiles.
 JOIN_MAX = 32
-#: Documents of a chunk, about; a tile has two chunks.
+#: Texts of a chunk, about; a tile has two chunks.
 CHUNK = 512
-#: Documents to compare that are broadcast as ids; with more, texts are shuffled.
-BROADCAST_NODES = 200_000
+#: Texts to compare that are broadcast by hash; with more, texts are shuffled.
+BROADCAST_TEXTS = 200_000
 #: Shingles whose minima are taken at a time.
 SOME = 1 << 12
 _FACTORS = np.random.default_rng(17).integers(0, 2**63, BANDS * EACH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shingles(text: bytes | None, words_each: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of a text's word shingles."""
+def shingle_hashes(text: bytes | None, words_each: int, seed: int = 42) -> np.ndarray:
+    """XXH64 of every shingle of a text's words, in order; the whole sequence of fewer words is one, and no words are none."""
     words = (text or b"").lower().split()
     if not words:
-        return np.empty(0, dtype=np.uint64)
-    digest = xxhash.xxh3_64_intdigest
+        return np.empty(0, dtype="<u8")
+    digest = xxhash.xxh64_intdigest
     if len(words) < words_each:
-        return np.array([digest(b" ".join(words))], dtype=np.uint64)
-    grams = map(b" ".join, zip(*(words[i:] for i in range(words_each))))
-    return np.unique(np.fromiter(map(digest, grams), dtype=np.uint64, count=len(words) - words_each + 1))
+        return np.array([digest(b" ".join(words), seed)], dtype="<u8")
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(words_each))))
+    return np.fromiter((digest(s, seed) for s in shingles), dtype="<u8", count=len(words) - words_each + 1)
 
 
 def band_keys(found: np.ndarray) -> list[int]:
@@ -83,74 +84,48 @@ def spanning_forest(sets: list[np.ndarray], least: float) -> list[tuple[int, int
     return links
 
 
-def _node() -> Column:
-    return F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text"))
-
-
-def _mapped(rows: DataFrame, kind: str, make, arrow: pa.DataType) -> DataFrame:
-    """node and ``make`` of each text's shingles."""
+def links(docs: DataFrame, each: DataFrame, least: float, words_each: int, text: str = "text") -> DataFrame:
+    """Verified links (a, b) between nodes. ``each``: tag (hash of a text), node and keys of every different text."""
+    keyed = each.select("tag", "node", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").count().filter("count > 1")
+    members = written(keyed.join(shared, "key").select("key", "tag", "node", F.col("count").alias("n")), "shared-keys")
+    wanted = written(members.select("tag").distinct(), "compared")
+    if wanted.count() <= BROADCAST_TEXTS:
+        wanted = F.broadcast(wanted)
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([make(t) for t in batch.column(1).to_pylist()], arrow)], names=["node", "made"])
-
-    return rows.mapInArrow(each, f"node long, made {kind}")
+            made = [np.unique(shingle_hashes(t.as_py(), words_each)).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["tag", "made"])
 
+    texts = docs.select(F.xxhash64(text).alias("tag"), F.col(text).cast("binary").alias("text")).join(wanted, "tag", "left_semi")
+    sets = written(texts.mapInArrow(hashed, "tag long, made binary").dropDuplicates(["tag"]), "shingles")
 
-def near_links(docs: DataFrame, least: float = 0.8, words_each: int = 5) -> DataFrame:
-    """Verified links (a < b) between nodes, hashes of doc_id and text."""
-    texts = docs.select(_node().alias("node"), F.col("text").cast("binary").alias("text"))
-    signed = written(_mapped(texts, "array<long>", lambda t: band_keys(shingles(t, words_each)), pa.list_(pa.int64())), "signatures")
-    keyed = signed.select("node", F.explode("made").alias("key")).distinct()
-    shared = keyed.groupBy("key").count().filter("count > 1")
-    members = written(keyed.join(shared, "key").select("key", "node", F.col("count").alias("n")), "buckets")
     cold, hot = members.filter(F.col("n") <= JOIN_MAX), members.filter(F.col("n") > JOIN_MAX)
-    left, right = cold.select("key", F.col("node").alias("a")), cold.select("key", F.col("node").alias("b"))
-    pairs = written(left.join(right, "key").filter("a < b").select("a", "b").distinct(), "pairs")
-
-    wanted = written(members.select("node").distinct(), "compared")
-    if wanted.count() <= BROADCAST_NODES:
-        wanted = F.broadcast(wanted)
-    compared = texts.join(wanted, "node", "left_semi")
-    sets = written(_mapped(compared, "binary", lambda t: shingles(t, words_each).tobytes(), pa.binary()).dropDuplicates(["node"]), "shingles")
+    left, right = cold.select("key", F.col("tag").alias("x"), F.col("node").alias("a")), cold.select("key", F.col("tag").alias("y"), F.col("node").alias("b"))
+    # texts of one fingerprint are together already
+    pairs = left.join(right, "key").filter((F.col("x") < F.col("y")) & (F.col("a") != F.col("b"))).select("x", "y", "a", "b").distinct()
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, other = ([np.frombuffer(x, np.uint64) for x in batch.column(k).to_pylist()] for k in (2, 3))
             fits = pa.array([bool(similarity(x, [y])[0] >= least) for x, y in zip(one, other)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(fits), batch.column(1).filter(fits)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(fits) for k in (0, 1)], schema=pa.schema([batch.schema.field(k) for k in (0, 1)]))
 
-    with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("made").alias("x")), "a")
-    small = with_a.join(sets.select(F.col("node").alias("b"), F.col("made").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+    node = pairs.schema["a"].dataType.simpleString()
+    with_x = pairs.join(sets.select(F.col("tag").alias("x"), F.col("made").alias("one")), "x")
+    both = with_x.join(sets.select(F.col("tag").alias("y"), F.col("made").alias("other")), "y").select("a", "b", "one", "other")
+    small = both.mapInArrow(verified, f"a {node}, b {node}")
 
-    mine = hot.withColumn("c", F.ceil(F.col("n") / CHUNK)).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("c")))
+    mine = hot.withColumn("c", F.ceil(F.col("n") / CHUNK)).withColumn("mine", F.pmod(F.xxhash64("tag"), F.col("c")))
     tile = F.transform(F.sequence(F.lit(0).cast("long"), F.col("c") - 1), lambda j: F.struct(F.least("mine", j).alias("x"), F.greatest("mine", j).alias("y")))
-    tiled = mine.select("key", "node", F.explode(tile).alias("t")).select("key", "t.x", "t.y", "node").join(sets, "node")
+    tiled = mine.select("key", "tag", "node", F.explode(tile).alias("t")).select("key", "t.x", "t.y", "tag", "node").join(sets, "tag")
 
-    def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        node = pdf["node"].to_numpy()
-        found = spanning_forest([np.frombuffer(x, np.uint64) for x in pdf["made"]], least)
-        heads, tails = (node[[p[k] for p in found]] if found else node[:0] for k in (0, 1))
-        return pd.DataFrame({"a": np.minimum(heads, tails), "b": np.maximum(heads, tails)})
+    def connected(table: pa.Table) -> pa.Table:
+        found = spanning_forest([np.frombuffer(x, np.uint64) for x in table.column("made").to_pylist()], least)
+        nodes = table.column("node").combine_chunks()
+        ends = [nodes.take(pa.array([p[k] for p in found], pa.int64())) for k in (0, 1)]
+        return pa.table(ends, names=["a", "b"])
 
-    large = tiled.groupBy("key", "x", "y").applyInPandas(links, "a long, b long")
+    large = tiled.groupBy("key", "x", "y").applyInArrow(connected, f"a {node}, b {node}")
     return small.unionByName(large).distinct()
-
-
-def keep_one(docs: DataFrame, least: float = 0.8, words_each: int = 5) -> DataFrame:
-    """``docs`` with one row of each group that links of similarity ``least`` connect: its smallest doc_id, then text hash.
-
-    Null doc_ids count as largest. The columns of ``docs`` are returned unchanged.
-    """
-    roots = written(components(near_links(docs, least, words_each)), "roots")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("tag"))
-    rows = docs.select(_node().alias("node"), order.alias("place"))
-    grouped = written(rows.join(roots, "node"), "groups")
-    first = grouped.groupBy("root").agg(F.min("place").alias("first"))
-    lost = written(grouped.join(first, "root").filter("place <> first").select(F.col("node").alias("__node")).distinct(), "lost")
-    if lost.count() <= BROADCAST_NODES:
-        lost = F.broadcast(lost)
-    stay = docs.withColumn("__mine", _node()).join(lost, F.col("__mine") == F.col("__node"), "left_anti")
-    if not rows.groupBy("node").count().filter("count > 1").isEmpty():  # only then do texts need a shuffle
-        stay = stay.dropDuplicates(["__mine"])
-    return stay.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -9,9 +9,10 @@ compares one tile with numpy and returns a spanning forest of its links, never
 all pairs. Links are closed into components by alternating star contractions.
 
 Defined cases: null text counts as empty; a text without words has fingerprint
-zero and is linked like any other; rows with a null doc_id take part, and a
-component's id is its smallest non-null doc_id; repeated rows share a row's
-fingerprint and component; an empty table gives no rows.
+zero and is linked like any other; a very long text's hashes are eight bytes a
+shingle; rows with a null doc_id take part, and a component's id is its smallest
+non-null doc_id; repeated rows share a row's fingerprint and component; an empty
+table gives no rows; columns other than the named ones are ignored.
 """
 
 from __future__ import annotations
@@ -20,54 +21,54 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import written
+from . import shinglesets
+from .scratch import boxed, unboxed, written
+from .skew import join_counted
 
 #: Fingerprints of a bucket that are joined as rows; larger buckets go by tiles.
 JOIN_MAX = 32
 #: Fingerprints of a chunk, about; a tile has two chunks.
 CHUNK = 4096
+#: Rows to drop that are broadcast by id; with more, texts are shuffled.
+BROADCAST_ROWS = 200_000
 #: Shingles whose bits are counted at a time.
 SOME = 1 << 15
 
 
-def fingerprint(text: bytes | None, words_each: int = 4, seed: int = 42) -> int:
-    """SimHash of a text's word shingles as an unsigned 64-bit integer."""
-    words = (text or b"").lower().split()
-    if not words:
+def fingerprint(hashes: np.ndarray) -> int:
+    """SimHash of shingle hashes as an unsigned 64-bit integer: bits set in over half of them."""
+    if not len(hashes):
         return 0
-    if len(words) < words_each:
-        shingles: Iterator = iter([b" ".join(words)])
-        n = 1
-    else:
-        shingles = map(b" ".join, zip(*(words[i:] for i in range(words_each))))
-        n = len(words) - words_each + 1
     ones = np.zeros(64, dtype=np.int64)
-    digest = xxhash.xxh64_intdigest
-    left = n
-    while left:
-        k = min(left, SOME)
-        h = np.fromiter((digest(next(shingles), seed) for _ in range(k)) if k < left else (digest(s, seed) for s in shingles), dtype="<u8", count=k)
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        left -= k
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    for at in range(0, len(hashes), SOME):
+        ones += np.unpackbits(hashes[at : at + SOME].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
 
+def fingerprints(docs: DataFrame, words_each: int = 4, text: str = "text", doc_id: str = "doc_id", with_keys: bool = False) -> DataFrame:
+    """doc_id, tag (a hash of the text, to find the row again) and fp (signed 64 bits) of every row.
 
-def fingerprints(docs: DataFrame, words_each: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, tag (a hash of the text, to find the row again) and fp (signed 64 bits) of every row."""
+    ``with_keys`` adds ``keys``, those of :func:`shinglesets.band_keys` for the same shingles.
+    """
+    names = ["doc_id", "tag", "fp"] + ["keys"] * with_keys
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t, words_each) for t in batch.column(2).to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], names=["doc_id", "tag", "fp"])
+            fps, keys = np.empty(batch.num_rows, dtype=np.uint64), []
+            for i, t in enumerate(batch.column(2)):
+                hashes = shinglesets.shingle_hashes(t.as_py(), words_each)
+                fps[i] = fingerprint(hashes)
+                if with_keys:
+                    keys.append(shinglesets.band_keys(np.unique(hashes)))
+            made = [batch.column(0), batch.column(1), pa.array(fps.view(np.int64), pa.int64())]
+            yield pa.RecordBatch.from_arrays(made + [pa.array(keys, pa.list_(pa.int64()))] * with_keys, names=names)
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tag"), F.col(text).cast("binary").alias("text"))
-    return narrow.mapInArrow(each, "doc_id long, tag long, fp long")
+    return narrow.mapInArrow(each, "doc_id long, tag long, fp long" + ", keys array<long>" * with_keys)
 
 
 def block_masks(distance: int, blocks: int, bits: int = 64) -> list[int]:
@@ -101,40 +102,43 @@ def spanning_forest(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndar
     return (np.concatenate(heads), np.concatenate(tails)) if heads else (none, none)
 
 
-def close_pairs(fps: DataFrame, distance: int = 4, blocks: int = 6) -> DataFrame:
-    """Links (a < b) between distinct values of ``fp`` that give the same components as all links.
+def close_pairs(nodes: DataFrame, distance: int = 4, blocks: int = 6) -> DataFrame:
+    """Links (a, b) between ``node`` values of distinct ``fp`` that give the same components as all links.
 
     ``blocks`` sets the key width, 64 * (blocks - distance) / blocks bits: raise
     it when 2 to that power is small beside the number of fingerprints.
     """
     masks = F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(block_masks(distance, blocks))])
-    keyed = fps.select("fp", F.explode(masks).alias("b")).select("b.k", "b.key", "fp")
+    keyed = nodes.select("node", "fp", F.explode(masks).alias("b")).select("b.k", "b.key", "fp", "node")
     shared = keyed.groupBy("k", "key").count().filter("count > 1")
-    members = written(keyed.join(shared, ["k", "key"]).select("k", "key", "fp", F.col("count").alias("n")), "buckets")
+    members = written(keyed.join(shared, ["k", "key"]).select("k", "key", "fp", "node", F.col("count").alias("n")), "buckets")
     cold = members.filter(F.col("n") <= JOIN_MAX)
-    left, right = cold.select("k", "key", F.col("fp").alias("a")), cold.select("k", "key", F.col("fp").alias("b"))
-    near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
+    left = cold.select("k", "key", F.col("fp").alias("x"), F.col("node").alias("a"))
+    right = cold.select("k", "key", F.col("fp").alias("y"), F.col("node").alias("b"))
+    near = (F.col("x") < F.col("y")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= distance)
     small = left.join(right, ["k", "key"]).filter(near).select("a", "b")
 
     chunks = F.ceil(F.col("n") / CHUNK)
     hot = members.filter(F.col("n") > JOIN_MAX).withColumn("c", chunks).withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("c")))
     tile = F.transform(F.sequence(F.lit(0).cast("long"), F.col("c") - 1), lambda j: F.struct(F.least("mine", j).alias("x"), F.greatest("mine", j).alias("y")))
-    tiled = hot.select("k", "key", "fp", F.explode(tile).alias("t")).select("k", "key", "t.x", "t.y", "fp")
+    tiled = hot.select("k", "key", "fp", "node", F.explode(tile).alias("t")).select("k", "key", "t.x", "t.y", "fp", "node")
 
-    def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        values = np.unique(pdf["fp"].to_numpy())
-        heads, tails = spanning_forest(values.view(np.uint64), distance)
-        return pd.DataFrame({"a": np.minimum(values[heads], values[tails]), "b": np.maximum(values[heads], values[tails])})
+    def links(table: pa.Table) -> pa.Table:
+        ends = spanning_forest(table.column("fp").to_numpy().view(np.uint64), distance)
+        nodes = table.column("node").combine_chunks()
+        return pa.table([nodes.take(pa.array(at)) for at in ends], names=["a", "b"])
 
-    large = tiled.groupBy("k", "key", "x", "y").applyInPandas(links, "a long, b long")
+    node = small.schema["a"].dataType.simpleString()
+    large = tiled.groupBy("k", "key", "x", "y").applyInArrow(links, f"a {node}, b {node}")
     return small.unionByName(large).distinct()
 
 
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """node, root (the smallest node reachable) for every node with an edge.
+    """node, root (the smallest node reachable) for every node of an edge (a, b); nodes are of any type with an order.
 
     Alternates large-star and small-star (Kiveris et al. 2014) until a round
-    changes nothing; each round's edges are written, so lineage stays short.
+    changes nothing; each round's edges are written, so lineage stays short. A
+    node with very many neighbours has its least one broadcast to them.
     """
     edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v"), "edges")
     before = None
@@ -144,10 +148,10 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
             break
         before = tuple(now)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = join_counted(both.filter("v > u"), least, "u", 2 * now[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = join_counted(large, low, "u", 2 * now[0]).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
@@ -155,26 +159,41 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
-def near_groups(docs: DataFrame, distance: int = 4, blocks: int = 6, words_each: int = 4, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, tag, fp and component_id of every row of ``docs``."""
-    rows = written(fingerprints(docs, words_each, text, doc_id), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(close_pairs(nodes.select("fp"), distance, blocks))
-    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    groups = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
-    return rows.join(groups, "fp").select("doc_id", "tag", "fp", "root", "component_id")
+def near_groups(docs: DataFrame, distance: int = 4, blocks: int = 6, words_each: int = 4, least: float | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, tag, fp, root and component_id of every row of ``docs``.
+
+    A fingerprint is a node that begins with its smallest doc_id, so a component's
+    root names it. ``least`` adds links between texts whose shingle sets are that
+    similar, which 64 bits within ``distance`` mostly miss.
+    """
+    rows = written(fingerprints(docs, words_each, text, doc_id, with_keys=least is not None), "fingerprints")
+    per = rows.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
+    nodes = written(per.select("fp", F.struct(F.col("id").isNull().alias("none"), "id", "fp").alias("node"), "n"), "nodes")
+    total = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    links = close_pairs(nodes, distance, blocks)
+    if least is not None:
+        each = rows.groupBy("tag").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"))
+        links = links.unionByName(shinglesets.links(docs, join_counted(each, nodes, "fp", total), least, words_each, text))
+    roots = components(links).select(F.col("node.fp").alias("fp"), "root")
+    groups = nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "node").alias("root"), "n")
+    found = join_counted(rows.select("doc_id", "tag", "fp"), written(groups, "groups"), "fp", total)
+    return found.select("doc_id", "tag", "fp", F.col("root.fp").alias("root"), F.col("root.id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: its smallest doc_id, then smallest text hash.
 
-    Null doc_ids count as largest. The columns of ``docs`` are returned unchanged.
+    Null doc_ids count as largest. The columns of ``docs``, whatever their names, are returned unchanged.
     """
-    groups = written(near_groups(docs, **options), "groups")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")
-    kept = groups.groupBy("root").agg(F.min(order).alias("one")).select(F.col("one.doc_id").alias("__keep_id"), F.col("one.tag").alias("__keep_tag"))
-    named = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__tag": F.xxhash64("text")})
-    stay = named.join(kept, named["__id"].eqNullSafe(kept["__keep_id"]) & (named["__tag"] == kept["__keep_tag"]), "left_semi")
-    if not groups.groupBy("doc_id", "tag").count().filter("count > 1").isEmpty():  # only then do texts need a second shuffle
-        stay = stay.dropDuplicates(["__id", "__tag"])
-    return stay.select(*[F.col(f"`{c}`") for c in docs.columns])
+    groups = written(near_groups(docs, **options), "grouped")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")
+    per = groups.groupBy("root").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    placed = join_counted(groups, per, "root", groups.count())
+    lost = written(placed.filter(place != F.col("first")).select("doc_id", "tag").distinct(), "lost")
+    if lost.count() <= BROADCAST_ROWS:
+        lost = F.broadcast(lost)
+    rows = boxed(docs, id=F.col("doc_id").cast("long"), mark=F.xxhash64("text"))
+    stay = rows.join(lost, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("mark") == F.col("tag")), "left_anti")
+    if not groups.groupBy("doc_id", "tag").count().filter("count > 1").isEmpty():  # only then do texts need a shuffle
+        stay = stay.dropDuplicates(["id", "mark"])
+    return unboxed(stay)
