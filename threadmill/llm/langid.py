@@ -35,15 +35,15 @@ BUCKETS = 1 << 16
 ORDERS = (2, 3, 4)
 #: Bytes of text looked at together.
 CHUNK = 1 << 18
-# word characters that are numerals but no letters, such as superscripts and Roman numerals
-_NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_OTHER = re.compile(rf"[\W\d_{re.escape(_NUMERALS)}]+")
+_OTHER = re.compile(r"[\W\d_]+")
 _MULTIPLIERS = {n: np.uint32((2654435761 * (2 * n + 1)) & 0xFFFFFFFF) for n in ORDERS}
 
 
 def letters(text: str | None) -> bytes:
     """Lower-cased words of letters, each with a space on both sides; empty without letters."""
     words = _OTHER.sub(" ", text.lower()).strip() if text else ""
+    if not words.isascii() and not words.replace(" ", "").isalpha():  # numerals such as superscripts are word characters too
+        words = " ".join("".join(c if c.isalpha() else " " for c in words).split())
     return f" {words} ".encode("utf-8", "replace") if words else b""
 
 
