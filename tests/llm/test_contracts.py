@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -13,7 +14,7 @@ import pyarrow.parquet as pq
 import pytest
 import xxhash
 
-from threadmill.llm import entries
+from threadmill.llm import entries, langid, toxicity
 from threadmill.plans.cluster import ship
 
 SF = "/root/testdata/sf0.001"
@@ -74,6 +75,61 @@ def test_op2(spark, docs):
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
 
 
+def held_out_quality(spark, sf):
+    """(hits, missed, false alarms) over the labelled rows that the fit never saw."""
+    toxic = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{sf}/labels.parquet").to_pylist()}
+    rows = {r["doc_id"]: r["predicted"] for r in entries.QUERIES["op2_nnpu_toxicity"](ship(spark), sf).select("doc_id", "held_out", "predicted").collect() if r["held_out"]}
+    pairs = Counter((toxic[d], p) for d, p in rows.items() if d in toxic)
+    return pairs[1, 1], pairs[1, 0], pairs[0, 1]
+
+
+def test_op2_quality(spark):
+    hits, missed, alarms = held_out_quality(spark, "/root/testdata/sf0.1")
+    assert hits >= 0.8 * (hits + missed) and hits >= 0.75 * (hits + alarms)
+    hits, missed, alarms = held_out_quality(spark, "/root/testdata/sf0.01")
+    assert hits >= 0.5 * (hits + missed) and hits >= 0.75 * (hits + alarms)
+
+
+def test_op2_plain_training():
+    """The trained weights are those of the same steps written out document by document."""
+    rng = random.Random(2)
+    positive = [sorted({1, *rng.sample(range(2, 60), 8)}) for _ in range(24)]
+    unlabelled = [sorted(rng.sample(range(2, 60), 8) + [1] * (i % 10 == 0)) for i in range(120)]
+    prior, epochs, ratio, decay = 0.1, 9, 1.05, 5e-4
+    model = toxicity.train([np.array(x, dtype=np.uint64) for x in positive], [np.array(x, dtype=np.uint64) for x in unlabelled], prior, epochs=epochs, ratio=ratio)
+
+    have = [{k: sum(k in x for x in rows) for k in range(1, 60)} for rows in (positive, unlabelled)]
+    chosen = [k for k in range(1, 60) if have[0][k] >= 3 and (have[0][k] + 0.5) / (have[1][k] * 24 / 120 + 0.5) >= ratio]
+    w = {k: 0.0 for k in chosen} | {"bias": -3.0}
+    first, second, sums, taken, step = dict.fromkeys(w, 0.0), dict.fromkeys(w, 0.0), dict.fromkeys(w, 0.0), 0, 0
+    shuffler = np.random.default_rng(5)
+    docs, order = positive + unlabelled, [np.arange(24), np.arange(24, 144)]
+    for epoch in range(epochs):
+        for o in order:
+            shuffler.shuffle(o)
+        for some_p, some_u in zip(np.array_split(order[0], 3), np.array_split(order[1], 3)):
+            z = {i: w["bias"] + sum(w[k] for k in docs[i] if k in w) for i in [*some_p, *some_u]}
+            as_negative = lambda some: sum(math.log(1 + math.exp(z[i])) for i in some) / len(some)
+            p = {i: 1 / (1 + math.exp(-z[i])) for i in z}
+            if as_negative(some_u) - prior * as_negative(some_p) >= 0:  # the risk as it is
+                g = {i: -prior * (1 - p[i]) / len(some_p) - prior * p[i] / len(some_p) for i in some_p} | {i: p[i] / len(some_u) for i in some_u}
+            else:  # back from where the unlabelled part is negative
+                g = {i: prior * p[i] / len(some_p) for i in some_p} | {i: -p[i] / len(some_u) for i in some_u}
+            step += 1
+            for k in w:
+                grad = sum(v for i, v in g.items() if k == "bias" or k in docs[i]) + (decay * w[k] if k != "bias" else 0)
+                first[k] = 0.9 * first[k] + 0.1 * grad
+                second[k] = 0.999 * second[k] + 0.001 * grad * grad
+                w[k] -= 0.05 * first[k] / (1 - 0.9**step) / (math.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+            if 3 * epoch >= 2 * epochs:
+                taken += 1
+                sums = {k: sums[k] + w[k] for k in w}
+    assert set(model.weights) == set(chosen) and 1 in chosen
+    for k in chosen:
+        assert model.weights[k] == pytest.approx(sums[k] / taken, abs=1e-6)
+    assert model.bias == pytest.approx(sums["bias"] / taken, abs=1e-6)
+
+
 def test_op3(spark):
     table = pq.read_table(f"{SF}/embeddings.parquet").to_pylist()
     ids = np.array([r["vec_id"] for r in table])
@@ -149,6 +205,10 @@ def test_op6(spark, docs):
     assert set(shards) == set(range(16))
     assert all(sorted(s) == list(range(len(s))) for s in shards.values())
     assert max(map(len, shards.values())) - min(map(len, shards.values())) <= 1
+    where = {r["doc_id"]: (r["shard"], r["slot"]) for r in rows}
+    assert where == {r["doc_id"]: (r["shard"], r["slot"]) for r in run(spark, "op6_two_pass_shuffle")}
+    ranks = [where[d] for d in sorted(where)]
+    assert abs(np.corrcoef(np.arange(len(ranks)), np.argsort(np.argsort([s * 1000 + k for s, k in ranks])))[0, 1]) < 0.25
 
 
 def test_op7(spark, docs):
@@ -162,9 +222,32 @@ def test_op7(spark, docs):
         assert (rows[d]["lang_pred"] == "und") == (not any(c.isalpha() for c in x or ""))
 
 
-def simhash(text):
+def test_op7_plain_decoder(spark, docs):
+    """Margins and decoding of a text, n-gram by n-gram, give the query's language and score."""
+    rows = {r["doc_id"]: r for r in run(spark, "op7_output_codes")}
+    table = entries.table(spark, SF, "documents")
+    model = langid.fit(table.filter(entries.remainder(3) != 1))
+    for d, x, *_ in docs[:40]:
+        data = langid.letters(x)
+        grams = [(int.from_bytes(data[i : i + n], "little") * (2654435761 * (2 * n + 1) & 0xFFFFFFFF) & 0xFFFFFFFF) >> 16 for n in langid.ORDERS for i in range(len(data) - n + 1)]
+        if not grams:
+            assert rows[d]["lang_pred"] == "und"
+            continue
+        bits = range(model.code.shape[1])
+        margin = [sum(float(model.weights[g, b]) for g in grams) / len(grams) for b in bits]
+        loss = []
+        for word in model.code.tolist():
+            each = [math.log(1 + math.exp(-word[b] * (margin[b] - model.bias[b]) * model.scale[b])) * model.trust[b] for b in bits]
+            loss.append(sum(each) / sum(model.trust))
+        best = loss.index(min(loss))
+        assert rows[d]["lang_pred"] == model.langs[best]
+        assert rows[d]["score"] == pytest.approx(1 / sum(math.exp(-8 * (v - loss[best])) for v in loss), abs=1e-4)
+        assert rows[d]["ambiguous"] == (sorted(loss)[1] - sorted(loss)[0] < 0.02)
+
+
+def simhash(text, each=4):
     words = (text or "").encode().lower().split()
-    grams = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    grams = [b" ".join(words[i : i + each]) for i in range(max(1, len(words) - each + 1))] if words else []
     hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)) if hashes else 0
 

@@ -9,6 +9,7 @@ import pytest
 
 import corpus_pipeline
 from threadmill.llm import shinglesets
+from threadmill.llm import simhash as simhash_operator
 
 from .test_contracts import WORD, simhash
 
@@ -31,11 +32,7 @@ def test_run(spark):
             want = {r["doc_id"]: "\n".join(x for x in r["text"].split("\n") if not x.strip(" \t\n\x0b\x0c\r") or lines[x.strip(" \t\n\x0b\x0c\r").lower()] < 10) for r in before.collect()}
             assert {r["doc_id"]: r["text"] for r in rows} == want
         elif name == "near_copies":
-            prints = {r["doc_id"]: simhash(r["text"]) for r in before.collect()}
-            kept = sorted(r["doc_id"] for r in rows)
-            for i, a in enumerate(kept):
-                assert all((prints[a] ^ prints[b]).bit_count() > 4 for b in kept[:i])
-            assert all(any((prints[d] ^ prints[k]).bit_count() <= 4 for k in prints if k != d) for d in prints if d not in set(kept))
+            assert sorted(r["doc_id"] for r in rows) == sorted(smallest_of_groups({r["doc_id"]: r["text"] for r in before.collect()}))
         elif name == "mixing":
             n = Counter(r["doc_id"] for r in rows)
             assert max(n.values()) <= 3 and set(n) <= {r["doc_id"] for r in before.collect()}
@@ -48,6 +45,26 @@ def test_run(spark):
     assert len(corpus_pipeline.run(spark, SF).columns) >= 7
 
 
+def smallest_of_groups(texts):
+    """The smallest id of each group that fingerprints within 4 bits, or shingle sets alike by 0.8, connect."""
+    prints, made = {d: simhash(t, 5) for d, t in texts.items()}, {d: sets(t) for d, t in texts.items()}
+    root = {d: d for d in texts}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    order = sorted(texts)
+    for i, a in enumerate(order):
+        for b in order[:i]:
+            alike = made[a] and made[b] and len(made[a] & made[b]) >= 0.8 * len(made[a] | made[b])
+            if alike or (prints[a] ^ prints[b]).bit_count() <= 4:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {find(d) for d in texts}
+
+
 def test_copies_survive(spark):
     """Of twelve copies one reaches the last stage whole; a line of twelve different texts goes."""
     copy = "\n".join(f"the people of the village number{i} went with their children to the market and came home in the evening" for i in range(5))
@@ -70,8 +87,9 @@ def sets(text):
 @pytest.mark.parametrize("limits", [(32, 512), (1, 5)])
 def test_near_texts(spark, monkeypatch, limits):
     """Of texts that chains of similarity 0.8 connect one stays, in small buckets and by tiles; fingerprints miss most of them."""
-    monkeypatch.setattr(shinglesets, "JOIN_MAX", limits[0])
-    monkeypatch.setattr(shinglesets, "CHUNK", limits[1])
+    for module in (shinglesets, simhash_operator):
+        monkeypatch.setattr(module, "JOIN_MAX", limits[0])
+        monkeypatch.setattr(module, "CHUNK", limits[1])
     rng = np.random.default_rng(4)
     rows = []
     for g in range(6):
@@ -83,25 +101,14 @@ def test_near_texts(spark, monkeypatch, limits):
             rows.append((20 * g + i, " ".join(words), "en", "a"))
     rows += [(900, None, "en", "a"), (901, "", "en", "a"), (902, "three words only", "en", "a"), (903, "Three  words ONLY", "en", "a")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    root, made = {d: d for d, *_ in rows}, {d: sets(t) for d, t, *_ in rows}
-
-    def find(d):
-        return d if root[d] == d else find(root[d])
-
-    for a in made:
-        for b in made:
-            if a < b and made[a] and len(made[a] & made[b]) >= 0.8 * len(made[a] | made[b]):
-                x, y = find(a), find(b)
-                root[max(x, y)] = min(x, y)
-    want = {find(d) for d in root}
-    assert {r["doc_id"] for r in shinglesets.keep_one(docs).collect()} == want and len(want) < 40
+    want = smallest_of_groups({d: t for d, t, *_ in rows})
     left = corpus_pipeline.near_copy_stage(spark, docs, "")
-    assert left.count() > len(want)
-    assert {find(r["doc_id"]) for r in corpus_pipeline.mixing_stage(spark, left, "").collect()} <= want
-    assert shinglesets.keep_one(docs.limit(0)).count() == 0
+    assert {r["doc_id"] for r in left.collect()} == want and len(want) < 40
+    assert simhash_operator.keep_one(docs, words_each=5).count() > len(want)
+    assert corpus_pipeline.near_copy_stage(spark, docs.limit(0), "").count() == 0
 
 
-def test_near_texts_stage(spark):
-    """The documents that the mixing stage returns are pairwise less alike than 0.8."""
+def test_near_pair(spark):
+    """A pair that fingerprints miss."""
     docs = spark.createDataFrame([(i, " ".join(f"w{k}x" for k in range(100) if i == 0 or k % 100 != 50), "en", "a") for i in range(2)], "doc_id long, text string, lang string, source string")
-    assert {r["doc_id"] for r in corpus_pipeline.mixing_stage(spark, docs, "").collect()} == {0}
+    assert {r["doc_id"] for r in corpus_pipeline.near_copy_stage(spark, docs, "").collect()} == {0}

@@ -30,8 +30,8 @@ def test_random_texts(coder):
 
 
 def test_null_and_empty(coder):
-    assert coder.encode([None, b"", b" \n\t"]) == [b"", b"", b""]
-    assert coder.encode([]) == []
+    assert list(coder.encode([None, b"", b" \n\t"])) == [b"", b"", b""]
+    assert list(coder.encode([])) == []
 
 
 def test_full_store(coder, monkeypatch):
@@ -45,3 +45,20 @@ def test_full_store(coder, monkeypatch):
     for t, raw in zip(texts, small.encode([t.encode() for t in texts])):
         assert ids(raw) == coder.tokenizer.encode(t, add_special_tokens=False).ids
     assert len(small.words) <= 40
+
+
+def test_other_tokenizer(coder):
+    """A file that keeps case and white space encodes whole texts."""
+    other = wordbpe.Encoder(entries.tokenizer_path("byte_bpe_50k.json"))
+    assert coder.by_word and not other.by_word
+    texts = ["Hello World  and\nmore", "", "hello world and more", "İ ß <|endoftext|>\t."]
+    for t, raw in zip(texts, other.encode([t.encode() for t in texts])):
+        assert ids(raw) == other.tokenizer.encode(t, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("change", [{"normalizer": None}, {"pre_tokenizer": {"type": "ByteLevel"}}, {"pre_tokenizer": None}])
+def test_splits_words(change):
+    import json
+
+    spec = json.loads(open(entries.tokenizer_path()).read())
+    assert wordbpe.splits_words(spec) and not wordbpe.splits_words(spec | change)
