@@ -6,13 +6,16 @@ import re
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 #: White space as Python's str.strip and \s see it, for use in character classes.
 SPACE = r"\x09-\x0D\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
+#: The same characters one by one.
+BLANKS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
 # Named entities in the order in which they are replaced.
 ENTITIES = (
     ("&nbsp;", " "),
@@ -34,7 +37,7 @@ ENTITIES = (
 
 def strip(text: Column) -> Column:
     """Without Unicode white space at both ends."""
-    return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def collapse(text: Column, by: str = " ") -> Column:
@@ -65,9 +68,10 @@ def _numeric_entities(texts: pd.Series) -> pd.Series:
 def decode_numeric_entities(text: Column) -> Column:
     """Decimal, then lower-case-x hexadecimal references; surrogates become '?', larger numbers vanish.
 
-    The Python step needs no condition: rows without ``&#`` pass through it untouched.
+    Only texts with ``&#`` go to Python. ``text`` stands twice in the result, so
+    it should be a plain column, as :func:`with_clean_html` makes it.
     """
-    return _numeric_entities(text)
+    return F.coalesce(_numeric_entities(F.when(F.contains(text, F.lit("&#")), text)), text)
 
 
 def decode_named_entities(text: Column) -> Column:
@@ -110,6 +114,13 @@ def clean_html(html: Column, numeric: bool = True) -> Column:
     return tidy(decode_entities(break_blocks(html), numeric))
 
 
+def with_clean_html(df: DataFrame, html: Column, name: str, numeric: bool = True) -> DataFrame:
+    """``df`` with :func:`clean_html` of ``html`` as the column ``name``; the tags are taken out once."""
+    plain = df.withColumn("__plain", decode_named_entities(break_blocks(html)))
+    text = F.col("__plain")
+    return plain.withColumn(name, tidy(decode_numeric_entities(text) if numeric else text)).drop("__plain")
+
+
 def clean_title(html: Column, space: str = " ") -> Column:
     """A link's text: tags out, stripped, ``&nbsp;`` as a blank, white-space runs as ``space``."""
     return collapse(F.replace(strip(strip_tags(html)), F.lit("&nbsp;"), F.lit(" ")), space)
