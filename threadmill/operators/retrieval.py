@@ -2,21 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import unicodedata
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FIELDS = ("title", "author", "content")
 WORD = r"[\p{L}\p{N}]+"
 CJK_RUN = r"[\x{4E00}-\x{9FFF}]{2,}"
-#: Rows of a side that may be broadcast.
-SMALL = 100_000
+#: Bytes of query vectors that go to every task.
+QUERY_BYTES = 32 << 20
 
 
-def tokens(text: Column, cjk_bigrams: bool = False) -> Column:
-    """Lower-cased runs of letters and digits; optionally also the pairs inside runs of ideographs."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+def _plain_letters() -> tuple[str, str]:
+    """Latin letters with marks, and the letters without, by Unicode's decomposition."""
+    marked = [c for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]) if unicodedata.normalize("NFD", c)[0].isascii()]
+    return "".join(marked), "".join(unicodedata.normalize("NFD", c)[0] for c in marked)
+
+
+def without_marks(text: Column) -> Column:
+    """Latin letters without their diacritics, which may be part of the letter or follow it."""
+    return F.translate(F.regexp_replace(text, r"[\x{0300}-\x{036F}]", ""), *_plain_letters())
+
+
+def tokens(text: Column, cjk_bigrams: bool = False, fold_marks: bool = False) -> Column:
+    """Lower-cased runs of letters and digits; optionally also the pairs inside runs of ideographs, or without diacritics."""
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    words = F.regexp_extract_all(without_marks(lower) if fold_marks else lower, F.lit(WORD), F.lit(0))
     if not cjk_bigrams:
         return words
     runs = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(CJK_RUN), F.lit(0))
@@ -24,9 +39,9 @@ def tokens(text: Column, cjk_bigrams: bool = False) -> Column:
     return F.concat(words, pairs)
 
 
-def token_index(posts: DataFrame, keys: Sequence[str] = ("tid", "floor"), fields: Sequence[str] = FIELDS, cjk_bigrams: bool = False) -> DataFrame:
+def token_index(posts: DataFrame, keys: Sequence[str] = ("tid", "floor"), fields: Sequence[str] = FIELDS, cjk_bigrams: bool = False, fold_marks: bool = False) -> DataFrame:
     """token, keys, field, tf. Counts form inside a document, so no token is ever a group."""
-    named = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), tokens(F.col(f), cjk_bigrams).alias("words")) for f in fields])).alias("f")
+    named = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), tokens(F.col(f), cjk_bigrams, fold_marks).alias("words")) for f in fields])).alias("f")
     spread = posts.select(*keys, named).select(*keys, "f.field", F.explode("f.words").alias("token"))
     return spread.groupBy("token", *keys, "field").agg(F.count("*").alias("tf"))
 
@@ -52,13 +67,15 @@ def match_all(index: DataFrame, words: Sequence[str], keys: Sequence[str] = ("ti
 def bm25(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2, b: float = 0.75, doc_id: str = "doc_id", query_id: str = "query_id", text: str = "text") -> DataFrame:
     """query_id, rank, doc_id, score of the ``k`` best documents by BM25.
 
-    Only tokens of the queries are kept of the documents, and a token's document
-    frequency is a separate small table, so a frequent token is never a group.
+    Only tokens of the queries are kept of the documents. Counts combine before
+    they are shuffled; a frequent token's rows meet the queries and its document
+    frequency in joins whose other side is as small as the stated query set.
     """
     asked = queries.select(F.col(query_id).alias("query_id"), F.explode(F.array_distinct(tokens(F.col(text)))).alias("token"))
     wanted = asked.select("token").distinct()
     words = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("words"))
-    totals = words.agg(F.count("*").alias("n"), F.avg(F.size("words")).alias("mean"))
+    # counting words is cheaper than listing them once more
+    totals = docs.agg(F.count("*").alias("n"), F.avg(F.regexp_count(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORD))).alias("mean"))
     tf = words.select("doc_id", F.size("words").alias("length"), F.explode_outer("words").alias("token")).join(wanted, "token", "left_semi").groupBy("token", "doc_id", "length").agg(F.count("*").alias("tf"))
     df = tf.groupBy("token").agg(F.count("*").alias("df"))
     idf = df.crossJoin(F.broadcast(totals)).select("token", "mean", F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1).alias("idf"))
@@ -73,17 +90,44 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
+def unit(vector: Column) -> Column:
+    """A vector of doubles scaled to length one; the length is worked out once."""
+    return F.transform(F.array(F.sqrt(dot(vector, vector))), lambda n: F.transform(vector, lambda x: x.cast("double") / n))[0]
+
+
 def vector_topk(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding", query_id: str = "query_id") -> DataFrame:
-    """query_id, rank, vec_id, score by cosine similarity against a stated query set.
+    """query_id, rank, vec_id, score by cosine similarity against a stated query set; a vector does not find its own id.
 
-    Queries are unit-scaled once; each task keeps the best k per query before the shuffle.
+    Queries are unit-scaled once. If they take at most ``QUERY_BYTES`` they go to
+    every task as a matrix, and a task hands on the best k of each batch of vectors;
+    larger sets are joined as rows. All vectors must have as many components as the queries.
     """
-    unit = lambda c: F.transform(c, lambda x: x.cast("double") / F.sqrt(dot(c, c)))
     asked = queries.select(F.col(query_id).alias("query_id"), unit(F.col(embedding)).alias("q"))
-    if queries.count() <= SMALL:
-        asked = F.broadcast(asked)
     rows = vectors.select(F.col(vec_id).alias("vec_id"), unit(F.col(embedding)).alias("v"))
-    scored = rows.join(asked, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", dot(F.col("v"), F.col("q")).alias("score"))
+    size = queries.agg(F.count("*"), F.max(F.size(embedding))).first()
+    if size[0] * (size[1] or 0) * 8 <= QUERY_BYTES:
+        found = asked.filter("q is not null").collect()  # no larger than the bound just checked
+        ids = np.array([r["query_id"] for r in found], dtype=np.int64)
+        matrix = vectors.sparkSession.sparkContext.broadcast((ids, np.array([r["q"] for r in found], dtype=np.float64)))
+
+        def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, q = matrix.value
+            for batch in batches:
+                own = batch.column(0).to_numpy(zero_copy_only=False)
+                if not len(own) or not len(names):
+                    continue
+                score = q @ np.stack(batch.column(1).to_numpy(zero_copy_only=False)).T
+                score[names[:, None] == own[None, :]] = -np.inf
+                some = []
+                for rounded in np.round(score, 9):
+                    near = np.flatnonzero(rounded >= np.partition(rounded, -min(k, len(own)))[-min(k, len(own))])
+                    some.append(near[np.lexsort((own[near], -rounded[near]))][:k])
+                row, at = np.repeat(np.arange(len(names)), [len(x) for x in some]), np.concatenate(some)
+                yield pa.RecordBatch.from_arrays([pa.array(names[row]), pa.array(own[at]), pa.array(score[row, at])], names=["query_id", "vec_id", "score"])
+
+        scored = rows.filter("v is not null").mapInArrow(best, "query_id long, vec_id long, score double").filter("score > double('-Infinity')")
+    else:
+        scored = rows.join(asked, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", dot(F.col("v"), F.col("q")).alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "vec_id")
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
