@@ -13,6 +13,12 @@ from ..functions.vocab import Vocab
 PAGE_SIZE = 15
 
 
+def one_each(df: DataFrame, keys: list[str], *latest: Column | str) -> DataFrame:
+    """One row per ``keys``: the largest by ``latest``; of equals the one whose columns have the largest hash, whatever the order of rows."""
+    order = F.struct(*latest, F.xxhash64(*df.columns).alias("__hash"))
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), order).alias("__row")).select("__row.*")
+
+
 def only_board(df: DataFrame, fid: int) -> DataFrame:
     """One board's rows; on a table partitioned by fid no other files are read."""
     return df.filter(F.col("fid") == fid)
@@ -53,9 +59,9 @@ def attach_meta(posts: DataFrame, meta: DataFrame) -> DataFrame:
 
 
 def post_records(posts: DataFrame, vocab: Vocab = Vocab()) -> DataFrame:
-    """Full post rows: defaults filled, tags computed, columns in schema order."""
-    full = schemas.with_defaults(posts, schemas.POSTS_DDL)
-    return with_tags(full, vocab).select(*schemas.struct(schemas.POSTS_DDL).fieldNames())
+    """Full post rows: defaults filled, tags computed, columns in schema order; ``meta`` stays if there is one."""
+    ddl = schemas.POSTS_DDL + (f", {schemas.META_DDL}" if "meta" in posts.columns else "")
+    return with_tags(schemas.with_defaults(posts, ddl), vocab).select(*schemas.struct(ddl).fieldNames())
 
 
 def with_post_ts(posts: DataFrame) -> DataFrame:
@@ -106,7 +112,7 @@ def upsert_threads(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def latest_posts(posts: DataFrame, version: str) -> DataFrame:
     """One row per (tid, floor): the one with the largest ``version``."""
-    return posts.groupBy("tid", "floor").agg(F.max_by(F.struct(*posts.columns), version).alias("__row")).select("__row.*")
+    return one_each(posts, ["tid", "floor"], version)
 
 
 def orphans(posts: DataFrame, threads: DataFrame) -> DataFrame:

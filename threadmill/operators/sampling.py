@@ -70,12 +70,16 @@ def board_report(listings: DataFrame, sample: DataFrame) -> DataFrame:
 
 
 def sample_report(listings: DataFrame, sample: DataFrame, posts: DataFrame) -> DataFrame:
-    """One row with totals, the sampled threads in order, and per_board as a map of structs."""
+    """One row with totals, and per_board as a map of structs; :func:`sampled_tids` lists the threads."""
     per = board_report(listings, sample).agg(F.count("*").alias("boards_scanned"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("fid", F.struct("threads", "sampled"))))).alias("per_board"))
     totals = sample.agg(
         F.count_if(F.col("sticky") == 2).alias("sticky_threads"),
         F.count_if(F.col("sticky") == 0).alias("normal_threads"),
         F.count_distinct("tid").alias("total_threads"),
-        F.sort_array(F.collect_set("tid")).alias("tids"),
     )
     return per.crossJoin(totals).crossJoin(posts.agg(F.count("*").alias("total_posts")))
+
+
+def sampled_tids(sample: DataFrame) -> DataFrame:
+    """The sampled threads in order, as a table beside the report."""
+    return sample.select("tid").distinct().orderBy("tid")

@@ -21,7 +21,8 @@ POSTS_DDL = (
     " post_time string, content string, url string, tags array<string>, year string, season string, event_type string,"
     " activity_type string, routes array<string>, roles array<string>, problems array<string>"
 )
-POSTS_WITH_EXTRAS_DDL = f"{POSTS_DDL}, sticky int, meta {_META}"
+META_DDL = f"meta {_META}"
+POSTS_WITH_EXTRAS_DDL = f"{POSTS_DDL}, sticky int, {META_DDL}"
 THREADS_DDL = (
     "tid long, fid int, board string, category string, title string, first_author string, first_time string, post_count int,"
     " tags array<string>, year string, season string, event_type string, routes array<string>, roles array<string>,"

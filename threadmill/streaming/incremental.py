@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.archive import highest_tid, post_counts, thread_rollup, upsert_threads
+from ..functions.vocab import Vocab
+from ..operators.archive import highest_tid, one_each, post_counts, thread_rollup, upsert_threads
 
 
 def first_pages(listings: DataFrame, pages: int = 2) -> DataFrame:
@@ -35,7 +36,7 @@ def work_list(new: DataFrame, updated: DataFrame) -> DataFrame:
 
 def unseen_floors(parsed: DataFrame, stored: DataFrame) -> DataFrame:
     """Parsed posts whose (tid, floor) is not archived, each once; a second run finds none."""
-    return parsed.dropDuplicates(["tid", "floor"]).join(stored.select("tid", "floor"), ["tid", "floor"], "left_anti")
+    return one_each(parsed, ["tid", "floor"]).join(stored.select("tid", "floor"), ["tid", "floor"], "left_anti")
 
 
 def beyond_count(parsed: DataFrame, posts: DataFrame) -> DataFrame:
@@ -49,16 +50,26 @@ def unfinished(frontier: DataFrame, landed: DataFrame, key: str = "tid") -> Data
     return frontier.join(landed.select(key).distinct(), key, "left_anti")
 
 
-def skip_archived(queue: DataFrame, threads: DataFrame) -> DataFrame:
-    return queue.join(threads.select("tid"), "tid", "left_anti")
+def skip_archived(queue: DataFrame, threads: DataFrame, progress: DataFrame | None = None) -> DataFrame:
+    """``queue`` without archived threads.
 
+    With ``progress`` (fid, last_processed) a thread counts as archived only if its
+    board's run has also come to it, tid <= last_processed; the table has a row per board.
+    """
+    done = threads.select(F.col("tid").alias("__tid"))
+    if progress is None:
+        return queue.join(done, F.col("tid") == F.col("__tid"), "left_anti")
+    reached = queue.join(progress.select("fid", F.col("last_processed").alias("__last")), "fid", "left")
+    passed = (F.col("tid") == F.col("__tid")) & (F.col("tid") <= F.col("__last"))
+    return reached.join(done, passed, "left_anti").select(*queue.columns)
 
-def apply_update(posts: DataFrame, threads: DataFrame, parsed: DataFrame, last_crawl: str) -> tuple[DataFrame, DataFrame]:
-    """New versions of posts and threads after a run; only threads with new floors are rolled up again."""
+
+def apply_update(posts: DataFrame, threads: DataFrame, parsed: DataFrame, last_crawl: str, vocab: Vocab = Vocab()) -> tuple[DataFrame, DataFrame]:
+    """New versions of posts and threads after a run; only threads with new floors are rolled up again, by the same ``vocab``."""
     added = unseen_floors(parsed, posts).select(*posts.columns)
     whole = posts.unionByName(added)
     touched = added.select("tid").distinct()
-    fresh = thread_rollup(whole.join(touched, "tid", "left_semi"), last_crawl=F.lit(last_crawl))
+    fresh = thread_rollup(whole.join(touched, "tid", "left_semi"), vocab, F.lit(last_crawl))
     return whole, upsert_threads(threads, fresh.select(*threads.columns))
 
 
