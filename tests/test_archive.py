@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadmill import schemas
+from threadmill.functions.vocab import Vocab
 from threadmill.operators import archive, quality, retrieval, sampling
 from threadmill.sources import io, pages
 from threadmill.streaming import incremental, streams
@@ -36,6 +37,7 @@ def test_empty_archive(spark):
     assert sorted(r["tid"] for r in incremental.new_threads(listed, threads).collect()) == [3, 7]
     assert incremental.first_pages(listed.withColumn("page", F.lit(3))).count() == 0
     assert incremental.skip_archived(listed, threads).count() == 3
+    assert incremental.skip_archived(listed, threads, spark.createDataFrame([(1, 9)], "fid int, last_processed long")).count() == 3
 
 
 def test_upsert(spark):
@@ -44,6 +46,34 @@ def test_upsert(spark):
     assert {r["tid"]: r["v"] for r in archive.upsert_threads(old, new).collect()} == {1: "a", 2: "b", 3: "b"}
 
 
+def test_update_vocabulary(spark):
+    """An update tags threads by the vocabulary they were made with."""
+    vocab = Vocab(roles=("zzz",))
+    stored = posts_of(spark, [(1, 1, 1, "a", "zzz", "t")])
+    threads = archive.thread_rollup(stored, vocab, F.lit("t1"))
+    _, updated = incremental.apply_update(stored, threads, posts_of(spark, [(1, 1, 2, "b", "y", "t")]), "t2", vocab)
+    assert updated.first()["roles"] == ["zzz"] and updated.first()["post_count"] == 2
+
+
+def test_skip_progress(spark):
+    queue = spark.createDataFrame([(1, 5), (1, 9), (1, 12), (2, 5), (3, 5)], "fid int, tid long")
+    threads = spark.createDataFrame([(5,), (9,)], "tid long")
+    progress = spark.createDataFrame([(1, 5), (2, 3)], "fid int, last_processed long")
+    left = {(r["fid"], r["tid"]) for r in incremental.skip_archived(queue, threads, progress).collect()}
+    assert left == {(1, 9), (1, 12), (2, 5), (3, 5)}
+
+
+def test_ties(spark):
+    """Of equal versions the same row stays, in whatever order rows come."""
+    rows = [(1, 1, 7, c) for c in "abcdef"] + [(1, 1, 6, "z")]
+    kept = set()
+    for some in (rows, rows[::-1], rows[3:] + rows[:3]):
+        df = spark.createDataFrame(some, "tid long, floor int, version int, v string").coalesce(1)
+        kept.add(archive.latest_posts(df, "version").first()["v"])
+        kept.add(incremental.unseen_floors(df.filter("version = 7"), df.limit(0)).first()["v"])
+    assert len(kept) == 1 and "z" not in kept
+
+
 def test_sticky_and_sample(spark):
     rows = [(f, 1, t, t, f"t{t}") for t in range(10) for f in (1,)] + [(2, 1, 0, 0, "t0"), (3, 1, 0, 0, "t0"), (2, 1, 1, 1, "t1"), (2, 2, 5, 1, "t1")]
     listed = spark.createDataFrame(rows, schemas.LISTINGS_DDL)
@@ -56,7 +86,8 @@ def test_sticky_and_sample(spark):
     assert count == {1: 3, 2: 1}
     posts = posts_of(spark, [(0, 1, 1, "a", "b", "c")])
     report = sampling.sample_report(listed, one, posts).first()
-    assert report["sticky_threads"] == 1 and report["boards_scanned"] == 3 and report["per_board"][2]["sampled"] == 1 and report["tids"] == sorted(report["tids"])
+    assert report["sticky_threads"] == 1 and report["boards_scanned"] == 3 and report["per_board"][2]["sampled"] == 1
+    assert [r["tid"] for r in sampling.sampled_tids(one).collect()] == sorted({r["tid"] for r in one.collect()})
     assert quality.sticky_twice(sampling.one_board_each(listed).withColumn("sticky", F.lit(2)).filter("tid = 0")).count() == 0
 
 
@@ -91,6 +122,9 @@ def test_index(spark):
     assert ("骑行", 2, "content") in {(r["token"], r["tid"], r["field"]) for r in retrieval.token_index(posts, cjk_bigrams=True).collect()}
     assert [r["tid"] for r in retrieval.match_all(index, ["RED", "bike"]).collect()] == [1]
     assert retrieval.match_all(index, ["road"], field="title").count() == 1
+    marked = posts_of(spark, [(3, 1, 1, "Zoë", "Ärger naïve cafe\u0301 straße", "Ñandú")])
+    folded = {r["token"] for r in retrieval.token_index(marked, fold_marks=True).collect()}
+    assert {"zoe", "arger", "naive", "cafe", "straße", "nandu"} <= folded
     assert quality.index_matches(posts, index).first().asDict() == {"posts": 2, "with_words": 2, "indexed": 2}
     changed = posts.filter("tid = 1").withColumn("content", F.lit("green"))
     fresh = {r["token"] for r in retrieval.refresh_index(index, changed).filter("tid = 1").collect()}
@@ -104,6 +138,17 @@ def test_fusion(spark):
     assert len(rows) == 1 and rows[0]["doc_id"] == 11 and abs(rows[0]["score"] - (1 / 62 + 1 / 61)) < 1e-12
 
 
+def test_vector_topk(spark, monkeypatch):
+    """Both ways to search, the matrix and the join, agree, also on ties and without usable vectors."""
+    rows = [(i, [float(i % 7), 1.0, float(i % 3)]) for i in range(60)] + [(90, None)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    queries = vectors.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    found = sorted(map(tuple, retrieval.vector_topk(vectors, queries, 5).select("query_id", "rank", "vec_id").collect()))
+    monkeypatch.setattr(retrieval, "QUERY_BYTES", 0)
+    assert found == sorted(map(tuple, retrieval.vector_topk(vectors, queries, 5).select("query_id", "rank", "vec_id").collect())) and len(found) == 15
+    assert retrieval.vector_topk(vectors, queries.limit(0), 5).count() == 0
+
+
 def test_privacy(spark):
     df = spark.createDataFrame([("call 13812345678 now", ["a@b.cc"]), ("113812345678", ["ok"]), (None, None)], "t string, l array<string>")
     hits = {(r["kind"], r["field"]): r["hits"] for r in quality.privacy_audit(df, ["t"], ["l"]).collect()}

@@ -122,3 +122,43 @@ def test_page_stream(spark, tmp_path):
     assert {r["tid"]: r["posts"] for r in archive.post_counts(found).collect()} == {1: 17, 2: 17}
     assert sorted(r["floor"] for r in found.filter("tid = 1").collect()) == list(range(1, 18))
     assert found.filter("floor = 17").first()["content"] == "正文1"
+
+
+def test_page_versions(spark):
+    """Of two versions of a page in one batch the later one counts, in whatever order they come."""
+    from datetime import datetime
+
+    block = '<p class="author"><strong>a</strong> 发表于 2026-4-3 10:52:36</p>post {}'
+    url = "http://f/?tid-1.html"
+    rows = [(url, block.format(1), datetime(2026, 4, 3, 10)), (url, block.format(1) + block.format(2), datetime(2026, 4, 3, 11)), (url, block.format(1), None)]
+    for some in (rows, rows[::-1]):
+        batch = spark.createDataFrame(some, "url string, html string, fetched_at timestamp").coalesce(1)
+        assert sorted(r["content"] for r in streams.parse_pages(batch).collect()) == ["post 1", "post 2"]
+
+
+def test_harvest(spark, tmp_path):
+    """A thread on two boards, an unlisted one, GBK bodies and interaction data; an archive saved and read back."""
+    from threadmill.operators import harvest
+
+    block = '<p class="author"><strong>甲</strong> 发表于 2026-4-3 10:52:36</p>{}'
+    html = {
+        "http://f/forum.php": '<a href="forum.php?mod=forumdisplay&fid=2">活动</a><a href="forum.php?mod=forumdisplay&fid=3">闲聊</a>',
+        "http://f/?fid-3.html": '<li><a href="?tid-7.html">2026春 通知</a></li>',
+        "http://f/?fid-2.html": '<li><a href="?tid-7.html">2026春 通知</a></li>',
+        "http://f/?tid-7.html": block.format("队长 一") + block.format("二"),
+        "http://f/?tid-8.html": block.format("&#20013;"),
+        "http://f/?tid-9.html": "提示信息",
+    }
+    pages_ = spark.createDataFrame([(u, bytearray(h.encode("gbk")), None) for u, h in html.items()], "url string, body binary, fetched_at timestamp")
+    meta = spark.createDataFrame([(7, 1, '<div id="post_1"><a id="recommendv_add_1">4</a></div>')], "tid long, page int, html string")
+    found = harvest.archive_pages(pages_, "http://f", pages.board_dimension(spark), last_crawl="t1", meta_pages=meta)
+    found = harvest.saved(found, str(tmp_path), 1)
+    posts = {(r["tid"], r["floor"]): r for r in found.posts.collect()}
+    assert set(posts) == {(7, 1), (7, 2), (8, 1)}
+    assert posts[7, 1]["board"] == "活动" and posts[7, 1]["category"] == "日常·活动" and posts[7, 1]["tags"][:3] == ["2026", "26春", "通知"]
+    assert posts[7, 1]["meta"]["recommend_add"] == 4 and posts[7, 2]["meta"] is None
+    assert posts[8, 1]["title"] == "" and posts[8, 1]["content"] == "中"
+    assert {r["tid"]: r["post_count"] for r in found.threads.collect()} == {7: 2, 8: 1}
+    assert found.rejects.count() == 1 and found.listings.count() == 2
+    same = harvest.update_archive(found, found, last_crawl="t2")
+    assert same.posts.count() == 3 and {r["last_crawl"] for r in same.threads.collect()} == {"t1"}

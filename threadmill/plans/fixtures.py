@@ -78,15 +78,41 @@ def rendered_thread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rendered_meta_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages with each post's counters; every block stands twice, as div and as table."""
+    """Pages with each post's interaction data; every block stands twice, as div and as table. Odd floors have no ratings or comments."""
     posts = conversation_posts(spark, sf_dir)
     pid = F.col("tid") * 100 + F.col("floor")
-    body = F.format_string('<a id="recommendv_add_%d">%d</a><span id="favoritenumber">%d</span>', pid, F.length("content"), "floor")
-    block = F.concat(F.format_string('<div id="post_%d">', pid), F.lit("x</div>"), F.format_string('<table id="pid%d">', pid), body, F.lit("</table>"))
+    counters = F.format_string('<a id="recommendv_add_%d">%d</a><a id="recommendv_subtract_%d">%d</a><span id="favoritenumber">%d</span>', pid, F.length("content"), pid, F.col("floor") * 2, "floor")
+    totals = F.format_string('参与人数 <span class="xi1">%d</span> 金币 <i><span class="xi1">+%d</span></i>', "floor", F.col("floor") * 5)
+    row = F.format_string(
+        '<tr id="rate_%d_%d"><td><a href="home.php?mod=space&amp;uid=1"> %s </a></td><td class="y xi1"> + %d</td><td class="xg1">for %s</td></tr>',
+        pid, "tid", F.col("author"), "floor", F.col("author"),
+    )
+    said = F.format_string('<div class="pstl"><a href="home.php?mod=space&amp;uid=%d"><img></a><a href="x">u%d</a> said %d</div></div></div>', "tid", "floor", "tid")
+    rated = F.when(F.pmod("floor", F.lit(2)) == 0, F.concat(totals, row, row, said)).otherwise(F.lit(""))
+    block = F.concat(F.format_string('<div id="post_%d">', pid), F.lit("x</div>"), F.format_string('<table id="pid%d">', pid), counters, rated, F.lit("</table>"))
     pages = posts.groupBy("tid", "page").agg(F.sort_array(F.collect_list(F.struct("position", block.alias("block")))).alias("all"))
     return pages.select("tid", "page", F.array_join(F.transform("all", lambda x: x["block"]), "\n").alias("html"))
 
 
+def rendered_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages of the conversations as a forum: a front page, board pages of ten threads, thread pages, and a notice."""
+    threads = conversation_posts(spark, sf_dir).select("tid", "fid", "board", "title").distinct()
+    front = threads.select("fid", "board").distinct().agg(F.sort_array(F.collect_list(F.struct("fid", F.format_string('<a href="forum.php?mod=forumdisplay&amp;fid=%d">%s</a>', "fid", F.col("board")).alias("link")))).alias("all"))
+    link = F.format_string('<li><a href="?tid-%d.html">%s</a></li>', "tid", F.col("title"))
+    listed = threads.groupBy("fid", (F.floor(F.col("tid") / 70) + 1).alias("page")).agg(F.sort_array(F.collect_list(F.struct("tid", link.alias("link")))).alias("all"))
+    body = F.array_join(F.transform("all", lambda x: x["link"]), "\n").alias("html")
+    parts = [
+        front.select(F.lit(f"{BASE}/forum.php").alias("url"), body),
+        listed.select(F.format_string(f"{BASE}/archiver/?fid-%d.html&page=%d", "fid", "page").alias("url"), body),
+        rendered_thread_pages(spark, sf_dir).select("url", "html"),
+        threads.limit(1).select(F.lit(f"{BASE}/archiver/?tid-0.html").alias("url"), F.lit("<p>提示信息</p>").alias("html")),
+    ]
+    whole = parts[0]
+    for other in parts[1:]:
+        whole = whole.unionByName(other)
+    return whole.withColumn("fetched_at", F.lit("2026-04-03 10:52:36").cast("timestamp"))
+
+
 def rendered_board_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages of the events, ten threads each, with links to the board's other pages."""
     seen = listings(spark, sf_dir).withColumn("page", (F.floor(F.col("pos") / 10) % 40 + 1).cast("int"))

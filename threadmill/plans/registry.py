@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +14,7 @@ from .. import schemas
 from ..functions import chunking, tagging, textops
 from ..functions.textops import BREAKS, ENTITIES, SPACE
 from ..functions.vocab import LATIN, NO_CATEGORY
-from ..operators import archive, quality, retrieval, sampling
+from ..operators import archive, harvest, quality, retrieval, sampling
 from ..sources import io, pages
 from ..streaming import incremental, streams
 from . import fixtures
@@ -113,7 +116,7 @@ def page_id_from_url(spark, sf_dir):
 def thread_page_posts(spark, sf_dir):
     named = pages.page_identity(fixtures.rendered_thread_pages(spark, sf_dir))
     good, _ = pages.split_errors(named)
-    posts = pages.number_in_page(pages.thread_posts(good, numeric=False), ["tid", "page"])
+    posts = pages.number_in_page(pages.thread_posts(good), ["tid", "page"])
     return posts.select("tid", "page", "position", "author", "post_time", "content")
 
 
@@ -141,12 +144,15 @@ def page_urls(spark, sf_dir):
 _NOTICED = "(SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '提示信息' ELSE '' END || CASE WHEN page_id % 2 = 0 THEN '<p class=\"author\">' ELSE '' END || html AS html FROM pages)"
 
 
-@register(f"SELECT page_id, CASE WHEN contains(substr(html, 1, 200), '提示信息') AND NOT contains(html, 'class=\"author\"') THEN 'notice page' ELSE 'good' END AS verdict FROM {_NOTICED}")
-def error_pages(spark, sf_dir):
+def _noticed(spark, sf_dir):
     notice = F.when(F.pmod("page_id", F.lit(3)) == 0, "提示信息").otherwise("")
     author = F.when(F.pmod("page_id", F.lit(2)) == 0, '<p class="author">').otherwise("")
-    landed = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("url"), F.concat(notice, author, "html").alias("html"))
-    good, bad = pages.split_errors(landed)
+    return table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("url"), F.concat(notice, author, "html").alias("html"))
+
+
+@register(f"SELECT page_id, CASE WHEN contains(substr(html, 1, 200), '提示信息') AND NOT contains(html, 'class=\"author\"') THEN 'notice page' ELSE 'good' END AS verdict FROM {_NOTICED}")
+def error_pages(spark, sf_dir):
+    good, bad = pages.split_errors(_noticed(spark, sf_dir))
     both = good.select("url", F.lit("good").alias("verdict")).unionByName(bad.select("url", F.col("reason").alias("verdict")))
     return both.select(F.col("url").cast("long").alias("page_id"), "verdict")
 
@@ -199,9 +205,15 @@ def whole_text_entities(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", textops.decode_entities(F.concat(number, "text")).alias("decoded"))
 
 
+@register(f"SELECT doc_id, {_named('text')} || '?' || chr(20013) || '?!' AS decoded FROM documents")
+def surrogate_entities(spark, sf_dir):
+    """Lone surrogates become question marks, numbers beyond the last code point vanish; before them the whole text."""
+    return table(spark, sf_dir, "documents").select("doc_id", textops.decode_entities(F.concat("text", F.lit("&#55296;&#x4e2d;&#1114112;&#xdfff;!"))).alias("decoded"))
+
+
 @register()
 def clean_html_numeric(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", textops.clean_html(F.col("html")).alias("content"))
+    return textops.with_clean_html(table(spark, sf_dir, "pages").select("page_id", "html"), F.col("html"), "content").drop("html")
 
 
 @register(
@@ -218,19 +230,6 @@ def fixed_windows(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.explode(chunking.windows(F.col("text"), 1500, 200)).alias("chunk"))
 
 
-@register()
-def chunk_documents(spark, sf_dir):
-    posts = tagging.with_tags(fixtures.document_posts(spark, sf_dir), LATIN)
-    chunks = chunking.to_chunks(posts, 1500, 200, LATIN)
-    return chunks.select("id", "text", "source.chunk_index", "source.chunk_count", "source.cues", "source.source_label")
-
-
-@register()
-def chunk_stats(spark, sf_dir):
-    posts = fixtures.document_posts(spark, sf_dir)
-    return chunking.chunk_statistics(posts, chunking.to_chunks(posts, 1500, 200, LATIN))
-
-
 _CUES = "concat_ws(',', " + ", ".join(f"CASE WHEN len({_in('title || chr(10) || norm', w)}) > 0 THEN {_q(n)} END" for n, w in LATIN.cues.items()) + ")"
 _NORM = f"(SELECT *, {_tidy('content')} AS norm FROM {POSTS})"
 
@@ -349,6 +348,59 @@ def facet_rollup(spark, sf_dir):
     return archive.facet_rollup(table(spark, sf_dir, "documents"), ["lang", "source"])
 
 
+_TAG_ROWS = """(SELECT {key}, tag, min(spot) AS spot FROM (SELECT {key}, unnest(tags) AS tag, generate_subscripts(tags, 1) AS spot FROM (SELECT {key}, {tags} AS tags FROM {table})) WHERE tag <> '' GROUP BY {key}, tag)"""
+
+
+def _tag_text(table: str, key: str = "tid", by: str = "，") -> str:
+    """Every row of ``table`` (title, content, board) with tags, joined by a mark in order of first place."""
+    tags = _ALL_TAGS.replace("['b']", "[CASE WHEN contains(board, '·') THEN split_part(board, '·', 1) ELSE '' END]")
+    return f"(SELECT {key}, string_agg(tag, '{by}' ORDER BY spot) AS tags FROM {_TAG_ROWS.format(key=key, tags=tags, table=table)} GROUP BY {key})"
+
+
+# sentences packed in order: the state is the open chunk and those done
+_WINDOWS = f"list_filter(list_transform(range(0, length(x.open), 1300), lambda k: {_strip('substr(x.open, k + 1, 1500)')}), lambda w: w <> '')"
+_SENTENCES = f"list_filter(string_split(regexp_replace(norm, '([。？！.?!])[{SPACE}]*', '\\1' || chr(30), 'g'), chr(30)), lambda s: {_strip('s')} <> '')"
+_CLOSED = "CASE WHEN {0} <> '' THEN [{0}] ELSE [] END"
+_PACKED = f"""list_reduce(list_prepend({{'open': '', 'done': []::VARCHAR[]}}, list_transform({_SENTENCES}, lambda s: {{'open': s, 'done': []::VARCHAR[]}})), lambda a, x:
+    CASE WHEN length(x.open) > 1500 THEN {{'open': right(list_extract({_WINDOWS}, -1), 200), 'done': list_concat(a.done, {_CLOSED.format(_strip('a.open'))}, {_WINDOWS})}}
+    WHEN a.open <> '' AND length(a.open) + length(x.open) > 1500 THEN
+        {{'open': CASE WHEN length(a.open) > 200 THEN right(a.open, 200) ELSE '' END || x.open, 'done': list_append(a.done, {_strip('a.open')})}}
+    ELSE {{'open': a.open || x.open, 'done': a.done}} END)"""
+_CHUNKS = f"""WITH n AS (SELECT *, {_CUES} AS cues, {_LABEL} AS label FROM {_NORM} WHERE norm <> ''),
+    t AS {_tag_text(POSTS)},
+    long AS (SELECT tid, {_PACKED} AS r FROM n WHERE length(norm) > 1500),
+    parts AS (SELECT tid, [norm] AS parts FROM n WHERE length(norm) <= 1500 UNION ALL SELECT tid, list_concat(r.done, {_CLOSED.format(_strip('r.open'))}) FROM long),
+    each AS (SELECT tid, len(parts) AS chunk_count, unnest(parts) AS part, generate_subscripts(parts, 1) AS chunk_index FROM parts),
+    chunk AS (SELECT 'fid' || fid || '_tid' || tid || '_f1_idx' || chunk_index AS id,
+        '【' || board || '】《' || title || '》第1楼｜' || author || '｜2026-4-3 10:52:36' || chr(10) || '链接: {fixtures.BASE}/forum.php?mod=viewthread&tid=' || tid || chr(10)
+        || CASE WHEN tags IS NOT NULL THEN '标签: ' || tags || chr(10) ELSE '' END || CASE WHEN cues <> '' THEN '语义线索: ' || cues || chr(10) ELSE '' END || chr(10) || part AS text,
+        chunk_index, chunk_count, cues, label AS source_label FROM each JOIN n USING (tid) LEFT JOIN t USING (tid))"""
+
+
+def _chunks(spark, sf_dir):
+    posts = tagging.with_tags(fixtures.document_posts(spark, sf_dir), LATIN)
+    return chunking.to_chunks(posts, 1500, 200, LATIN)
+
+
+@register(f"{_CHUNKS} SELECT * FROM chunk")
+def chunk_documents(spark, sf_dir):
+    return _chunks(spark, sf_dir).select("id", "text", "source.chunk_index", "source.chunk_count", "source.cues", "source.source_label")
+
+
+@register(f"{_CHUNKS} SELECT (SELECT count(*) FROM documents) AS posts, (SELECT count(*) FROM chunk) AS chunks, (SELECT count(*) FROM chunk) / greatest((SELECT count(*) FROM documents), 1) AS mean_chunks")
+def chunk_stats(spark, sf_dir):
+    posts = fixtures.document_posts(spark, sf_dir)
+    return chunking.chunk_statistics(posts, chunking.to_chunks(posts, 1500, 200, LATIN))
+
+
+@register(f"{_CHUNKS} SELECT id, text, chunk_index FROM chunk")
+def chunk_files(spark, sf_dir):
+    """Chunks written as JSON lines and read back."""
+    path = _scratch(spark, "chunks")
+    io.write_chunks_jsonl(_chunks(spark, sf_dir), path)
+    return spark.read.schema(schemas.CHUNKS_DDL).json(path).select("id", "text", "source.chunk_index")
+
+
 # --- threads --------------------------------------------------------------------
 
 
@@ -404,18 +456,177 @@ def meta_positional_join(spark, sf_dir):
     return archive.attach_meta(posts, meta).select("tid", "floor", F.col("meta.recommend_add").alias("added"), F.col("meta.favorite_count").alias("favorites"))
 
 
+_EVEN = "CASE WHEN floor % 2 = 0 THEN {0} ELSE {1} END"
+
+
+@register(
+    f"""SELECT tid, floor, {_EVEN.format('floor', '0')} AS rating_count, {_EVEN.format('floor * 5', '0')} AS rating_coins, length(content) AS recommend_add, floor * 2 AS recommend_subtract,
+    floor AS favorite_count, {_EVEN.format('1', '0')} AS comment_count, {_EVEN.format("tid || ':' || author || ':' || floor || ':for ' || author", 'NULL')} AS rated,
+    {_EVEN.format('2', '0')} AS ratings, {_EVEN.format("tid || ':u' || floor || ':said ' || tid", "''")} AS said FROM {CONV}"""
+)
+def meta_fields(spark, sf_dir):
+    """All eight fields of the interaction data, at their posts."""
+    posts = fixtures.conversation_posts(spark, sf_dir).select("tid", "page", "position", "floor")
+    both = archive.attach_meta(posts, pages.thread_meta(fixtures.rendered_meta_pages(spark, sf_dir)))
+    text = lambda r, *names: F.concat_ws(":", *[r[n].cast("string") for n in names])
+    rated = F.array_join(F.array_distinct(F.transform("meta.rating_details", lambda r: text(r, "uid", "username", "coins", "reason"))), "|")
+    said = F.array_join(F.transform("meta.comments", lambda c: text(c, "uid", "username", "content")), "|")
+    counts = [F.col(f"meta.{c}") for c in ("rating_count", "rating_coins", "recommend_add", "recommend_subtract", "favorite_count", "comment_count")]
+    return both.select("tid", "floor", *counts, F.nullif(rated, F.lit("")).alias("rated"), F.size("meta.rating_details").alias("ratings"), said.alias("said"))
+
+
 @register(f"SELECT tid, floor, length(content) AS content_len, '[]' AS tags FROM {CONV}")
 def posts_for_sql(spark, sf_dir):
     return io.posts_for_sql(fixtures.conversation_posts(spark, sf_dir)).select("tid", "floor", "content_len", "tags")
 
 
-@register(f"SELECT tid, floor, author, content FROM {CONV}")
+_FIELDS = ("tid", "fid", "board", "title", "author", "floor", "page", "position", "post_time", "content", "url")
+_URL = f"'{fixtures.BASE}/forum.php?mod=viewthread&tid=' || tid AS url"
+_ALL_FIELDS = ", ".join(_FIELDS[:-1]) + f", {_URL}"
+
+
+@register(f"SELECT {_ALL_FIELDS}, '' AS category, 0 AS tags FROM {CONV}")
 def posts_jsonl_round_trip(spark, sf_dir):
-    """The posts as JSON lines, and read back with the fixed schema."""
-    posts = fixtures.conversation_posts(spark, sf_dir)
-    lines = posts.select(F.to_json(F.struct(*posts.columns)).alias("line"))
-    row = F.from_json("line", schemas.POSTS_DDL, {"mode": "FAILFAST"}).alias("p")
-    return schemas.with_defaults(lines.select(row).select("p.*"), schemas.POSTS_DDL).select("tid", "floor", "author", "content")
+    """The posts as JSON lines in two appends, and read back with the fixed schema and defaults."""
+    posts, path = fixtures.conversation_posts(spark, sf_dir), _scratch(spark, "posts")
+    for part in ("floor % 2 = 0", "floor % 2 = 1"):
+        io.append_posts_jsonl(posts.filter(part), path)
+    return io.read_posts_jsonl(spark, path).select(*_FIELDS, "category", F.size("tags").alias("tags"))
+
+
+@register(f"SELECT {_ALL_FIELDS} FROM {CONV} WHERE fid = 3")
+def one_board_archive(spark, sf_dir):
+    """One board's posts from the native archive, of which only that board's folder is read."""
+    path = _scratch(spark, "archive")
+    io.append_posts(fixtures.conversation_posts(spark, sf_dir), path)
+    return archive.only_board(spark.read.parquet(path), 3).select(*_FIELDS)
+
+
+_HEAD = "chr(20013) || chr(25991) || chr(65533) || ' '"
+
+
+@register(f"SELECT page_id, {_HEAD} || regexp_replace(html, '[^\\x00-\\x7F]', '?', 'g') AS html FROM pages")
+def raw_page_files(spark, sf_dir):
+    """GBK bytes, one of them illegal, landed as Parquet, read back and decoded."""
+    plain = F.regexp_replace("html", r"[^\x00-\x7F]", "?").cast("binary")
+    body = F.concat(F.unhex(F.lit("D6D0CEC48020")), plain)  # two characters, 0x80 and a blank
+    path = _scratch(spark, "raw")
+    landed = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("url"), body.alias("body"), F.lit("2026-04-03").cast("timestamp").alias("fetched_at"))
+    landed.write.parquet(path)
+    return pages.decode_pages(io.read_raw_pages(spark, path)).select(F.col("url").cast("long").alias("page_id"), "html")
+
+
+@register("SELECT CAST(page_id AS VARCHAR) AS url, 'notice page' AS reason, true AS stamped FROM pages WHERE page_id % 6 = 3")
+def rejects_file(spark, sf_dir):
+    """Rejected pages appended to a file of tab-separated values and read back."""
+    path = _scratch(spark, "rejects")
+    io.append_rejects(pages.split_errors(_noticed(spark, sf_dir))[1], path)
+    rows = spark.read.schema("url string, reason string, ts timestamp").option("sep", "\t").csv(path)
+    return rows.select("url", "reason", F.col("ts").isNotNull().alias("stamped"))
+
+
+_CONV_TAGS = _tag_text(f"(SELECT tid * 100 + floor AS post, title, content, board FROM {CONV})", "post", "|")
+
+
+@register(f"SELECT tid, floor, title, author, category, coalesce(tags, '') AS tags FROM (SELECT *, '' AS category, tid * 100 + floor AS post FROM {CONV}) LEFT JOIN {_CONV_TAGS} USING (post)")
+def post_records(spark, sf_dir):
+    records = archive.post_records(fixtures.conversation_posts(spark, sf_dir), LATIN)
+    return records.select("tid", "floor", "title", "author", "category", F.array_join("tags", "|").alias("tags"))
+
+
+# --- the whole archive ------------------------------------------------------------
+
+# what the pages hold: contents as parsing tidies them, boards without a category
+_PARSED = f"(SELECT * REPLACE ({_tidy('content')} AS content), '{NO_CATEGORY}' AS category, tid * 100 + floor AS post FROM {CONV})"
+_PARSED_TAGS = _tag_text(_PARSED, "post", "|")
+_TAGGED_POSTS = f"(SELECT p.*, {_URL}, coalesce(tags, '') AS tags FROM {_PARSED} p LEFT JOIN {_PARSED_TAGS} USING (post))"
+
+
+def _rolled(last_crawl: str) -> str:
+    first = ", ".join(f"min({c}) AS {c}" for c in ("fid", "board", "category", "title", "url"))
+    return f"""SELECT tid, {first}, arg_min(author, floor) AS first_author, arg_min(post_time, floor) AS first_time, count(*) AS post_count, arg_min(tags, floor) AS tags,
+        {last_crawl} AS last_crawl FROM {_TAGGED_POSTS} GROUP BY tid"""
+
+
+_ENTRIES = f"""SELECT field, token, count(*) AS posts, sum(tf)::BIGINT AS tf FROM (SELECT tid, floor, field, token, count(*) AS tf FROM (
+    {" UNION ALL ".join(f"SELECT tid, floor, '{f}' AS field, unnest(regexp_extract_all(lower({f}), '[\\p{{L}}\\p{{N}}]+')) AS token FROM {_PARSED}" for f in ("title", "author", "content"))}) GROUP BY ALL) GROUP BY field, token"""
+
+
+def _landed(spark, sf_dir, some=None, last_crawl="t2"):
+    """The archive of the rendered pages, or of some of them."""
+    landed = fixtures.rendered_archive(spark, sf_dir)
+    landed = landed if some is None else landed.filter(some)
+    return harvest.archive_pages(landed, fixtures.BASE, fixtures.board_names(spark, sf_dir).limit(0), LATIN, PAGE_SIZE, last_crawl)
+
+
+def _updated(spark, sf_dir):
+    """An archive of the first page of the threads below number 50, and its next version after all pages landed."""
+    number, page = F.regexp_extract("url", r"tid-(\d+)", 1).try_cast("long"), F.regexp_extract("url", r"page=(\d+)", 1).try_cast("int")
+    old, landed = _landed(spark, sf_dir, number.isNull() | ((number < 50) & (page == 1)), "t1"), _landed(spark, sf_dir)
+    return old, landed, harvest.update_archive(old, landed, LATIN, PAGE_SIZE, "t2")
+
+
+def _index_entries(index):
+    return index.groupBy("field", "token").agg(F.count("*").alias("posts"), F.sum("tf").alias("tf"))
+
+
+_POST_COLUMNS = "tid, fid, board, category, title, author, floor, page, position, post_time, content, url, tags"
+
+
+def _flat(df, names):
+    return df.withColumn("tags", F.array_join("tags", "|")).select(*[n.strip() for n in names.split(",")])
+
+
+@register(f"SELECT {_POST_COLUMNS} FROM {_TAGGED_POSTS}")
+def archive_posts(spark, sf_dir):
+    """Pages to posts with board, title and tags."""
+    return _flat(_landed(spark, sf_dir).posts, _POST_COLUMNS)
+
+
+_THREAD_COLUMNS = "tid, fid, board, category, title, first_author, first_time, post_count, tags, url, last_crawl"
+
+
+@register(_rolled("'t2'"))
+def archive_threads(spark, sf_dir):
+    """Pages to threads."""
+    return _flat(_landed(spark, sf_dir).threads, _THREAD_COLUMNS)
+
+
+@register(_ENTRIES)
+def archive_index(spark, sf_dir):
+    """Pages to the token index."""
+    return _index_entries(_landed(spark, sf_dir).index)
+
+
+@register(f"SELECT DISTINCT fid, board, '{NO_CATEGORY}' AS category FROM {CONV}")
+def archive_boards(spark, sf_dir):
+    return _landed(spark, sf_dir).boards.select("fid", "board", "category")
+
+
+@register(f"SELECT {_POST_COLUMNS} FROM {_TAGGED_POSTS}")
+def archive_update_posts(spark, sf_dir):
+    """An old archive brought up to date: all posts, each once."""
+    return _flat(_updated(spark, sf_dir)[2].posts, _POST_COLUMNS)
+
+
+@register(_rolled(f"CASE WHEN tid < 50 AND count(*) <= {PAGE_SIZE} THEN 't1' ELSE 't2' END"))
+def archive_update_threads(spark, sf_dir):
+    return _flat(_updated(spark, sf_dir)[2].threads, _THREAD_COLUMNS)
+
+
+@register(_ENTRIES)
+def archive_update_index(spark, sf_dir):
+    return _index_entries(_updated(spark, sf_dir)[2].index)
+
+
+@register(f"SELECT (SELECT count(*) FROM {CONV} WHERE tid >= 50 OR floor > {PAGE_SIZE}) AS added, 0::BIGINT AS added_again")
+def update_twice(spark, sf_dir):
+    """Posts that an update adds, and that the same update adds to its own result."""
+    old, landed, new = _updated(spark, sf_dir)
+    new = harvest.saved(new, _scratch(spark, "versions"), 2)
+    added = incremental.unseen_floors(new.posts, old.posts).agg(F.count("*").alias("added"))
+    again = harvest.update_archive(new, landed, LATIN, PAGE_SIZE, "t3")
+    return added.crossJoin(incremental.unseen_floors(again.posts, new.posts).agg(F.count("*").alias("added_again")))
 
 
 # --- samples --------------------------------------------------------------------
@@ -466,6 +677,32 @@ def sample_report(spark, sf_dir):
     return sampling.board_report(seen, sampling.sample_threads(seen, 3, 42))
 
 
+_SAMPLED = f"(SELECT fid, tid, 0 AS sticky FROM ({_SAMPLE}) UNION ALL SELECT fid, tid, 2 FROM ({_FIRST}) WHERE tid IN {STICKY})"
+
+
+@register(
+    f"""SELECT (SELECT count(DISTINCT fid) FROM {LISTED}) AS boards_scanned, count(*) FILTER (WHERE sticky = 2) AS sticky_threads, count(*) FILTER (WHERE sticky = 0) AS normal_threads,
+    count(DISTINCT tid) AS total_threads, (SELECT count(*) FROM conversations) AS total_posts,
+    (SELECT string_agg(fid || ':' || threads || ':' || sampled, ' ' ORDER BY fid) FROM (SELECT l.fid, count(DISTINCT l.tid) AS threads, (SELECT count(*) FROM {_SAMPLED} s WHERE s.fid = l.fid) AS sampled
+        FROM {LISTED} l GROUP BY l.fid)) AS per_board FROM {_SAMPLED}"""
+)
+def sample_totals(spark, sf_dir):
+    """The sample's report written as JSON and read back."""
+    seen, path = fixtures.listings(spark, sf_dir), _scratch(spark, "report")
+    report = sampling.sample_report(seen, sampling.sample_threads(seen, 3, 42), fixtures.conversation_posts(spark, sf_dir))
+    io.write_report(report, path)
+    back = spark.read.schema("boards_scanned long, sticky_threads long, normal_threads long, total_threads long, total_posts long, per_board map<string, struct<threads long, sampled long>>").json(path)
+    entries = F.array_sort(F.transform(F.map_entries("per_board"), lambda e: F.struct(e["key"].cast("int").alias("fid"), e["value"].alias("n"))))
+    boards = F.array_join(F.transform(entries, lambda e: F.concat_ws(":", e["fid"].cast("string"), e["n"]["threads"].cast("string"), e["n"]["sampled"].cast("string"))), " ")
+    return back.withColumn("per_board", boards)
+
+
+@register(f"SELECT DISTINCT tid FROM {_SAMPLED}")
+def sampled_threads(spark, sf_dir):
+    seen = fixtures.listings(spark, sf_dir)
+    return sampling.sampled_tids(sampling.sample_threads(seen, 3, 42))
+
+
 # --- updates --------------------------------------------------------------------
 
 # stored: the first three floors of the threads below the median; landed: everything
@@ -514,6 +751,14 @@ def skip_archived(spark, sf_dir):
     return incremental.skip_archived(queue, archive.thread_rollup(_stored(spark, sf_dir), LATIN))
 
 
+@register(f"SELECT DISTINCT tid, fid FROM {CONV} WHERE NOT (tid IN (SELECT tid FROM {_STORED}) AND fid <> 6 AND tid <= 10 * fid)")
+def skip_processed(spark, sf_dir):
+    """Archived threads up to each board's last processed one are passed over; board 6 has not begun."""
+    queue = fixtures.conversation_posts(spark, sf_dir).select("tid", "fid").distinct()
+    progress = queue.select("fid").distinct().filter("fid <> 6").select("fid", (F.col("fid") * 10).cast("long").alias("last_processed"))
+    return incremental.skip_archived(queue, archive.thread_rollup(_stored(spark, sf_dir), LATIN), progress)
+
+
 @register(f"SELECT tid, floor FROM {CONV} c WHERE floor > (SELECT count(*) FROM {_STORED} s WHERE s.tid = c.tid)")
 def floors_beyond_count(spark, sf_dir):
     return incremental.beyond_count(fixtures.conversation_posts(spark, sf_dir), _stored(spark, sf_dir)).select("tid", "floor")
@@ -526,13 +771,14 @@ def unfinished_threads(spark, sf_dir):
 
 
 @register(
-    f"""SELECT tid, count(*) AS post_count, CASE WHEN count(*) > (SELECT count(*) FROM {_STORED} s WHERE s.tid = c.tid) THEN 't2' ELSE 't1' END AS last_crawl FROM {CONV} c GROUP BY tid"""
+    f"""SELECT tid, count(*) AS post_count, CASE WHEN count(*) > (SELECT count(*) FROM {_STORED} s WHERE s.tid = c.tid) THEN 't2' ELSE 't1' END AS last_crawl, arg_min(coalesce(tags, ''), floor) AS tags
+    FROM (SELECT *, tid * 100 + floor AS post FROM {CONV}) c LEFT JOIN {_CONV_TAGS} USING (post) GROUP BY tid"""
 )
 def thread_upsert(spark, sf_dir):
     stored = _stored(spark, sf_dir)
     threads = archive.thread_rollup(stored, LATIN, F.lit("t1"))
-    _, updated = incremental.apply_update(stored, threads, fixtures.conversation_posts(spark, sf_dir), "t2")
-    return updated.select("tid", "post_count", "last_crawl")
+    _, updated = incremental.apply_update(stored, threads, fixtures.conversation_posts(spark, sf_dir), "t2", LATIN)
+    return updated.select("tid", "post_count", "last_crawl", F.array_join("tags", "|").alias("tags"))
 
 
 @register(f"SELECT tid, floor, max(version) AS version FROM (SELECT tid, floor, 1 AS version FROM {_STORED} UNION ALL SELECT tid, floor, floor % 2 * 2 FROM {CONV}) GROUP BY tid, floor")
@@ -659,29 +905,63 @@ def post_times(spark, sf_dir):
     return posts.groupBy("author", F.date_format("post_ts", "yyyy-MM-dd HH:mm:ss").alias("at")).agg(F.count("*").alias("posts"))
 
 
-@register(f"SELECT tid, count(*) AS posts FROM {CONV} GROUP BY tid")
-def streamed_counts(spark, sf_dir):
-    """The posts arrive as a stream and are archived; the archive then gives the batch result."""
-    import uuid
-
-    root = f"{spark.conf.get('spark.checkpoint.dir', None) or _local(spark)}/stream-{uuid.uuid4().hex}"
-    source = f"{sf_dir}/conversations.parquet"
-    landed = spark.readStream.schema(spark.read.parquet(source).schema).parquet(_folder(source))
-    posts = landed.select(F.col("conv_id").alias("tid"), (F.col("turn") + 1).alias("floor"), F.col("role").alias("author"))
-    streams.archive_stream(posts, f"{root}/archive", f"{root}/checkpoint").awaitTermination()
-    return archive.post_counts(spark.read.parquet(f"{root}/archive"))
-
+# --- streams --------------------------------------------------------------------
 
-def _local(spark) -> str:
-    import tempfile
 
-    root = spark.sparkContext.getCheckpointDir()
+def _scratch(spark, name: str) -> str:
+    """A new path in the shared folder that ``spark.checkpoint.dir`` names; only a local session may leave it unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="threadmill-checkpoints-")
         spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _landing(spark, sf_dir):
+    """The conversations as a stream of posts."""
+    source = f"{sf_dir}/conversations.parquet"
+    # a stream reads folders; a single file is matched in its folder by a pattern
+    landed = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source[:-1] + "[t]")
+    return landed.select(F.col("conv_id").alias("tid"), (F.col("turn") + 1).alias("floor"), F.col("role").alias("author"))
 
 
-def _folder(path: str) -> str:
-    """A stream reads folders; a single file is matched in its folder by a pattern."""
-    return path[:-1] + "[t]"
+@register(f"SELECT tid, count(*) AS posts FROM {CONV} GROUP BY tid")
+def streamed_counts(spark, sf_dir):
+    """The posts arrive as a stream and are archived; the archive then gives the batch result."""
+    root = _scratch(spark, "stream")
+    streams.archive_stream(_landing(spark, sf_dir), f"{root}/archive", f"{root}/checkpoint").awaitTermination()
+    return archive.post_counts(spark.read.parquet(f"{root}/archive"))
+
+
+@register(f"SELECT tid, count(*) AS posts FROM {CONV} GROUP BY tid")
+def streamed_running_counts(spark, sf_dir):
+    """Counts kept as state of a stream, in update mode."""
+    root = _scratch(spark, "stream")
+    streams.count_stream(_landing(spark, sf_dir), f"{root}/counts", f"{root}/checkpoint").awaitTermination()
+    return streams.latest_counts(spark.read.parquet(f"{root}/counts"))
+
+
+@register(f"SELECT tid, floor, author FROM {CONV}")
+def streamed_first_seen(spark, sf_dir):
+    """A stream in which every post comes twice, and leaves once."""
+    root = _scratch(spark, "stream")
+    twice = _landing(spark, sf_dir).withColumn("again", F.explode(F.array(F.lit(0), F.lit(1)))).drop("again")
+    sink = streams.first_seen(twice).writeStream.format("parquet").option("path", f"{root}/posts").option("checkpointLocation", f"{root}/checkpoint")
+    sink.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/posts").select("tid", "floor", "author")
+
+
+@register(f"SELECT tid, floor, page, position, author, {_tidy('content')} AS content FROM {CONV}")
+def streamed_pages(spark, sf_dir):
+    """Raw thread pages that land as files, each in two versions, parsed in the stream and archived."""
+    root = _scratch(spark, "stream")
+    rendered = fixtures.rendered_thread_pages(spark, sf_dir)
+    versions = F.array(F.struct(F.lit("2026-04-03 10:00:00").cast("timestamp").alias("at"), F.lit("<html></html>").alias("body")), F.struct(F.lit("2026-04-03 11:00:00").cast("timestamp").alias("at"), F.col("html").alias("body")))
+    both = rendered.select("url", F.explode(versions).alias("v")).select("url", F.col("v.body").alias("html"), F.col("v.at").alias("fetched_at"))
+    both.write.parquet(f"{root}/landed")
+    landed = spark.readStream.schema(both.schema).parquet(f"{root}/landed")
+    parse = partial(streams.parse_pages, vocab=LATIN, page_size=PAGE_SIZE)
+    streams.archive_stream(landed, f"{root}/archive", f"{root}/checkpoint", prepare=parse).awaitTermination()
+    return spark.read.parquet(f"{root}/archive").select("tid", "floor", "page", "position", "author", "content")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.textops import SPACE, clean_html, clean_title, decode_gbk, strip
+from ..functions.textops import SPACE, clean_title, decode_gbk, strip, with_clean_html
 from ..functions.vocab import BOARDS, NO_AUTHOR, NO_CATEGORY, NOTICE, TIME_MARK
 
 # The link and page-number forms of the archived pages.
@@ -20,6 +20,9 @@ THREAD_PAGE = r'href="\?tid-\d+\.html&page=(\d+)"'
 AUTHOR_BLOCK = r'(?i)<\w+\s+class="author">'
 #: More parts than a page can have.
 REST = 1 << 30
+AUTHOR = r"(?s)<strong>(.*?)</strong>"
+POSTED = rf"{TIME_MARK}[{SPACE}]*([^<]+)"
+HEADING = r"(?is)<h3>.*?</h3>"
 POST_OPENER = r'<(?:div|table)\s+id="(?:post_|pid)(\d+)"[^>]*>'
 
 
@@ -104,6 +107,13 @@ def is_error_page(html: Column) -> Column:
     return F.contains(F.substring(html, 1, 200), F.lit(NOTICE)) & ~F.contains(html, F.lit('class="author"'))
 
 
+def newest_pages(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """Each page once, as it was fetched last; of versions fetched together the longest, then the one with the largest hash."""
+    fetched = F.col("fetched_at") if "fetched_at" in pages.columns else F.lit(0)
+    order = F.struct(fetched, F.length("html"), F.xxhash64("html"))
+    return pages.groupBy(*keys).agg(F.max_by(F.struct(*pages.columns), order).alias("__page")).select("__page.*")
+
+
 def split_errors(pages: DataFrame, html: str = "html") -> tuple[DataFrame, DataFrame]:
     """Good pages, and rejects (url, reason, ts)."""
     bad = F.coalesce(is_error_page(F.col(html)), F.lit(True))
@@ -134,15 +144,16 @@ def thread_posts(pages: DataFrame, html: str = "html", numeric: bool = True, nav
     closing = F.when(F.contains(F.substring(part, 1, 200), F.lit("</p>")), F.lit("</p>")).otherwise(F.lit("</div>"))
     at = F.locate("</p>", part)
     end = F.when(closing == "</p>", at + 3).otherwise(F.when(F.locate("</div>", part) > 0, F.locate("</div>", part) + 5).otherwise(F.lit(0)))
-    body = F.regexp_replace(F.substring(part, end + 1, F.length(part)), r"(?is)<h3>.*?</h3>", "")
+    body = F.regexp_replace(F.substring(part, end + 1, F.length(part)), HEADING, "")
     rows = blocks.select(
         *keep,
-        "__at",
-        strip(_matched(part, r"(?s)<strong>(.*?)</strong>", NO_AUTHOR)).alias("author"),
-        strip(_matched(part, rf"{TIME_MARK}[{SPACE}]*([^<]+)")).alias("post_time"),
-        clean_html(body, numeric).alias("content"),
-    ).filter((F.col("author") != NO_AUTHOR) | (F.col("content") != ""))
-    return rows.withColumnRenamed("__at", "position")
+        F.col("__at").alias("position"),
+        strip(_matched(part, AUTHOR, NO_AUTHOR)).alias("author"),
+        strip(_matched(part, POSTED)).alias("post_time"),
+        body.alias("__body"),
+    )
+    cleaned = with_clean_html(rows, F.col("__body"), "content", numeric).drop("__body")
+    return cleaned.filter((F.col("author") != NO_AUTHOR) | (F.col("content") != ""))
 
 
 def number_in_page(posts: DataFrame, page_keys: list[str]) -> DataFrame:
