@@ -35,6 +35,10 @@ CHUNK = 512
 BROADCAST_TEXTS = 200_000
 #: Shingles whose minima are taken at a time.
 SOME = 1 << 12
+#: Shingles of other sets that one set is compared with at a time.
+TOGETHER = 1 << 20
+#: Texts whose sets are handed on together.
+SLICE = 500
 _FACTORS = np.random.default_rng(17).integers(0, 2**63, BANDS * EACH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -61,7 +65,10 @@ def band_keys(found: np.ndarray) -> list[int]:
 
 
 def similarity(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-    """Jaccard similarity of a set with each of ``others``, none of them empty."""
+    """Jaccard similarity of a set with each of ``others``, none of them empty, some ``TOGETHER`` shingles at a time."""
+    if len(others) > 1 and sum(map(len, others)) > TOGETHER:
+        half = len(others) // 2
+        return np.concatenate([similarity(one, others[:half]), similarity(one, others[half:])])
     sizes = np.array([len(o) for o in others])
     every = np.concatenate(others)
     at = np.minimum(np.searchsorted(one, every), len(one) - 1)
@@ -69,6 +76,11 @@ def similarity(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return both / (len(one) + sizes - both)
 
 
+def sets_of(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+    """The sets in a column of bytes, without copying them."""
+    return [np.frombuffer(x.as_buffer(), np.uint64) for x in column]
+
+
 def spanning_forest(sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
     """Links (from, to) that connect what all links of similarity ``least`` connect."""
     left, links = list(range(len(sets))), []
@@ -95,8 +107,10 @@ def links(docs: DataFrame, each: DataFrame, least: float, words_each: int, text:
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [np.unique(shingle_hashes(t.as_py(), words_each)).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["tag", "made"])
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                made = [np.unique(shingle_hashes(t.as_py(), words_each)).tobytes() for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.binary())], names=["tag", "made"])
 
     texts = docs.select(F.xxhash64(text).alias("tag"), F.col(text).cast("binary").alias("text")).join(wanted, "tag", "left_semi")
     sets = written(texts.mapInArrow(hashed, "tag long, made binary").dropDuplicates(["tag"]), "shingles")
@@ -108,7 +122,7 @@ def links(docs: DataFrame, each: DataFrame, least: float, words_each: int, text:
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, other = ([np.frombuffer(x, np.uint64) for x in batch.column(k).to_pylist()] for k in (2, 3))
+            one, other = (sets_of(batch.column(k)) for k in (2, 3))
             fits = pa.array([bool(similarity(x, [y])[0] >= least) for x, y in zip(one, other)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(fits) for k in (0, 1)], schema=pa.schema([batch.schema.field(k) for k in (0, 1)]))
 
@@ -122,7 +136,7 @@ def links(docs: DataFrame, each: DataFrame, least: float, words_each: int, text:
     tiled = mine.select("key", "tag", "node", F.explode(tile).alias("t")).select("key", "t.x", "t.y", "tag", "node").join(sets, "tag")
 
     def connected(table: pa.Table) -> pa.Table:
-        found = spanning_forest([np.frombuffer(x, np.uint64) for x in table.column("made").to_pylist()], least)
+        found = spanning_forest(sets_of(table.column("made")), least)
         nodes = table.column("node").combine_chunks()
         ends = [nodes.take(pa.array([p[k] for p in found], pa.int64())) for k in (0, 1)]
         return pa.table(ends, names=["a", "b"])
