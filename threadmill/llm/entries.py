@@ -56,14 +56,14 @@ def op6_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "shards")
     sharding.shuffle_to_shards(docs, path, n_shards=16)
     shards = sharding.read_shards(spark, path, docs)
-    text = F.coalesce("text", F.lit(""))
+    text = F.coalesce("row.text", F.lit(""))
     return shards.select(
-        "doc_id",
+        "row.doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.lit("rows").alias("law"),
-        F.col("__shard").alias("shard"),
-        F.col("__slot").alias("slot"),
+        "shard",
+        "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
 
