@@ -5,13 +5,17 @@ space and its ends are stripped; the fingerprint is the 128-bit xxh3 of the
 UTF-8 bytes. Documents with equal digests are then compared byte by byte, by
 the smallest and largest canonical form of each group, which Spark combines
 before it shuffles; where they differ (a collision) the SHA-256 of the canonical
-form is appended, so equal fingerprints mean equal canonical texts.
+form is appended, so equal fingerprints of documents mean equal canonical texts.
+Edited texts have the same kind of fingerprint; that of an edited text is not
+itself compared by bytes with those of others.
 
 To pair each document with the next one by doc_id, documents are sorted once by
 range partitions; each partition pairs its rows as they stream by and hands out
-its first and last text, and these few are paired in a second step.
-Defined cases: a null text is empty; equal doc_ids follow each other by text
-hash, null doc_ids come first; an empty table gives no rows.
+its first and last text, which are joined by the partitions' numbers.
+Defined cases: a null text is empty; a task holds three forms of a very long
+text at a time; equal doc_ids follow each other by text hash, null doc_ids come
+first; repeated rows have equal fingerprints; an empty table gives no rows;
+columns other than the named ones are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -108,11 +112,14 @@ def with_next(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Da
     keys = ["doc_id", F.xxhash64("text")]
     ordered = rows.repartitionByRange(parallelism(docs.sparkSession), *keys).sortWithinPartitions(*keys, "text")
     streamed = written(ordered.mapInArrow(_stream, STREAMED), "paired")
-    # two rows per partition, whatever the number of documents
-    along = Window.orderBy("part", "edge")
-    first = F.first("edge_text").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    edges = streamed.filter("edge is not null").select("doc_id", "edge", "edge_text", F.coalesce(F.lead("edge_text").over(along), first).alias("following"))
-    joined = edges.filter("edge = 1").select("doc_id", "edge_text", "following").mapInArrow(_join_edges, PAIRED)
+    # a text follows another partition's last one by the partitions' numbers, which are all that one task orders
+    edges = streamed.filter("edge is not null")
+    firsts, lasts = edges.filter("edge = 0").select(F.col("part").alias("at"), F.col("edge_text").alias("following")), edges.filter("edge = 1")
+    along = Window.orderBy("at")
+    lowest = F.min("at").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    after = firsts.select("at").select("at", F.coalesce(F.lead("at").over(along), lowest).alias("next"))
+    pairs = lasts.join(after, F.col("part") == F.col("at")).drop("at").join(firsts, F.col("next") == F.col("at"))
+    joined = pairs.select("doc_id", "edge_text", "following").mapInArrow(_join_edges, PAIRED)
     return streamed.filter("edge is null").select(*joined.columns).unionByName(joined)
 
 
