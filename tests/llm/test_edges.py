@@ -243,6 +243,19 @@ def test_line_dedup(messy, none):
     assert linededup.dedup_lines(none, min_docs=2).count() == 0
 
 
+@pytest.mark.parametrize("per_text", [False, True])
+def test_line_dedup_many_keys(spark, monkeypatch, per_text):
+    """More keys than are broadcast, one of them hot: the same lines go."""
+    rows = [(i, f"hot\nline {i // 2}\nown {i}\ntext {0 if per_text else i}") for i in range(60)] + [(100 + i, "copy\nof it") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    options = {"min_docs": 2, "keep_first": False, "per_text": per_text}
+    want = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs, **options).collect()}
+    assert want[7] == ("own 7" if per_text else "own 7\ntext 7") and want[100] == ("copy\nof it" if per_text else "")
+    monkeypatch.setattr(linededup, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(skew, "HOT_ROWS", 10)
+    assert {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs, **options).collect()} == want
+
+
 def test_line_dedup_first(spark):
     docs = spark.createDataFrame([(1, "A\nb\n a\nc"), (2, "a\nd\n\n"), (3, "\nD ")], "doc_id long, text string")
     kept = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs, min_docs=2, keep_first=True).collect()}

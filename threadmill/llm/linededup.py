@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import boxed, parallelism, written
+from .skew import join_counted
 
 #: What is stripped from both ends of a key: [\x20\x09-\x0D].
 SPACE = " \t\n\x0b\x0c\r"
@@ -56,12 +57,16 @@ def occurrences(docs: DataFrame, min_chars: int, text: str, doc_id: str) -> Data
 def key_decisions(lines: DataFrame, partitions: int) -> DataFrame:
     """Per key: n_docs and its first occurrence (first_id, first_tag, first_pos)."""
     salted = lines.withColumn("salt", F.pmod(F.xxhash64("doc_id", "tag"), F.lit(SALTS)))
-    streamed = salted.repartitionByRange(partitions, "h1", "h2", "salt").sortWithinPartitions("h1", "h2", "salt", "doc_id", "tag", "pos")
+    # hashes are uniform, so equal ranges of them hold equally many: no sample of the lines is needed to cut them
+    share = F.shiftrightunsigned(F.xxhash64("h1", "salt"), 11).cast("double") * F.lit(2.0**-53)
+    ranged = salted.withColumn("range", F.floor(share * partitions).cast("int"))
+    key = ["range", "h1", "h2", "salt"]
+    streamed = ranged.repartitionById(partitions, "range").sortWithinPartitions(*key, "doc_id", "tag", "pos")
     # a key's first line in a document stands for the document; equal rows each have one
-    in_doc = Window.partitionBy("h1", "h2", "salt", "doc_id", "tag")
+    in_doc = Window.partitionBy(*key, "doc_id", "tag")
     first = (F.col("pos") == F.min("pos").over(in_doc)).cast("long")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag", "pos")
-    part = streamed.withColumn("is_first", first).groupBy("h1", "h2", "salt").agg(F.sum("is_first").alias("n"), F.min(place).alias("first"))
+    part = streamed.withColumn("is_first", first).groupBy(*key).agg(F.sum("is_first").alias("n"), F.min(place).alias("first"))
     whole = part.groupBy("h1", "h2").agg(F.sum("n").alias("n_docs"), F.min("first").alias("first"))
     return whole.select("h1", "h2", "n_docs", F.col("first.doc_id").alias("first_id"), F.col("first.tag").alias("first_tag"), F.col("first.pos").alias("first_pos"))
 
@@ -78,13 +83,21 @@ def drop_bitmaps(docs: DataFrame, min_docs: int = 2, keep_first: bool = True, mi
     partitions = parallelism(docs.sparkSession)
     decisions = key_decisions(lines, partitions).filter(F.col("n_docs") >= min_docs)
     decisions = written(decisions, "line-keys")
-    if decisions.count() <= BROADCAST_KEYS:
-        decisions = F.broadcast(decisions)
-    hit = lines.join(decisions, ["h1", "h2"])
+    few = decisions.count() <= BROADCAST_KEYS
+    key = ["h1", "h2"]
+
+    def at_keys(rows: DataFrame, table: DataFrame) -> DataFrame:
+        """Rows with a key of ``table``, which has the key's number of rows in ``n``."""
+        if few:
+            return rows.join(F.broadcast(table.drop("n")), key)
+        return join_counted(rows, table, key, table.agg(F.sum("n")).first()[0] or 0)
+
+    hit = at_keys(lines, decisions.withColumnRenamed("n_docs", "n"))
     if per_text:  # a key is in no more texts than documents, so only the keys found above are counted again
         hit = written(hit, "line-hits")
-        texts = hit.select("h1", "h2", "tag").distinct().groupBy("h1", "h2").count().filter(F.col("count") >= min_docs)
-        hit = hit.join(texts, ["h1", "h2"], "left_semi")
+        in_text = hit.groupBy(*key, "tag").agg(F.count("*").alias("n"))
+        texts = in_text.groupBy(*key).agg(F.count("*").alias("texts"), F.sum("n").alias("n")).filter(F.col("texts") >= min_docs)
+        hit = at_keys(hit, written(texts.drop("texts"), "text-keys"))
     if keep_first:
         first = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("tag") == F.col("first_tag")) & (F.col("pos") == F.col("first_pos"))
         hit = hit.filter(~first)
