@@ -481,6 +481,40 @@ def test_ann(spark):
     assert ann.nearest(df.limit(0)).count() == 0
 
 
+def test_ann_pieces(monkeypatch):
+    """Thresholds that run through many pieces of a block lose no more than one, and equal vectors go by id."""
+    monkeypatch.setattr(ann, "CHUNK", 500)
+    rng = np.random.default_rng(8)
+    vectors = rng.standard_normal((6000, 24)).astype(np.float32)
+    vectors[3000:3100] = vectors[17]
+    ids = rng.permutation(6000)
+    asked = np.append(np.arange(0, 6000, 80), 17)
+    queries = vectors[asked].astype(float)
+    who, which, score = ann.search_block(ids, vectors, ids[asked], queries, 10, 1.9, ann.rotation(24))
+    hits = 0
+    for i, q in zip(ids[asked], queries):
+        true = (vectors.astype(float) * q).sum(axis=1)
+        best = [j for j in np.lexsort((ids, -true)) if ids[j] != i][:10]
+        mine = which[who == i]
+        assert len(mine) == 10
+        assert np.array_equal(score[who == i], [true[ids == j][0] for j in mine])
+        assert list(np.lexsort((mine, -score[who == i]))) == list(range(10))
+        hits += len(set(mine.tolist()) & set(ids[best].tolist()))
+    assert hits >= 0.98 * 10 * len(asked)
+    copies = np.append(ids[3000:3100], ids[17])
+    assert which[who == ids[17]].tolist() == sorted(set(copies.tolist()) - {ids[17]})[:10]
+
+
+@pytest.mark.parametrize("dtype,size", [("float", 3e38), ("double", 1e150), ("float", 1e-44), ("double", 1e-150)])
+def test_ann_extreme_components(spark, dtype, size):
+    """Components near the ends of their type's range lose no vector."""
+    rows = [(i, [size, size * (i % 3) / 3, 0.0]) for i in range(60)]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{dtype}>").coalesce(2)
+    found = ann.nearest(df, query_every=20, k=4).collect()
+    assert sorted((r["query_id"], r["rank"]) for r in found) == [(q, n) for q in (0, 20, 40) for n in (1, 2, 3, 4)]
+    assert [r["vec_id"] for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == 20] == [2, 5, 8, 11]
+
+
 def test_ann_repeated_id(spark):
     """Of rows with one id the smallest vector is searched, in whatever order they come."""
     rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])]
