@@ -193,10 +193,11 @@ def normalize_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", textops.normalize(F.concat(F.lit("  "), "text", F.lit("\r\n\t　"))).alias("norm"))
 
 
-@register("SELECT doc_id, chr(CAST(65 + doc_id % 26 AS INT)) || chr(CAST(20013 + doc_id % 50 AS INT)) || '<' || substr(text, 1, 5) AS decoded FROM documents")
+@register(f"SELECT doc_id, chr(CAST(65 + doc_id % 26 AS INT)) || chr(CAST(20013 + doc_id % 50 AS INT)) || '<' || {_named('text')} AS decoded FROM documents")
 def numeric_entities(spark, sf_dir):
+    """Whole texts with a reference in place of every blank, behind some more."""
     number = F.format_string("&#%d;&#x%s;&amp;lt;", 65 + F.pmod("doc_id", F.lit(26)), F.lower(F.hex(20013 + F.pmod("doc_id", F.lit(50)))))
-    return table(spark, sf_dir, "documents").select("doc_id", textops.decode_entities(F.concat(number, F.substring("text", 1, 5))).alias("decoded"))
+    return table(spark, sf_dir, "documents").select("doc_id", textops.decode_entities(F.concat(number, F.replace("text", F.lit(" "), F.lit("&#x20;")))).alias("decoded"))
 
 
 @register(f"SELECT doc_id, chr(CAST(65 + doc_id % 26 AS INT)) || chr(CAST(20013 + doc_id % 50 AS INT)) || '<' || {_named('text')} AS decoded FROM documents")
