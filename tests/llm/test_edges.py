@@ -481,6 +481,19 @@ def test_ann(spark):
     assert ann.nearest(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("per_text", [False, True])
+def test_line_keys_shuffled(spark, monkeypatch, per_text):
+    """More keys than are broadcast, one of them many times in one document: the same bitmaps."""
+    rows = [(i, "\n".join(["hot"] * (400 if i == 3 else 1) + [f"pair {i // 2}", f"own {i}"])) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    for keys in (linededup.BROADCAST_KEYS, 0):
+        monkeypatch.setattr(linededup, "BROADCAST_KEYS", keys)
+        monkeypatch.setattr(skew, "HOT_ROWS", 50)
+        seen.append({r["doc_id"]: r["text"] for r in linededup.dedup_lines(df, min_docs=2, keep_first=False, per_text=per_text).collect()})
+    assert seen[0] == seen[1] == {i: f"own {i}" for i in range(40)}
+
+
 def test_ann_pieces(monkeypatch):
     """Thresholds that run through many pieces of a block lose no more than one, and equal vectors go by id."""
     monkeypatch.setattr(ann, "CHUNK", 500)

@@ -55,7 +55,7 @@ def occurrences(docs: DataFrame, min_chars: int, text: str, doc_id: str) -> Data
 
 
 def key_decisions(lines: DataFrame, partitions: int) -> DataFrame:
-    """Per key: n_docs and its first occurrence (first_id, first_tag, first_pos)."""
+    """Per key: n_docs, n_lines and its first occurrence (first_id, first_tag, first_pos)."""
     salted = lines.withColumn("salt", F.pmod(F.xxhash64("doc_id", "tag"), F.lit(SALTS)))
     # hashes are uniform, so equal ranges of them hold equally many: no sample of the lines is needed to cut them
     share = F.shiftrightunsigned(F.xxhash64("h1", "salt"), 11).cast("double") * F.lit(2.0**-53)
@@ -66,9 +66,9 @@ def key_decisions(lines: DataFrame, partitions: int) -> DataFrame:
     in_doc = Window.partitionBy(*key, "doc_id", "tag")
     first = (F.col("pos") == F.min("pos").over(in_doc)).cast("long")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag", "pos")
-    part = streamed.withColumn("is_first", first).groupBy(*key).agg(F.sum("is_first").alias("n"), F.min(place).alias("first"))
-    whole = part.groupBy("h1", "h2").agg(F.sum("n").alias("n_docs"), F.min("first").alias("first"))
-    return whole.select("h1", "h2", "n_docs", F.col("first.doc_id").alias("first_id"), F.col("first.tag").alias("first_tag"), F.col("first.pos").alias("first_pos"))
+    part = streamed.withColumn("is_first", first).groupBy(*key).agg(F.sum("is_first").alias("n"), F.count("*").alias("lines"), F.min(place).alias("first"))
+    whole = part.groupBy("h1", "h2").agg(F.sum("n").alias("n_docs"), F.sum("lines").alias("n_lines"), F.min("first").alias("first"))
+    return whole.select("h1", "h2", "n_docs", "n_lines", F.col("first.doc_id").alias("first_id"), F.col("first.tag").alias("first_tag"), F.col("first.pos").alias("first_pos"))
 
 
 def drop_bitmaps(docs: DataFrame, min_docs: int = 2, keep_first: bool = True, min_chars: int = 1, per_text: bool = False, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -92,7 +92,7 @@ def drop_bitmaps(docs: DataFrame, min_docs: int = 2, keep_first: bool = True, mi
             return rows.join(F.broadcast(table.drop("n")), key)
         return join_counted(rows, table, key, table.agg(F.sum("n")).first()[0] or 0)
 
-    hit = at_keys(lines, decisions.withColumnRenamed("n_docs", "n"))
+    hit = at_keys(lines, decisions.drop("n_docs").withColumnRenamed("n_lines", "n"))
     if per_text:  # a key is in no more texts than documents, so only the keys found above are counted again
         hit = written(hit, "line-hits")
         in_text = hit.groupBy(*key, "tag").agg(F.count("*").alias("n"))
