@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .wordbpe import forget
+
 #: Hashed n-grams; a fixed size for every corpus.
 BUCKETS = 1 << 16
 ORDERS = (2, 3, 4)
@@ -184,6 +186,7 @@ def language(model: Model, docs: DataFrame, gap: float = 0.02):
 
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        forget()
         for some in texts:
             langs, score, unsure = shared.value.predict(some.tolist(), gap)
             yield pd.DataFrame({"lang_pred": langs, "score": score, "ambiguous": unsure})

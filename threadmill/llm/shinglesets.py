@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import written
+from .wordbpe import forget
 
 BANDS, EACH = 20, 6
 #: Texts of a bucket that are paired as rows; larger buckets go by tiles.
@@ -106,6 +107,7 @@ def links(docs: DataFrame, each: DataFrame, least: float, words_each: int, text:
         wanted = F.broadcast(wanted)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from . import shinglesets
 from .scratch import boxed, unboxed, written
 from .skew import join_counted
+from .wordbpe import forget
 
 #: Fingerprints of a bucket that are joined as rows; larger buckets go by tiles.
 JOIN_MAX = 32
@@ -57,6 +58,7 @@ def fingerprints(docs: DataFrame, words_each: int = 4, text: str = "text", doc_i
     names = ["doc_id", "tag", "fp"] + ["keys"] * with_keys
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             fps, keys = np.empty(batch.num_rows, dtype=np.uint64), []
             for i, t in enumerate(batch.column(2)):

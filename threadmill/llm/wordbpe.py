@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 
 #: Words of each half of a worker's store at most.
 CACHE_WORDS = 700_000
@@ -54,6 +55,12 @@ def encoder(path: str) -> "Encoder":
     return _encoders[path]
 
 
+def forget() -> None:
+    """Give back what a reused worker keeps for encoding; a task of another kind, which may need the memory, begins with this."""
+    _encoders.clear()
+    pa.default_memory_pool().release_unused()
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
