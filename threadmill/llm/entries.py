@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, binary_ids, digest, langid, linededup, mixing, packing, sharding, simhash, toxicity
+from . import ann, binary_ids, conversations, digest, langid, linededup, maxscore, mixing, neardup_vectors, packing, sharding, simhash, toxicity
 from .scratch import new_path
 
 
@@ -97,6 +97,29 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_ids.read_digests(spark, path)
 
 
+def op11_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50).select("item_id", "rank", "doc_id", "score")
+
+
+def op12_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup_vectors.near_groups(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The conversations with faults put in by a checksum of conversation and turn, as :func:`conversations.standard` gives them."""
+    shown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.pmod(F.crc32(F.concat(shown("conv"), F.lit(":"), shown("turn")).cast("binary")), F.lit(20)).cast("int")
+    marked = conversations.standard(rows.select("conv_id", "turn", "role", "text")).withColumn("fault", fault)
+    copies = F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role")
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text")
+    return marked.select("conv", "turn", role, text, (F.col("fault") != 0).alias("here"), copies.alias("copy")).drop("copy")
+
+
+def op13_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(damaged(table(spark, sf_dir, "conversations"))).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -110,6 +133,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash_groups,
         op9_line_dedup,
         op10_packed_ids,
+        op11_pair_maxscore,
+        op12_sorted_projections,
+        op13_auction_repair,
     )
 }
 
@@ -129,4 +155,13 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE b.key IS NULL), '')) AS kept_sha256
         FROM lines l LEFT JOIN bad b ON l.key = b.key
         GROUP BY doc_id""",
+    "op11_pair_maxscore": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+        q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        totals AS (SELECT count(*)::BIGINT AS docs, sum(len(words))::BIGINT AS words FROM d WHERE len(words) > 0),
+        tf AS (SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, len(words)::BIGINT AS n, unnest(words) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+        w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term), totals),
+        impact AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))) AS impact FROM tf JOIN w USING (term), totals),
+        scored AS (SELECT item_id, doc_id, sum(impact)::BIGINT AS score FROM impact JOIN q USING (term) GROUP BY item_id, doc_id)
+        SELECT item_id, rank::INT AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 50""",
 }
