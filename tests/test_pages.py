@@ -160,5 +160,5 @@ def test_harvest(spark, tmp_path):
     assert posts[8, 1]["title"] == "" and posts[8, 1]["content"] == "中"
     assert {r["tid"]: r["post_count"] for r in found.threads.collect()} == {7: 2, 8: 1}
     assert found.rejects.count() == 1 and found.listings.count() == 2
-    same = harvest.update_archive(found, found, last_crawl="t2")
+    same = harvest.update_archive(found, found, "http://f", last_crawl="t2")
     assert same.posts.count() == 3 and {r["last_crawl"] for r in same.threads.collect()} == {"t1"}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,9 @@ from .vocab import SEASONS, Vocab
 
 YEAR = r"(?:19|20)\p{Nd}{2}"
 SHORT = rf"(\p{{Nd}}{{2}})[{SPACE}]*([{SEASONS}])"
-_WIDE = "０１２３４５６７８９"
+#: Every decimal digit beyond ASCII, by Unicode's rule, and its value.
+_DIGITS = [c for c in map(chr, range(0x80, 0x110000)) if c.isdecimal()]
+_VALUES = "".join(str(unicodedata.digit(c)) for c in _DIGITS)
 
 
 def _words(words: Sequence[str]) -> Column:
@@ -40,8 +43,8 @@ def scan_text(title: Column, content: Column) -> Column:
 
 def year(title: Column, scan: Column) -> Column:
     """A four-digit year, or one from two digits before a season in the title."""
-    at_start = F.translate(_found(title, rf"\A{SHORT}", 1), _WIDE, "0123456789").cast("int")
-    anywhere = F.translate(_found(title, SHORT, 1), _WIDE, "0123456789").cast("int")
+    plain = lambda found: F.translate(found, "".join(_DIGITS), _VALUES).try_cast("int")
+    at_start, anywhere = plain(_found(title, rf"\A{SHORT}", 1)), plain(_found(title, SHORT, 1))
     short = F.coalesce(
         F.when(at_start < 50, at_start + 2000).otherwise(at_start + 1900),
         F.when(anywhere <= 50, anywhere + 2000).otherwise(anywhere + 1900),

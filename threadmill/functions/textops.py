@@ -51,7 +51,10 @@ def strip_tags(html: Column) -> Column:
 
 @F.pandas_udf(StringType())
 def _numeric_entities(texts: pd.Series) -> pd.Series:
-    def char(code: int) -> str:
+    def char(digits: str, base: int) -> str:
+        digits = digits.lstrip("0") or "0"
+        # beyond the last code point, however many digits there are
+        code = int(digits, base) if len(digits) <= 8 else 0x110000
         if code >= 0x110000:
             return ""
         return "?" if 0xD800 <= code <= 0xDFFF else chr(code)
@@ -59,8 +62,8 @@ def _numeric_entities(texts: pd.Series) -> pd.Series:
     def one(text: str | None) -> str | None:
         if text is None or "&#" not in text:
             return text
-        text = re.sub(r"&#(\d+);", lambda m: char(int(m[1])), text)
-        return re.sub(r"&#x([0-9a-fA-F]+);", lambda m: char(int(m[1], 16)), text)
+        text = re.sub(r"&#(\d+);", lambda m: char(m[1], 10), text)
+        return re.sub(r"&#x([0-9a-fA-F]+);", lambda m: char(m[1], 16), text)
 
     return texts.map(one)
 

@@ -23,7 +23,7 @@ def document_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("tid"),
         F.regexp_extract("source", r"(\d+)", 1).cast("int").alias("fid"),
         F.col("source").alias("board"),
-        F.substring("text", 1, 40).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.col("lang").alias("author"),
         F.lit(1).alias("floor"),
         F.lit(1).alias("page"),
@@ -135,3 +135,19 @@ def board_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boards of the documents' sources; numbers that divide by three are unknown."""
     rows = document_posts(spark, sf_dir).select("fid", "board").distinct()
     return rows.filter("fid % 3 <> 0").withColumn("category", F.concat(F.lit("c·"), "board"))
+
+
+def conversation_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations' boards with a category; numbers that divide by three have none."""
+    fids = table(spark, sf_dir, "conversations").select(F.pmod("conv_id", F.lit(7)).cast("int").alias("fid")).distinct()
+    return fids.filter("fid % 3 <> 0").withColumn("category", F.format_string("c·b%d", "fid"))
+
+
+def forged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of :func:`rendered_archive`, to whose text links, page numbers and years were added that fit no column."""
+    far = "9" * 30
+    forged = (
+        f'<a href="forum.php?mod=forumdisplay&fid={far}">Far</a><li><a href="?tid-{far}.html">Far</a></li>'
+        f'<a href="?fid-1.html&page={far}">n</a><a href="?tid-1.html&page=2000000000">n</a>'
+    )
+    return rendered_archive(spark, sf_dir).withColumn("html", F.concat(F.lit(forged), "html"))

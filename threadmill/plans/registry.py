@@ -15,8 +15,9 @@ from ..functions import chunking, tagging, textops
 from ..functions.textops import BREAKS, ENTITIES, SPACE
 from ..functions.vocab import LATIN, NO_CATEGORY
 from ..operators import archive, harvest, quality, retrieval, sampling
+from ..operators.store import Store
 from ..sources import io, pages
-from ..streaming import incremental, streams
+from ..streaming import incremental, stateful, streams
 from . import fixtures
 from .fixtures import PAGE_SIZE, THREADS, table
 
@@ -25,6 +26,17 @@ QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def _scratch(spark, name: str) -> str:
+    """A new path in the shared folder that ``spark.checkpoint.dir`` names; only a local session may leave it unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="threadmill-checkpoints-")
+        spark.sparkContext.setCheckpointDir(root)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def register(sql: str | None = None) -> Callable[[Query], Query]:
     def add(query: Query) -> Query:
         QUERIES[query.__name__] = query
@@ -76,7 +88,7 @@ def _in(text: str, words: Sequence[str]) -> str:
 
 
 POSTS = """(SELECT doc_id AS tid, CAST(regexp_extract(source, '(\\d+)', 1) AS INT) AS fid, source AS board, text AS content,
-    substr(text, 1, 40) AS title, lang AS author FROM documents)"""
+    split_part(text, chr(10), 1) AS title, lang AS author FROM documents)"""
 CONV = f"""(SELECT conv_id AS tid, conv_id % 7 AS fid, 'b' || (conv_id % 7) AS board, 'thread ' || conv_id AS title, role AS author, turn + 1 AS floor,
     turn // {PAGE_SIZE} + 1 AS page, turn % {PAGE_SIZE} + 1 AS position, '2026-4-3 10:' || (turn + 10) || ':36' AS post_time, text AS content FROM conversations)"""
 LISTED = f"""(SELECT user_id AS fid, event_id % 3 + 1 AS page, event_id AS pos, event_id % {THREADS} AS tid,
@@ -271,7 +283,7 @@ def chunk_prefix(spark, sf_dir):
 
 # the documents hold no season words: a title and a content with some are put before them
 SEASONED = """(SELECT doc_id AS tid, CASE doc_id % 5 WHEN 0 THEN (2000 + doc_id % 30) || '年 ' WHEN 1 THEN lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') || '春 '
-    WHEN 2 THEN 'x' || lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') || ' 秋 ' WHEN 3 THEN '暑 寒 ' ELSE '' END || substr(text, 1, 20) AS title,
+    WHEN 2 THEN 'x' || lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') || ' 秋 ' WHEN 3 THEN '暑 寒 ' WHEN 4 THEN repeat('x', CAST(20 + doc_id % 15 AS INT)) || '春 ' ELSE '' END || split_part(text, chr(10), 1) AS title,
     CASE WHEN doc_id % 3 = 0 THEN '1998 ' ELSE '' END || text AS content FROM documents)"""
 _SHORT = f"(\\p{{Nd}}{{2}})[{SPACE}]*([春秋暑寒])"
 _YY = "CAST(nullif(regexp_extract(title, '{0}', 1), '') AS INT)"
@@ -291,10 +303,11 @@ def _seasoned(spark, sf_dir):
         .when(kind == 1, F.concat(two, F.lit("春 ")))
         .when(kind == 2, F.concat(F.lit("x"), two, F.lit(" 秋 ")))
         .when(kind == 3, F.lit("暑 寒 "))
+        .when(kind == 4, F.concat(F.repeat(F.lit("x"), (20 + F.pmod("doc_id", F.lit(15))).cast("int")), F.lit("春 ")))
         .otherwise(F.lit(""))
     )
     content = F.concat(F.when(F.pmod("doc_id", F.lit(3)) == 0, F.lit("1998 ")).otherwise(F.lit("")), "text")
-    return d.select(F.col("doc_id").alias("tid"), F.concat(start, F.substring("text", 1, 20)).alias("title"), content.alias("content"))
+    return d.select(F.col("doc_id").alias("tid"), F.concat(start, F.substring_index("text", "\n", 1)).alias("title"), content.alias("content"))
 
 
 @register(f"SELECT tid, {_YEAR} AS year, {_SEASON} AS season FROM {SEASONED}")
@@ -537,8 +550,9 @@ def post_records(spark, sf_dir):
 
 # --- the whole archive ------------------------------------------------------------
 
-# what the pages hold: contents as parsing tidies them, boards without a category
-_PARSED = f"(SELECT * REPLACE ({_tidy('content')} AS content), '{NO_CATEGORY}' AS category, tid * 100 + floor AS post FROM {CONV})"
+# what the pages hold: contents as parsing tidies them, boards with their categories
+_CATEGORY = f"CASE WHEN fid % 3 <> 0 THEN 'c·b' || fid ELSE '{NO_CATEGORY}' END AS category"
+_PARSED = f"(SELECT * REPLACE ({_tidy('content')} AS content), {_CATEGORY}, tid * 100 + floor AS post FROM {CONV})"
 _PARSED_TAGS = _tag_text(_PARSED, "post", "|")
 _TAGGED_POSTS = f"(SELECT p.*, {_URL}, coalesce(tags, '') AS tags FROM {_PARSED} p LEFT JOIN {_PARSED_TAGS} USING (post))"
 
@@ -553,18 +567,20 @@ _ENTRIES = f"""SELECT field, token, count(*) AS posts, sum(tf)::BIGINT AS tf FRO
     {" UNION ALL ".join(f"SELECT tid, floor, '{f}' AS field, unnest(regexp_extract_all(lower({f}), '[\\p{{L}}\\p{{N}}]+')) AS token FROM {_PARSED}" for f in ("title", "author", "content"))}) GROUP BY ALL) GROUP BY field, token"""
 
 
-def _landed(spark, sf_dir, some=None, last_crawl="t2"):
-    """The archive of the rendered pages, or of some of them."""
+def _landed(spark, sf_dir, some=None, last_crawl="t2", root=None):
+    """The archive of the rendered pages, or of some of them; written under ``root`` if one is given."""
     landed = fixtures.rendered_archive(spark, sf_dir)
     landed = landed if some is None else landed.filter(some)
-    return harvest.archive_pages(landed, fixtures.BASE, fixtures.board_names(spark, sf_dir).limit(0), LATIN, PAGE_SIZE, last_crawl)
+    return harvest.archive_pages(landed, fixtures.BASE, fixtures.conversation_categories(spark, sf_dir), LATIN, PAGE_SIZE, last_crawl, root=root)
 
 
 def _updated(spark, sf_dir):
     """An archive of the first page of the threads below number 50, and its next version after all pages landed."""
     number, page = F.regexp_extract("url", r"tid-(\d+)", 1).try_cast("long"), F.regexp_extract("url", r"page=(\d+)", 1).try_cast("int")
-    old, landed = _landed(spark, sf_dir, number.isNull() | ((number < 50) & (page == 1)), "t1"), _landed(spark, sf_dir)
-    return old, landed, harvest.update_archive(old, landed, LATIN, PAGE_SIZE, "t2")
+    root = _scratch(spark, "archives")
+    old = _landed(spark, sf_dir, number.isNull() | ((number < 50) & (page == 1)), "t1", f"{root}/old")
+    landed = _landed(spark, sf_dir, root=f"{root}/landed")
+    return old, landed, harvest.update_archive(old, landed, fixtures.BASE, LATIN, PAGE_SIZE, "t2")
 
 
 def _index_entries(index):
@@ -599,7 +615,7 @@ def archive_index(spark, sf_dir):
     return _index_entries(_landed(spark, sf_dir).index)
 
 
-@register(f"SELECT DISTINCT fid, board, '{NO_CATEGORY}' AS category FROM {CONV}")
+@register(f"SELECT DISTINCT fid, board, {_CATEGORY} FROM {CONV}")
 def archive_boards(spark, sf_dir):
     return _landed(spark, sf_dir).boards.select("fid", "board", "category")
 
@@ -626,10 +642,107 @@ def update_twice(spark, sf_dir):
     old, landed, new = _updated(spark, sf_dir)
     new = harvest.saved(new, _scratch(spark, "versions"), 2)
     added = incremental.unseen_floors(new.posts, old.posts).agg(F.count("*").alias("added"))
-    again = harvest.update_archive(new, landed, LATIN, PAGE_SIZE, "t3")
+    again = harvest.update_archive(new, landed, fixtures.BASE, LATIN, PAGE_SIZE, "t3")
     return added.crossJoin(incremental.unseen_floors(again.posts, new.posts).agg(F.count("*").alias("added_again")))
 
 
+# an update of which little lands: the second pages of the archived threads, one new thread with its listing, no front page
+_NEW_THREAD = "(SELECT min(conv_id) FROM conversations WHERE conv_id >= 50 AND conv_id % 7 = 3)"
+_SEEN_LATER = f"(tid < 50 AND page <= 2 OR tid = {_NEW_THREAD})"
+
+
+def _partly_updated(spark, sf_dir):
+    """An archive of first pages, and its version after few pages landed; both written."""
+    root = _scratch(spark, "partial")
+    number, page = F.regexp_extract("url", r"tid-(\d+)", 1).try_cast("long"), F.regexp_extract("url", r"page=(\d+)", 1).try_cast("int")
+    fresh = table(spark, sf_dir, "conversations").filter("conv_id >= 50 and conv_id % 7 = 3").agg(F.min("conv_id").alias("fresh"))
+    old = _landed(spark, sf_dir, (number.isNull() & ~F.col("url").rlike(r"fid-3\.html&page=[^1]")) | ((number < 50) & (page == 1)), "t1", f"{root}/old")
+    pages_ = fixtures.rendered_archive(spark, sf_dir).crossJoin(F.broadcast(fresh))
+    listing = F.concat(F.lit(f"{fixtures.BASE}/archiver/?fid-3.html&page=1"))
+    own = F.format_string('<li><a href="?tid-%d.html">thread %d</a></li>', "fresh", "fresh")
+    landed = pages_.filter(((number < 50) & (page == 2)) | (number == F.col("fresh")) | (F.col("url") == listing))
+    landed = landed.withColumn("html", F.when(F.col("url") == listing, F.concat(own, "html")).otherwise(F.col("html"))).drop("fresh")
+    found = harvest.archive_pages(landed, fixtures.BASE, fixtures.conversation_categories(spark, sf_dir), LATIN, PAGE_SIZE, "t2", root=f"{root}/landed")
+    return harvest.update_archive(old, found, fixtures.BASE, LATIN, PAGE_SIZE, "t2")
+
+
+@register(f"SELECT {_POST_COLUMNS} FROM {_TAGGED_POSTS} WHERE {_SEEN_LATER}")
+def archive_update_partial(spark, sf_dir):
+    """Added posts have the board, category, title and tags of their threads, although no page with these landed again."""
+    return _flat(_partly_updated(spark, sf_dir).posts, _POST_COLUMNS)
+
+
+@register(f"SELECT * FROM ({_rolled(f'max(CASE WHEN page = 2 OR tid = {_NEW_THREAD} THEN chr(116) || 2 ELSE chr(116) || 1 END)').replace(_TAGGED_POSTS, f'(SELECT * FROM {_TAGGED_POSTS} WHERE {_SEEN_LATER})')})")
+def archive_update_partial_threads(spark, sf_dir):
+    return _flat(_partly_updated(spark, sf_dir).threads, _THREAD_COLUMNS)
+
+
+@register(
+    f"""SELECT 'board ' || fid AS kept, board AS value FROM (SELECT DISTINCT fid, board FROM {CONV}) UNION ALL
+    SELECT 'counts ' || tid || ' ' || page, CAST(count(*) AS VARCHAR) FROM {CONV} WHERE {_SEEN_LATER} GROUP BY tid, page UNION ALL
+    SELECT 'listing ' || fid || ' ' || (tid // 70 + 1) || ' ' || tid, max(title) FROM {CONV} GROUP BY fid, tid HAVING fid <> 3 OR tid < 70 UNION ALL
+    SELECT 'listing 3 1 ' || tid, max(title) FROM {CONV} WHERE tid = {_NEW_THREAD} AND tid >= 70 GROUP BY tid"""
+)
+def archive_update_partial_state(spark, sf_dir):
+    """Boards, listings and page counts that did not land again are still there."""
+    new = _partly_updated(spark, sf_dir)
+    rows = [
+        new.boards.select(F.format_string("board %d", "fid").alias("kept"), F.col("board").alias("value")),
+        new.page_counts.select(F.format_string("counts %d %d", "tid", "page").alias("kept"), F.col("posts_on_page").cast("string").alias("value")),
+        new.listings.select(F.format_string("listing %d %d %d", "fid", "page", "tid").alias("kept"), F.col("title").alias("value")).distinct(),
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@register(f"SELECT {_POST_COLUMNS} FROM {_TAGGED_POSTS}")
+def forged_pages_posts(spark, sf_dir):
+    """Pages with numbers that fit no column give the posts of the others."""
+    found = harvest.archive_pages(fixtures.forged_pages(spark, sf_dir), fixtures.BASE, fixtures.conversation_categories(spark, sf_dir), LATIN, PAGE_SIZE, "t2")
+    return _flat(found.posts, _POST_COLUMNS)
+
+
+@register(
+    f"""WITH p AS (SELECT DISTINCT tid, page FROM {CONV} UNION ALL SELECT DISTINCT -1 - fid, tid // 70 + 1 FROM {CONV} UNION ALL SELECT -100, 1 UNION ALL SELECT -101, 1)
+    SELECT k AS kind, count(*) AS pages FROM p, (VALUES ('board number'), ('thread number'), ('page number')) AS kinds(k) GROUP BY k"""
+)
+def forged_pages_rejects(spark, sf_dir):
+    """What was wrong with the forged pages (those of threads and boards, the front page, and the notice, which they push out of sight), by kind, in the archive's rejects."""
+    forged = fixtures.forged_pages(spark, sf_dir)
+    rejects = harvest.archive_pages(forged, fixtures.BASE, fixtures.conversation_categories(spark, sf_dir), LATIN, PAGE_SIZE, "t2").rejects
+    return rejects.groupBy(F.trim(F.regexp_replace("reason", "[0-9]+", "")).alias("kind")).agg(F.count("*").alias("pages"))
+
+
+@register(f"SELECT tid, page FROM (SELECT DISTINCT tid, unnest(range(1, tid % 2500 + 1)) AS page FROM {CONV} WHERE tid % 5 <> 0) WHERE page > 3")
+def frontier_blocks(spark, sf_dir):
+    """Long ranges of pages in blocks; things with a forged page number are left out."""
+    things = fixtures.conversation_posts(spark, sf_dir).select("tid").distinct().withColumn("last", F.when(F.pmod("tid", F.lit(5)) == 0, F.lit(2_000_000_000)).otherwise(F.pmod("tid", F.lit(2500))).cast("int"))
+    landed = things.select("tid", F.explode(F.array(*[F.lit(i) for i in (1, 2, 3)])).alias("page"))
+    return pages.frontier(things, "tid", "last", landed)
+
+
+def _stored_update(spark, sf_dir):
+    """An archive of first pages in bucketed tables, updated twice by all pages."""
+    root = _scratch(spark, "store")
+    number, page = F.regexp_extract("url", r"tid-(\d+)", 1).try_cast("long"), F.regexp_extract("url", r"page=(\d+)", 1).try_cast("int")
+    old = _landed(spark, sf_dir, number.isNull() | ((number < 50) & (page == 1)), "t1", f"{root}/old")
+    landed = _landed(spark, sf_dir, root=f"{root}/landed")
+    store = Store(spark, f"archive_{uuid.uuid4().hex}", f"{root}/tables", 8).create(old.posts, old.threads)
+    store.update(landed.posts, "t2", LATIN)
+    store.update(landed.posts, "t3", LATIN)
+    return store
+
+
+@register(f"SELECT {_POST_COLUMNS} FROM {_TAGGED_POSTS}")
+def store_update_posts(spark, sf_dir):
+    return _flat(_stored_update(spark, sf_dir).posts(), _POST_COLUMNS)
+
+
+@register(_rolled(f"CASE WHEN tid < 50 AND count(*) <= {PAGE_SIZE} THEN 't1' ELSE 't2' END"))
+def store_update_threads(spark, sf_dir):
+    """Only the boards whose threads changed are written again; the second update changes none."""
+    return _flat(_stored_update(spark, sf_dir).threads(), _THREAD_COLUMNS)
+
+
 # --- samples --------------------------------------------------------------------
 
 
@@ -909,17 +1022,6 @@ def post_times(spark, sf_dir):
 # --- streams --------------------------------------------------------------------
 
 
-def _scratch(spark, name: str) -> str:
-    """A new path in the shared folder that ``spark.checkpoint.dir`` names; only a local session may leave it unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="threadmill-checkpoints-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _landing(spark, sf_dir):
     """The conversations as a stream of posts."""
     source = f"{sf_dir}/conversations.parquet"
@@ -966,3 +1068,45 @@ def streamed_pages(spark, sf_dir):
     parse = partial(streams.parse_pages, vocab=LATIN, page_size=PAGE_SIZE)
     streams.archive_stream(landed, f"{root}/archive", f"{root}/checkpoint", prepare=parse).awaitTermination()
     return spark.read.parquet(f"{root}/archive").select("tid", "floor", "page", "position", "author", "content")
+
+
+@register(f"SELECT tid, floor, fid, author, content FROM {CONV}")
+def streamed_stateful(spark, sf_dir):
+    """Posts that land in many files, a third of them again in later ones; the stream ends, goes on from its checkpoint, and reads no archive."""
+    root = _scratch(spark, "stateful")
+    posts = fixtures.conversation_posts(spark, sf_dir).select("tid", "floor", "fid", "author", "content")
+    for run in (0, 1):
+        mine = posts.filter(F.pmod(F.xxhash64("tid", "floor"), F.lit(3)) != run)
+        mine.repartition(3).write.mode("append").parquet(f"{root}/landed")
+        landed = spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+        stateful.archive_unseen(spark, landed, f"{root}/archive", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(posts.schema).parquet(f"{root}/archive").select(*posts.columns)
+
+
+# events in batches of six days; every tenth comes again in the next batch, every tenth plus one only there
+_BATCHES = """(SELECT event_id, ts, event_type, slice, slice + CASE WHEN event_id % 10 = 1 THEN 1 ELSE 0 END AS batch FROM (
+    SELECT *, (epoch_ms(ts) - (SELECT min(epoch_ms(ts)) FROM events)) // (6 * 86400000) AS slice FROM events))"""
+
+
+@register(
+    f"""WITH b AS {_BATCHES}, newest AS (SELECT batch, max(epoch_ms(ts)) AS top FROM (SELECT batch, ts FROM b UNION ALL SELECT slice + 1, ts FROM b WHERE event_id % 10 = 0) GROUP BY batch),
+    -- what is late goes by the batch before the last one, but after a run's end by the last one
+    mark AS (SELECT batch, (SELECT max(top) FROM newest o WHERE o.batch < n.batch - CASE WHEN n.batch = (SELECT max(batch) FROM newest) // 2 + 1 THEN 0 ELSE 1 END) - 86400000 AS ms FROM newest n)
+    SELECT event_id, event_type FROM b JOIN mark USING (batch) WHERE ms IS NULL OR epoch_ms(ts) > ms"""
+)
+def streamed_recent(spark, sf_dir):
+    """A stream by event time in several batches and two runs, with repeats and late events; a day's delay bounds its state."""
+    root = _scratch(spark, "recent")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    first = F.broadcast(events.agg(F.min(F.unix_millis("ts")).alias("first")))  # one row
+    sliced = events.crossJoin(first).withColumn("slice", F.floor((F.unix_millis("ts") - F.col("first")) / (6 * 86400000)).cast("int")).drop("first")
+    late = F.when(F.pmod("event_id", F.lit(10)) == 1, F.col("slice") + 1).otherwise(F.col("slice"))
+    again = sliced.filter("event_id % 10 = 0").withColumn("batch", F.col("slice") + 1)
+    dealt = sliced.withColumn("batch", late).unionByName(again)
+    last = dealt.agg(F.max("batch")).first()[0]
+    for batch in range(last + 1):
+        dealt.filter(F.col("batch") == batch).select(*events.columns).coalesce(1).write.mode("append").parquet(f"{root}/landed")
+        if batch in (last // 2, last):
+            landed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landed")
+            stateful.archive_recent(landed, f"{root}/archive", f"{root}/checkpoint", "1 day", "ts", ("event_id",), ("event_type",)).awaitTermination()
+    return spark.read.schema(events.schema).parquet(f"{root}/archive").select("event_id", "event_type")

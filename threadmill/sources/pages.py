@@ -20,6 +20,12 @@ THREAD_PAGE = r'href="\?tid-\d+\.html&page=(\d+)"'
 AUTHOR_BLOCK = r'(?i)<\w+\s+class="author">'
 #: More parts than a page can have.
 REST = 1 << 30
+#: Pages that a board or thread is believed to have at most.
+MOST_PAGES = 1_000_000
+#: Pages of a block of the frontier.
+PAGES_EACH = 1000
+#: Keys of repeated pages that go to every task.
+REPEATED_KEYS = 100_000
 AUTHOR = r"(?s)<strong>(.*?)</strong>"
 POSTED = rf"{TIME_MARK}[{SPACE}]*([^<]+)"
 HEADING = r"(?is)<h3>.*?</h3>"
@@ -63,9 +69,9 @@ def _links(pages: DataFrame, html: str, pattern: str) -> DataFrame:
 
 
 def discover_boards(pages: DataFrame, html: str = "html", order: str = "url") -> DataFrame:
-    """fid, board of every board linked with a text, first link per fid."""
+    """fid, board of every board linked with a text, first link per fid; numbers beyond an int are left to :func:`unfit_numbers`."""
     found = _links(pages.select(order, html), html, BOARD_LINK)
-    named = found.select(order, "pos", F.regexp_extract("link", BOARD_LINK, 1).cast("int").alias("fid"), clean_title(F.regexp_extract("link", BOARD_LINK, 2), "").alias("board")).filter("board <> ''")
+    named = found.select(order, "pos", F.regexp_extract("link", BOARD_LINK, 1).try_cast("int").alias("fid"), clean_title(F.regexp_extract("link", BOARD_LINK, 2), "").alias("board")).filter("fid is not null and board <> ''")
     # the first of each fid, combined before it is shuffled
     return named.groupBy("fid").agg(F.min_by("board", F.struct(order, "pos")).alias("board")).orderBy("fid")
 
@@ -83,11 +89,11 @@ def with_category(df: DataFrame, boards: DataFrame, fid: str = "fid") -> DataFra
 
 
 def thread_listings(pages: DataFrame, html: str = "html") -> DataFrame:
-    """``pages``' other columns with pos, tid and title of each listed thread."""
+    """``pages``' other columns with pos, tid and title of each listed thread; numbers beyond a long are left to :func:`unfit_numbers`."""
     keep = [c for c in pages.columns if c not in (html, "tid", "title", "pos")]
     found = _links(pages, html, THREAD_LINK)
-    rows = found.select(*keep, "pos", F.regexp_extract("link", THREAD_LINK, 1).cast("long").alias("tid"), clean_title(F.regexp_extract("link", THREAD_LINK, 2)).alias("title"))
-    return rows.filter("title <> ''")
+    rows = found.select(*keep, "pos", F.regexp_extract("link", THREAD_LINK, 1).try_cast("long").alias("tid"), clean_title(F.regexp_extract("link", THREAD_LINK, 2)).alias("title"))
+    return rows.filter("tid is not null and title <> ''")
 
 
 def max_page(html: Column, pattern: str) -> Column:
@@ -96,30 +102,84 @@ def max_page(html: Column, pattern: str) -> Column:
     return F.coalesce(F.array_max(numbers), F.lit(1))
 
 
-def frontier(things: DataFrame, key: str, last: str, landed: DataFrame) -> DataFrame:
-    """(key, page) from 1 to ``last`` of each thing that is not among ``landed``."""
-    pages = things.select(key, F.explode(F.sequence(F.lit(1), F.col(last))).alias("page"))
+def frontier(things: DataFrame, key: str, last: str, landed: DataFrame, most: int = MOST_PAGES) -> DataFrame:
+    """(key, page) from 1 to ``last`` of each thing that is not among ``landed``.
+
+    Page numbers come from pages and may be anything: a thing with more than ``most``
+    pages is left out (:func:`beyond_frontier` names it), and ranges are dealt in blocks.
+    """
+    blocks = things.filter(F.col(last).between(1, most)).select(key, F.col(last).alias("__last"), F.explode(F.sequence(F.lit(0), F.floor((F.col(last) - 1) / PAGES_EACH).cast("int"))).alias("__block"))
+    first = F.col("__block") * PAGES_EACH + 1
+    pages = blocks.select(key, F.explode(F.sequence(first, F.least("__last", first + (PAGES_EACH - 1)))).alias("page"))
     return pages.join(landed.select(key, "page").distinct(), [key, "page"], "left_anti")
 
 
+def beyond_frontier(things: DataFrame, key: str, last: str, most: int = MOST_PAGES) -> DataFrame:
+    """Rejects (url, reason, ts): things whose page number :func:`frontier` does not take at its word."""
+    far = things.filter(F.col(last) > most)
+    return far.select(F.concat(F.lit(f"{key}-"), F.col(key).cast("string")).alias("url"), F.concat(F.lit("page number "), F.col(last).cast("string")).alias("reason"), F.current_timestamp().alias("ts"))
+
+
+def _numbers() -> tuple[tuple[str, str, str], ...]:
+    """Where pages hold numbers, the type that each must fit, and what it is called."""
+    user = r"home\.php\?mod=space(?:&amp;|&)uid=(\d+)"
+    return (
+        (BOARD_LINK, "int", "board number"), (THREAD_LINK, "bigint", "thread number"), (BOARD_PAGE, "int", "page number"), (THREAD_PAGE, "int", "page number"),
+        (POST_OPENER, "bigint", "post number"), (RATE_ROW, "bigint", "user number"), (user, "bigint", "user number"), (COINS, "int", "coins"), (RATERS, "int", "raters"),
+    )
+
+
+def unfit_numbers(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Rejects (url, reason, ts) for numbers that fit no column; the rest of such a page is parsed. One row per page and kind."""
+    def unfit(pattern: str, kind: str, name: str) -> Column:
+        numbers = F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1))
+        return F.transform(F.filter(numbers, lambda n: n.try_cast(kind).isNull()), lambda n: F.concat(F.lit(f"{name} "), F.substring(n, 1, 40)))
+
+    found = [unfit(*each) for each in _numbers()]
+    # only a run of ten digits can be too large for any of them
+    some = pages.filter(F.rlike(html, F.lit(r"[0-9]{10}"))).select("url", F.explode(F.array_distinct(F.flatten(F.array(*found)))).alias("reason"))
+    return some.select("url", "reason", F.current_timestamp().alias("ts"))
+
+
 def is_error_page(html: Column) -> Column:
     """A notice near the start and no author block."""
     return F.contains(F.substring(html, 1, 200), F.lit(NOTICE)) & ~F.contains(html, F.lit('class="author"'))
 
 
-def newest_pages(pages: DataFrame, keys: list[str]) -> DataFrame:
-    """Each page once, as it was fetched last; of versions fetched together the longest, then the one with the largest hash."""
+def with_version(pages: DataFrame) -> DataFrame:
+    """``pages`` with what tells versions of a page apart, so that these columns can be read without the text."""
     fetched = F.col("fetched_at") if "fetched_at" in pages.columns else F.lit(0)
-    order = F.struct(fetched, F.length("html"), F.xxhash64("html"))
-    return pages.groupBy(*keys).agg(F.max_by(F.struct(*pages.columns), order).alias("__page")).select("__page.*")
+    return pages.withColumn("version", F.struct(fetched.alias("fetched"), F.length("html").alias("size"), F.xxhash64("html").alias("mark")))
+
+
+def newest_pages(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """Each page once, as it was fetched last; of versions fetched together the longest, then the one with the largest hash.
+
+    Versions are counted by keys alone. Where none repeats, the pages stay where they
+    are; otherwise only pages with a repeated key are shuffled.
+    """
+    versioned = pages if "version" in pages.columns else with_version(pages)
+    repeated = versioned.select(*keys, "version").groupBy(*keys).agg(F.count("*").alias("__n")).filter("__n > 1").drop("__n")
+    n = repeated.count()
+    if n == 0:
+        return pages
+    if n <= REPEATED_KEYS:
+        repeated = F.broadcast(repeated)
+    single = versioned.join(repeated, keys, "left_anti").select(*pages.columns)
+    newest = versioned.join(repeated, keys, "left_semi").groupBy(*keys).agg(F.max_by(F.struct(*pages.columns), "version").alias("__page"))
+    return single.unionByName(newest.select("__page.*"))
+
+
+def with_reason(pages: DataFrame, html: str = "html") -> DataFrame:
+    """``pages`` with the reason why one is not parsed, null for good ones."""
+    return pages.withColumn("reason", F.when(F.col(html).isNull(), "no body").when(is_error_page(F.col(html)), "notice page"))
 
 
 def split_errors(pages: DataFrame, html: str = "html") -> tuple[DataFrame, DataFrame]:
     """Good pages, and rejects (url, reason, ts)."""
-    bad = F.coalesce(is_error_page(F.col(html)), F.lit(True))
-    reason = F.when(F.col(html).isNull(), "no body").otherwise("notice page")
-    rejects = pages.filter(bad).select("url", reason.alias("reason"), F.current_timestamp().alias("ts"))
-    return pages.filter(~bad), rejects
+    judged = with_reason(pages, html)
+    rejects = judged.filter("reason is not null").select("url", "reason", F.current_timestamp().alias("ts"))
+    return judged.filter("reason is null").drop("reason"), rejects
 
 
 def _matched(text: Column, pattern: str, default: str = "") -> Column:
@@ -166,6 +226,11 @@ def number_of(block: Column, pattern: str) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(block, pattern, 1), F.lit("")).try_cast("int"), F.lit(0))
 
 
+def _fit(digits: Column, kind: str) -> Column:
+    """A number, 0 where it does not fit."""
+    return F.coalesce(digits.try_cast(kind), F.lit(0).cast(kind))
+
+
 # Where the interaction data of a post stand.
 RATERS = r'参与人数[^<]*<span[^>]*class="[^"]*xi1[^"]*"[^>]*>(\d+)'
 COINS = r'金币[^<]*<i><span[^>]*class="[^"]*xi1[^"]*"[^>]*>\s*\+?(\d+)'
@@ -197,9 +262,9 @@ def thread_meta(pages: DataFrame, html: str = "html") -> DataFrame:
     rated = F.transform(
         rows,
         lambda r: F.struct(
-            F.regexp_extract(r, RATE_ROW, 1).cast("long").alias("uid"),
+            _fit(F.regexp_extract(r, RATE_ROW, 1), "long").alias("uid"),
             strip(F.regexp_extract(r, RATE_ROW, 2)).alias("username"),
-            F.regexp_extract(r, RATE_ROW, 3).cast("int").alias("coins"),
+            _fit(F.regexp_extract(r, RATE_ROW, 3), "int").alias("coins"),
             strip(F.regexp_extract(r, RATE_ROW, 4)).alias("reason"),
         ),
     )
@@ -208,7 +273,7 @@ def thread_meta(pages: DataFrame, html: str = "html") -> DataFrame:
     comments = F.transform(
         F.regexp_extract_all(said, F.lit(COMMENT_USER), F.lit(0)),
         lambda c, i: F.struct(
-            F.regexp_extract(c, COMMENT_USER, 1).cast("long").alias("uid"),
+            _fit(F.regexp_extract(c, COMMENT_USER, 1), "long").alias("uid"),
             strip(F.regexp_extract(c, COMMENT_USER, 2)).alias("username"),
             strip(F.coalesce(F.get(texts, i), F.lit(""))).alias("content"),
         ),
@@ -223,4 +288,6 @@ def thread_meta(pages: DataFrame, html: str = "html") -> DataFrame:
         F.size(comments).alias("comment_count"),
         comments.alias("comments"),
     )
-    return blocks.select(*keep, "at", F.col("__pair.pid").cast("long").alias("pid"), meta.alias("meta"))
+    # a number beyond a long still tells posts apart
+    pid = F.coalesce(F.col("__pair.pid").try_cast("long"), F.xxhash64("__pair.pid"))
+    return blocks.select(*keep, "at", pid.alias("pid"), meta.alias("meta"))

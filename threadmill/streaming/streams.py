@@ -25,16 +25,16 @@ def parse_pages(pages: DataFrame, vocab: Vocab = Vocab(), page_size: int = PAGE_
     return post_records(posts.withColumn("floor", floor_of(F.col("page"), F.col("position"), page_size)), vocab)
 
 
-def first_seen(posts: DataFrame, delay: str | None = None, ts: str = "post_ts") -> DataFrame:
-    """Each (tid, floor) once.
+def first_seen(posts: DataFrame, delay: str | None = None, ts: str = "post_ts", keys: tuple[str, ...] = ("tid", "floor")) -> DataFrame:
+    """Each of ``keys`` once.
 
     With ``delay`` the state holds only keys within the watermark on ``ts``; later
     repeats may pass again and must be caught by the sink. Without it the state
     grows with the number of posts.
     """
     if delay is None:
-        return posts.dropDuplicates(["tid", "floor"])
-    return posts.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["tid", "floor"])
+        return posts.dropDuplicates(list(keys))
+    return posts.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def with_event_time(posts: DataFrame) -> DataFrame:
