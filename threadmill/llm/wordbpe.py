@@ -9,6 +9,8 @@ older one is forgotten, and words found there in the meantime have moved on.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import os
 from collections.abc import Iterator
@@ -18,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Words of each half of a worker's store at most.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 200_000
 #: New words sent to the library in one call.
 CALL_WORDS = 20_000
 #: Bytes of text looked through for new words at a time.
@@ -57,8 +59,13 @@ def encoder(path: str) -> "Encoder":
 
 def forget() -> None:
     """Give back what a reused worker keeps for encoding; a task of another kind, which may need the memory, begins with this."""
-    _encoders.clear()
+    if _encoders:
+        _encoders.clear()
+        gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps free blocks otherwise
+    if trim:
+        trim(0)
 
 
 class Encoder:
