@@ -15,6 +15,8 @@ WORD = r"[\p{L}\p{N}]+"
 CJK_RUN = r"[\x{4E00}-\x{9FFF}]{2,}"
 #: Bytes of query vectors that go to every task.
 QUERY_BYTES = 32 << 20
+#: Bytes of vectors of a block at least.
+BLOCK_BYTES = 8 << 20
 
 
 def _plain_letters() -> tuple[str, str]:
@@ -39,11 +41,26 @@ def tokens(text: Column, cjk_bigrams: bool = False, fold_marks: bool = False) ->
     return F.concat(words, pairs)
 
 
+def with_counts(df: DataFrame, words: str = "words") -> DataFrame:
+    """``df`` with ``counts``, the different words of a list and how often each stands there, without a shuffle; null or empty lists have none.
+
+    The list is sorted and its runs measured, in steps of their own so that none is worked out twice.
+    """
+    ordered = df.withColumn("__sorted", F.array_sort(words))
+    n = F.size("__sorted")
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get("__sorted", i) != F.get("__sorted", i - 1)))
+    begun = ordered.withColumn("__starts", F.when(n > 0, starts).otherwise(F.array().cast("array<int>")))
+    run = lambda s, j: F.struct(F.get("__sorted", s).alias("token"), (F.coalesce(F.get("__starts", j + 1), n) - s).cast("long").alias("tf"))
+    return begun.withColumn("counts", F.transform("__starts", run)).drop("__sorted", "__starts")
+
+
 def token_index(posts: DataFrame, keys: Sequence[str] = ("tid", "floor"), fields: Sequence[str] = FIELDS, cjk_bigrams: bool = False, fold_marks: bool = False) -> DataFrame:
-    """token, keys, field, tf. Counts form inside a document, so no token is ever a group."""
+    """token, keys, field, tf. Counts form inside a document's row, so nothing is shuffled; ``keys`` tell documents apart."""
     named = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), tokens(F.col(f), cjk_bigrams, fold_marks).alias("words")) for f in fields])).alias("f")
-    spread = posts.select(*keys, named).select(*keys, "f.field", F.explode("f.words").alias("token"))
-    return spread.groupBy("token", *keys, "field").agg(F.count("*").alias("tf"))
+    counted = with_counts(posts.select(*keys, named).select(*keys, "f.field", "f.words"))
+    # outer: for the inner form Spark would work the counts out once more, to see whether there are any
+    spread = counted.select(*keys, "field", F.explode_outer("counts").alias("c")).filter("c is not null")
+    return spread.select("c.token", *keys, "field", "c.tf")
 
 
 def refresh_index(index: DataFrame, changed: DataFrame, keys: Sequence[str] = ("tid", "floor"), removed: DataFrame | None = None, **options) -> DataFrame:
@@ -95,41 +112,66 @@ def unit(vector: Column) -> Column:
     return F.transform(F.array(F.sqrt(dot(vector, vector))), lambda n: F.transform(vector, lambda x: x.cast("double") / n))[0]
 
 
-def vector_topk(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding", query_id: str = "query_id") -> DataFrame:
+def best_of_block(names: np.ndarray, queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, k: int) -> pa.Table:
+    """query_id, vec_id, score of each query's best ``k`` among some vectors, its own id left out."""
+    score = queries @ vectors.T
+    score[names[:, None] == own[None, :]] = -np.inf
+    some = []
+    for rounded in np.round(score, 9):
+        near = np.flatnonzero(rounded >= np.partition(rounded, -min(k, len(own)))[-min(k, len(own))])
+        some.append(near[np.lexsort((own[near], -rounded[near]))][:k])
+    row, at = np.repeat(np.arange(len(names)), [len(x) for x in some]), np.concatenate(some)
+    return pa.table([pa.array(names[row]), pa.array(own[at]), pa.array(score[row, at])], names=["query_id", "vec_id", "score"])
+
+
+def as_matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.stack(column.to_numpy(zero_copy_only=False)) if isinstance(column, pa.Array) else np.stack(column.to_numpy())
+
+
+def vector_topk(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding", query_id: str = "query_id", query_bytes: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score by cosine similarity against a stated query set; a vector does not find its own id.
 
-    Queries are unit-scaled once. If they take at most ``QUERY_BYTES`` they go to
+    Queries are unit-scaled once. If they take at most ``query_bytes`` they go to
     every task as a matrix, and a task hands on the best k of each batch of vectors;
-    larger sets are joined as rows. All vectors must have as many components as the queries.
+    larger sets are cut into blocks of that size, and so are the vectors: each block of the
+    one meets each of the other in a task of its own, which hands on each query's
+    best k. All vectors must have as many components as the queries.
     """
-    asked = queries.select(F.col(query_id).alias("query_id"), unit(F.col(embedding)).alias("q"))
-    rows = vectors.select(F.col(vec_id).alias("vec_id"), unit(F.col(embedding)).alias("v"))
+    limit = QUERY_BYTES if query_bytes is None else query_bytes
+    asked = queries.select(F.col(query_id).alias("query_id"), unit(F.col(embedding)).alias("q")).filter("q is not null")
+    rows = vectors.select(F.col(vec_id).alias("vec_id"), unit(F.col(embedding)).alias("v")).filter("v is not null")
     size = queries.agg(F.count("*"), F.max(F.size(embedding))).first()
-    if size[0] * (size[1] or 0) * 8 <= QUERY_BYTES:
-        found = asked.filter("q is not null").collect()  # no larger than the bound just checked
+    taken = size[0] * (size[1] or 0) * 8
+    schema = "query_id long, vec_id long, score double"
+    if taken <= limit:
+        found = asked.collect()  # no larger than the bound just checked
         ids = np.array([r["query_id"] for r in found], dtype=np.int64)
         matrix = vectors.sparkSession.sparkContext.broadcast((ids, np.array([r["q"] for r in found], dtype=np.float64)))
 
         def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names, q = matrix.value
             for batch in batches:
-                own = batch.column(0).to_numpy(zero_copy_only=False)
-                if not len(own) or not len(names):
-                    continue
-                score = q @ np.stack(batch.column(1).to_numpy(zero_copy_only=False)).T
-                score[names[:, None] == own[None, :]] = -np.inf
-                some = []
-                for rounded in np.round(score, 9):
-                    near = np.flatnonzero(rounded >= np.partition(rounded, -min(k, len(own)))[-min(k, len(own))])
-                    some.append(near[np.lexsort((own[near], -rounded[near]))][:k])
-                row, at = np.repeat(np.arange(len(names)), [len(x) for x in some]), np.concatenate(some)
-                yield pa.RecordBatch.from_arrays([pa.array(names[row]), pa.array(own[at]), pa.array(score[row, at])], names=["query_id", "vec_id", "score"])
-
-        scored = rows.filter("v is not null").mapInArrow(best, "query_id long, vec_id long, score double").filter("score > double('-Infinity')")
+                if batch.num_rows and len(names):
+                    own = batch.column(0).to_numpy(zero_copy_only=False)
+                    yield from best_of_block(names, q, own, as_matrix(batch.column(1)), k).to_batches()
+
+        scored = rows.mapInArrow(best, schema)
     else:
-        scored = rows.join(asked, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", dot(F.col("v"), F.col("q")).alias("score"))
+        q_blocks, v_blocks = -(-taken // limit), max(1, -(-vectors.count() * size[1] * 8 // max(limit, BLOCK_BYTES)))
+        number = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        left = asked.select(number("query_id", q_blocks).alias("a"), every(v_blocks).alias("b"), "query_id", "q").groupBy("a", "b")
+        right = rows.select(every(q_blocks).alias("a"), number("vec_id", v_blocks).alias("b"), "vec_id", "v").groupBy("a", "b")
+
+        def meet(some: pa.Table, others: pa.Table) -> pa.Table:
+            if not (some.num_rows and others.num_rows):
+                return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=["query_id", "vec_id", "score"])
+            return best_of_block(some.column("query_id").to_numpy(), as_matrix(some.column("q")), others.column("vec_id").to_numpy(), as_matrix(others.column("v")), k)
+
+        scored = left.cogroup(right).applyInArrow(meet, schema)
     order = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "vec_id")
-    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    whole = scored.filter("score > double('-Infinity')").withColumn("rank", F.row_number().over(order))
+    return whole.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def fuse(lists: Sequence[DataFrame], weights: Sequence[float] | None = None, constant: int = 60, k: int | None = None) -> DataFrame:

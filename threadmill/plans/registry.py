@@ -14,7 +14,7 @@ from .. import schemas
 from ..functions import chunking, tagging, textops
 from ..functions.textops import BREAKS, ENTITIES, SPACE
 from ..functions.vocab import LATIN, NO_CATEGORY
-from ..operators import archive, harvest, quality, retrieval, sampling
+from ..operators import archive, harvest, postings, quality, retrieval, sampling
 from ..operators.store import Store
 from ..sources import io, pages
 from ..streaming import incremental, stateful, streams
@@ -964,17 +964,74 @@ def bm25_topk(spark, sf_dir):
     return retrieval.bm25(table(spark, sf_dir, "documents"), items, 10).withColumn("score", F.round("score", 6))
 
 
-@register(
-    """SELECT query_id, rank, vec_id, round(score, 6) AS score FROM (SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS score,
+def _stored_index(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
+    index = postings.Index(spark, _scratch(spark, "postings"), width=1024, parts=16)
+    index.add(docs, 0, ["content"])
+    return index, docs
+
+
+@register(f"{_BM25} SELECT query_id, rank, doc_id, round(score, 6) AS score FROM kw")
+def bm25_stored(spark, sf_dir):
+    """The same ranking from stored lists, of which only blocks that can reach the best ten are scored."""
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    return _stored_index(spark, sf_dir)[0].search(items, 10).rows.withColumn("score", F.round("score", 6))
+
+
+_SEGMENTS = """SELECT token, doc_id, count(*) AS tf FROM (SELECT 'replaced' AS token, doc_id FROM documents WHERE doc_id % 10 = 3
+    UNION ALL SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')), doc_id FROM documents WHERE doc_id % 10 NOT IN (3, 7)) GROUP BY ALL"""
+
+
+def _refreshed_index(spark, sf_dir):
+    """Every tenth document replaced twice by later segments, and every tenth removed."""
+    index, docs = _stored_index(spark, sf_dir)
+    changed = docs.filter("doc_id % 10 = 3")
+    index.add(changed.withColumn("content", F.lit("Once more")), 1, ["content"])
+    index.add(changed.withColumn("content", F.lit("Replaced")), 2, ["content"], removed=docs.filter("doc_id % 10 = 7"))
+    return index
+
+
+@register(_SEGMENTS)
+def index_segments(spark, sf_dir):
+    """Every posting of an index with delta segments."""
+    return _refreshed_index(spark, sf_dir).entries().select("token", "doc_id", "tf")
+
+
+@register(_SEGMENTS)
+def index_merged(spark, sf_dir):
+    """Every posting after the segments were merged into one."""
+    return _refreshed_index(spark, sf_dir).merged(_scratch(spark, "merged")).entries().select("token", "doc_id", "tf")
+
+
+@register("SELECT b.item_id AS query_id, d.doc_id FROM benchmark b, documents d WHERE contains(d.text, substr(b.text, 1 + b.item_id % 20, 2 + b.item_id % 7))")
+def substring_search(spark, sf_dir):
+    """Texts of two to eight characters anywhere in the documents, from an index of character pairs."""
+    index = postings.bigram_index(table(spark, sf_dir, "documents"))
+    items = table(spark, sf_dir, "benchmark")
+    start, size = (1 + F.pmod("item_id", F.lit(20))).cast("int"), (2 + F.pmod("item_id", F.lit(7))).cast("int")
+    return postings.substring_match(index, items.select(F.col("item_id").alias("query_id"), F.substring("text", start, size).alias("text")))
+
+
+_COSINES = """SELECT query_id, rank, vec_id, round(score, 6) AS score FROM (SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS score,
         row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 9) DESC, v.vec_id) AS rank
         FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0) WHERE rank <= 10"""
-)
+
+
+@register(_COSINES)
 def vector_topk(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     queries = vectors.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
     return retrieval.vector_topk(vectors, queries, 10).withColumn("score", F.round("score", 6))
 
 
+@register(_COSINES)
+def vector_topk_blocks(spark, sf_dir):
+    """The same for query sets too large to go to every task: blocks of queries meet blocks of vectors."""
+    vectors = table(spark, sf_dir, "embeddings")
+    queries = vectors.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return retrieval.vector_topk(vectors, queries, 10, query_bytes=2048).withColumn("score", F.round("score", 6))
+
+
 @register(
     f"""{_BM25}, late AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY doc_id DESC) AS rank FROM kw),
     fused AS (SELECT query_id, doc_id, sum(part) AS score FROM (SELECT query_id, doc_id, 2.0 / (60 + rank) AS part FROM kw UNION ALL SELECT query_id, doc_id, 1.0 / (60 + rank) FROM late) GROUP BY ALL)
