@@ -41,7 +41,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int, end_id: int = 1, text: str = "text", doc_id: str = "doc_id", with_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int, end_id: int = 1, text: str = "text", doc_id: str = "doc_id", with_ids: bool = False, store_words: int | None = None) -> DataFrame:
     """Pieces of at most ``max_tokens`` ids of each whole text plus ``end_id``.
 
     ``with_ids`` adds the ids themselves as little-endian uint32.
@@ -50,7 +50,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int, end_id: int =
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, store_words).encode
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = []
@@ -152,9 +152,9 @@ def pack(
     return pieces.repartition(groups).mapInArrow(place, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, end_id: int = 1, with_ids: bool = False, **options) -> DataFrame:
-    """Tokenize, cut and pack every document; one row per piece."""
-    return pack(written(token_pieces(docs, tokenizer, max_tokens, end_id, with_ids=with_ids), "pieces"), max_tokens, **options)
+def pack_documents(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, end_id: int = 1, with_ids: bool = False, store_words: int | None = None, **options) -> DataFrame:
+    """Tokenize, cut and pack every document; one row per piece. ``store_words`` bounds the words whose ids a worker keeps."""
+    return pack(written(token_pieces(docs, tokenizer, max_tokens, end_id, with_ids=with_ids, store_words=store_words), "pieces"), max_tokens, **options)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -19,8 +19,8 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 
-#: Words of each half of a worker's store at most.
-CACHE_WORDS = 200_000
+#: Words of each half of a worker's store at most, some 200 bytes each; fewer cost time, more memory.
+CACHE_WORDS = 700_000
 #: New words sent to the library in one call.
 CALL_WORDS = 20_000
 #: Bytes of text looked through for new words at a time.
@@ -50,10 +50,11 @@ def splits_words(spec: dict) -> bool:
     return lower and drops and spec["model"]["type"] == "BPE" and bool(spec["model"].get("end_of_word_suffix"))
 
 
-def encoder(path: str) -> "Encoder":
-    """The worker's encoder for a tokenizer file."""
+def encoder(path: str, store_words: int | None = None) -> "Encoder":
+    """The worker's encoder for a tokenizer file, with a store of at most ``store_words`` words a half (``CACHE_WORDS`` if not given)."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+    _encoders[path].store_words = store_words
     return _encoders[path]
 
 
@@ -80,6 +81,7 @@ class Encoder:
         self.mark = self._whole(MARK)
         #: Texts with these are encoded whole: word by word they could differ.
         self.special = [MARK.encode(), *(t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values())]
+        self.store_words: int | None = None
         self.words: dict[bytes, bytes] = {}  # ids as little-endian uint32
         self.older: dict[bytes, bytes] = {}
         # lower-case ASCII letters are their own normal form and one piece, which ends in a token that ends words
@@ -149,10 +151,11 @@ class Encoder:
         # ASCII white space always ends a word, and A-Z are lower-cased by the tokenizer anyway
         split = [text.lower().split() for text in texts]
         new = set().union(*split).difference(self.words)
-        if len(self.words) + 2 * len(new) > CACHE_WORDS:
+        most = self.store_words or CACHE_WORDS
+        if len(self.words) + 2 * len(new) > most:
             self.older, self.words = self.words, {}
             new = set().union(*split)
-        if len(new) > CACHE_WORDS:  # texts of that many different words
+        if len(new) > most:  # texts of that many different words
             return [self._alone(text) for text in texts]
         for word in new.intersection(self.older):
             self.words[word] = self.older[word]
