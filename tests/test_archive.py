@@ -167,3 +167,14 @@ def test_streams(spark, tmp_path):
     q = streams.running_counts(stream).writeStream.format("memory").queryName("counts").outputMode("update").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("counts").first()["posts"] == 3
+
+
+def test_floors_of_a_giant_thread(spark):
+    """A thread of 200,000 posts, and pages with gaps or without a number: both numberings agree, and no window holds a thread's posts."""
+    giant = spark.range(200_000).select(F.lit(1).cast("long").alias("tid"), (F.floor(F.col("id") / 15) + 1).cast("int").alias("page"), (F.pmod("id", F.lit(15)) + 1).cast("int").alias("position"))
+    rows = [(2, 1, 1), (2, 1, 4), (2, 7, 2), (2, 3, 9), (2, None, 1), (3, 5, 5)]
+    posts = giant.unionByName(spark.createDataFrame(rows, "tid long, page int, position int"))
+    one, other = archive.number_by_pages(posts), archive.number_floors(posts)
+    key = ["tid", "page", "position", "floor"]
+    assert one.count() == 200_006 and one.select(*key).exceptAll(other.select(*key)).count() == 0
+    assert [r["floor"] for r in one.filter("tid = 2").orderBy("page", "position").collect()] == [1, 2, 3, 4, 5]

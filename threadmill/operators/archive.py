@@ -41,6 +41,21 @@ def number_floors(posts: DataFrame, order: list[str] | None = None) -> DataFrame
     return posts.withColumn("floor", F.row_number().over(Window.partitionBy("tid").orderBy(*(order or ["page", "position"]))))
 
 
+def number_by_pages(posts: DataFrame) -> DataFrame:
+    """The floors of :func:`number_floors` in two levels: places in a page, and the posts on the pages before it.
+
+    Only a thread's page counts, a row per page, are ever in one window, so a giant
+    thread's posts spread over tasks by page. A page without a number comes first.
+    """
+    in_page = Window.partitionBy("tid", "page").orderBy("position")
+    earlier = Window.partitionBy("tid").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    counts = posts.groupBy("tid", "page").agg(F.count("*").alias("__n"))
+    before = counts.select(F.col("tid").alias("__tid"), F.col("page").alias("__page"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    placed = posts.withColumn("__place", F.row_number().over(in_page))
+    both = placed.join(before, F.col("tid").eqNullSafe(F.col("__tid")) & F.col("page").eqNullSafe(F.col("__page")))
+    return both.withColumn("floor", (F.col("__before") + F.col("__place")).cast("int")).drop("__tid", "__page", "__before", "__place")
+
+
 def live_post_count(page_counts: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """tid, live: posts on all full pages before the last, plus those on the last. Input: tid, page, posts_on_page."""
     last = page_counts.groupBy("tid").agg(F.max("page").alias("pages"), F.max_by("posts_on_page", "page").alias("on_last"))

@@ -450,6 +450,13 @@ def floor_numbering(spark, sf_dir):
     return archive.number_floors(posts).select("tid", "page", "position", "floor")
 
 
+@register(f"SELECT tid, page, position, row_number() OVER (PARTITION BY tid ORDER BY page, position) AS floor FROM {CONV} WHERE (tid + floor) % 4 <> 1")
+def floor_numbering_by_pages(spark, sf_dir):
+    """Floors of threads with gaps in their pages, without a window over a thread's posts."""
+    posts = fixtures.conversation_posts(spark, sf_dir).filter("(tid + floor) % 4 <> 1").drop("floor")
+    return archive.number_by_pages(posts).select("tid", "page", "position", "floor")
+
+
 @register(f"SELECT tid, floor, page, position, floor AS floor_again FROM {CONV}")
 def floor_page_position(spark, sf_dir):
     posts = fixtures.conversation_posts(spark, sf_dir).select("tid", "floor")
