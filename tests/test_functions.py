@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -133,6 +135,34 @@ def test_chunks(spark):
     assert evaluate(spark, ["x" * 25], lambda c: chunking.chunks(c, 10, 20))[0]
 
 
+def test_folded_chunks(spark):
+    """The fold without Python equals the plain function, for all kinds of ends and overlaps."""
+    draw = random.Random(3)
+    texts = ["", " ", "。", "!!!", "a. \x1c\u3000b", "c" * 70, "c" * 29 + "." + "d" * 40, None]
+    texts += ["".join(draw.choice("ab字\U0001f600 .。!?\n\x1f\u3000") for _ in range(draw.randrange(120))) for _ in range(300)]
+    for size, overlap in ((30, 0), (30, 7), (10, 9), (5, 12)):
+        for dedupe in (False, True):
+            expected = [None if t is None else chunking.split_long(t, size, overlap, dedupe) for t in texts]
+            assert evaluate(spark, texts, lambda c, s=size, o=overlap, d=dedupe: chunking.folded(c, s, o, d)) == expected
+
+
+def test_long_word_lists(spark, monkeypatch):
+    """One scan for all words finds what a search for each does: nested, overlapping, astral and special characters."""
+    draw = random.Random(5)
+    words = list(dict.fromkeys("".join(draw.choice("abc字典\U0001f600.\\^]") for _ in range(draw.randrange(1, 5))) for _ in range(300)))
+    texts = ["", None, "字典字", "\U0001f600a", *["".join(draw.choice("abcd字典\U0001f600.\\^]\n") for _ in range(draw.randrange(80))) for _ in range(200)]]
+    expected = [[w for w in words if w in (t or "")] for t in texts]
+    assert evaluate(spark, texts, lambda c: tagging.contained(c, words)) == expected
+    assert evaluate(spark, texts, lambda c: tagging.contained(c, words[:3], words)) == [[w for w in words[:3] if w in (t or "")] for t in texts]
+    assert evaluate(spark, ["xab"], lambda c: tagging.contained(c, ["", "ab", "ab", *words])) == [["", "ab", "ab", *[w for w in words if w in "xab"]]]
+    long = Vocab(routes=tuple(words[:90]), roles=tuple(words[90:140]), problems=tuple(words[140:190]), event_types=tuple(words[190:230]), activity_types=tuple(words[200:]), cues={"one": tuple(words[:60]), "two": tuple(words[-60:])})
+    posts = spark.createDataFrame([(i, texts[i], texts[-i - 1], "b") for i in range(len(texts))], "tid int, title string, content string, board string").orderBy("tid")
+    tagged = lambda: tagging.with_tags(posts, long).withColumn("cues", chunking.cues(F.col("title"), F.coalesce("content", F.lit("")), long)).collect()
+    scanned = tagged()
+    monkeypatch.setattr(tagging, "MANY_WORDS", 10**9)
+    assert scanned == tagged()
+
+
 def test_cues_and_labels(spark):
     row = spark.createDataFrame([("建议", "x" * 900 + "优点 公示", "财务制度")], "title string, text string, extra string")
     assert row.select(chunking.cues(F.col("title"), F.col("text"))).first()[0] == "proposal,benefit,outcome"

@@ -8,9 +8,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .matching import among, hits, literal
 from .textops import SPACE, head
 from .vocab import SEASONS, Vocab
 
+#: Words of a scan from which one pattern over all of them takes the place of a search for each.
+MANY_WORDS = 32
+
 YEAR = r"(?:19|20)\p{Nd}{2}"
 SHORT = rf"(\p{{Nd}}{{2}})[{SPACE}]*([{SEASONS}])"
 #: Every decimal digit beyond ASCII, by Unicode's rule, and its value.
@@ -18,13 +22,16 @@ _DIGITS = [c for c in map(chr, range(0x80, 0x110000)) if c.isdecimal()]
 _VALUES = "".join(str(unicodedata.digit(c)) for c in _DIGITS)
 
 
-def _words(words: Sequence[str]) -> Column:
-    return F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
-
+def contained(text: Column, words: Sequence[str], scanned: Sequence[str] = ()) -> Column:
+    """The words that ``text`` contains, in list order.
 
-def contained(text: Column, words: Sequence[str]) -> Column:
-    """The words that ``text`` contains, in list order."""
-    return F.filter(_words(words), lambda w: F.contains(text, w))
+    ``scanned`` names the words of every list that is looked for in the same text, so that one scan serves them all.
+    """
+    every = [*scanned, *words]
+    # the scan knows a word once, and no empty one
+    if len(set(every)) < MANY_WORDS or len(set(words)) < len(words) or "" in every:
+        return F.filter(literal(words), lambda w: F.contains(text, w))
+    return among(hits(text, every), words)
 
 
 def first_contained(words: Sequence[str], *texts: Column) -> Column:
@@ -85,8 +92,8 @@ def classify(title: Column, content: Column, board: Column | None = None, vocab:
         "event_type": event_type(title, vocab),
         "activity_type": activity_type(title, scan, vocab),
         "routes": contained(scan, vocab.routes),
-        "roles": contained(content, vocab.roles),
-        "problems": contained(content, vocab.problems),
+        "roles": contained(content, vocab.roles, vocab.problems),
+        "problems": contained(content, vocab.problems, vocab.roles),
     }
     return {"tags": merge_tags(*found.values(), board), **found}
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from functools import partial
+from string import ascii_lowercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -401,6 +402,13 @@ def chunk_documents(spark, sf_dir):
     return _chunks(spark, sf_dir).select("id", "text", "source.chunk_index", "source.chunk_count", "source.cues", "source.source_label")
 
 
+@register(f"{_CHUNKS} SELECT id, text, chunk_index FROM chunk")
+def chunk_documents_folded(spark, sf_dir):
+    """The same chunks without Python."""
+    posts = tagging.with_tags(fixtures.document_posts(spark, sf_dir), LATIN)
+    return chunking.to_chunks(posts, 1500, 200, LATIN, fold=True).select("id", "text", "source.chunk_index")
+
+
 @register(f"{_CHUNKS} SELECT (SELECT count(*) FROM documents) AS posts, (SELECT count(*) FROM chunk) AS chunks, (SELECT count(*) FROM chunk) / greatest((SELECT count(*) FROM documents), 1) AS mean_chunks")
 def chunk_stats(spark, sf_dir):
     posts = fixtures.document_posts(spark, sf_dir)
@@ -415,6 +423,18 @@ def chunk_files(spark, sf_dir):
     return spark.read.schema(schemas.CHUNKS_DDL).json(path).select("id", "text", "source.chunk_index")
 
 
+#: All pairs of letters, and those with a vowel behind: 806 words, each of the longer ones with a shorter inside.
+_PAIRS = [a + b for a in ascii_lowercase for b in ascii_lowercase]
+DICTIONARY = (*_PAIRS, *[p + v for p in _PAIRS[:26] for v in "aeiou"])
+
+
+@register(f"SELECT doc_id, len(found) AS n_found, array_to_string(found, ',') AS words FROM (SELECT doc_id, {_in('text', DICTIONARY)} AS found FROM documents)")
+def dictionary_scan(spark, sf_dir):
+    """The words of a long list that each document contains, by one scan of its text."""
+    found = table(spark, sf_dir, "documents").select("doc_id", tagging.contained(F.col("text"), DICTIONARY).alias("found"))
+    return found.select("doc_id", F.size("found").alias("n_found"), F.array_join("found", ",").alias("words"))
+
+
 # --- threads --------------------------------------------------------------------
 
 
