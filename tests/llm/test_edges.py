@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import unicodedata
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -573,3 +575,48 @@ def test_scratch_needs_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.scratch_dir(Cluster)
+
+
+def test_digest_brute(spark):
+    """Fingerprints of whole texts by an independent NFKC, case fold, white-space fold and xxh3; only repeated digests reach the byte comparison."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+
+    def plain(text):
+        folded = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", text).casefold())
+        return xxhash.xxh3_128(" ".join(folded.split()).encode()).hexdigest()
+
+    rows = digest.fingerprint_documents(docs).collect()
+    assert len(rows) == len(texts)
+    order = sorted(texts)
+    following = dict(zip(order, order[1:] + order[:1]))
+    for r in rows:
+        text, after = texts[r["doc_id"]], texts[following[r["doc_id"]]]
+        half = len(text) // 2
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (plain(text), plain(text[: len(text) - half] + after[:half]))
+    once = spark.createDataFrame([(i, f"text {i}") for i in range(20)] + [(90, "Twice"), (91, "twice ")], "doc_id long, text string")
+    tags = once.filter("doc_id >= 90").select(F.xxhash64("text").alias("tag"))
+    assert digest.collided(once, tags).count() == 0
+    assert {r["fingerprint"] for r in digest.fingerprint_documents(once).filter("doc_id >= 90").collect()} == {digest.digest(b"twice")}
+
+
+@pytest.mark.parametrize("broadcast", [0, 200_000])
+def test_digest_joins(messy, monkeypatch, broadcast):
+    """Tables too large to be broadcast give the same rows."""
+    monkeypatch.setattr(digest, "BROADCAST_DIGESTS", broadcast)
+    rows = digest.fingerprint_documents(messy).collect()
+    assert len(rows) == len(ROWS) and len({r["fingerprint"] for r in rows}) == len({digest.canonical(t or "") for _, t, *_ in ROWS})
+
+
+def test_simhash_hot_key(spark):
+    """One key of 20,000 fingerprints stays where its rows are, and loses no link."""
+    rng = np.random.default_rng(6)
+    # the upper third is the same for all, so they share one key and differ widely in the rest
+    fps = np.unique(rng.integers(0, 1 << 42, 20_000, dtype=np.int64))
+    linked = fps[:50] ^ 1
+    nodes = spark.createDataFrame([(int(f),) for f in np.unique(np.concatenate([fps, linked]))], "fp long").withColumn("node", F.col("fp")).repartition(8)
+    values = np.unique(np.concatenate([fps, linked])).view(np.uint64)
+    expected = {(int(values[i]), int(v)) for i in range(len(values)) for v in values[i + 1 :][np.bitwise_count(values[i + 1 :] ^ values[i]) <= 4]}
+    roots = {r["node"]: r["root"] for r in simhash.components(simhash.close_pairs(nodes)).collect()}
+    assert len(expected) >= 50 and set(roots) == {n for pair in expected for n in pair}
+    assert all(roots[a] == roots[b] for a, b in expected)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import written
+from .skew import join_counted
 from .wordbpe import forget
 
 BANDS, EACH = 20, 6
@@ -99,9 +100,11 @@ def spanning_forest(sets: list[np.ndarray], least: float) -> list[tuple[int, int
 
 def links(docs: DataFrame, each: DataFrame, least: float, words_each: int, text: str = "text") -> DataFrame:
     """Verified links (a, b) between nodes. ``each``: tag (hash of a text), node and keys of every different text."""
+    each = written(each.select("tag", "node", "keys"), "keys")
     keyed = each.select("tag", "node", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").count().filter("count > 1")
-    members = written(keyed.join(shared, "key").select("key", "tag", "node", F.col("count").alias("n")), "shared-keys")
+    shared = written(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").withColumn("size", F.col("n")), "shared")
+    held = join_counted(keyed, shared, "key", BANDS * each.count())
+    members = written(held.withColumnRenamed("size", "n"), "shared-keys")
     wanted = written(members.select("tag").distinct(), "compared")
     if wanted.count() <= BROADCAST_TEXTS:
         wanted = F.broadcast(wanted)

@@ -112,8 +112,9 @@ def close_pairs(nodes: DataFrame, distance: int = 4, blocks: int = 6) -> DataFra
     """
     masks = F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(block_masks(distance, blocks))])
     keyed = nodes.select("node", "fp", F.explode(masks).alias("b")).select("b.k", "b.key", "fp", "node")
-    shared = keyed.groupBy("k", "key").count().filter("count > 1")
-    members = written(keyed.join(shared, ["k", "key"]).select("k", "key", "fp", "node", F.col("count").alias("n")), "buckets")
+    shared = written(keyed.groupBy("k", "key").agg(F.count("*").alias("n")).filter("n > 1").withColumn("size", F.col("n")), "shared")
+    held = join_counted(keyed, shared, ["k", "key"], len(list(combinations(range(blocks), distance))) * nodes.count())
+    members = written(held.withColumnRenamed("size", "n"), "buckets")
     cold = members.filter(F.col("n") <= JOIN_MAX)
     left = cold.select("k", "key", F.col("fp").alias("x"), F.col("node").alias("a"))
     right = cold.select("k", "key", F.col("fp").alias("y"), F.col("node").alias("b"))
