@@ -33,10 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .scratch import written
-from .wordbpe import encoder
+from .wordbpe import encoder, forget, trim
 
 #: Bytes of pieces, which may carry their ids, that wait to be packed together.
 GROUP_BYTES = 128 << 20
+#: Texts taken from a batch at a time, and bytes of ids from which pieces are handed on.
+SOME, HAND_ON = 1000, 4 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
@@ -49,18 +51,25 @@ def token_pieces(docs: DataFrame, tokenizer: str, max_tokens: int, end_id: int =
     end = np.array([end_id], dtype="<u4").tobytes()
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=names)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         encode = encoder(tokenizer, store_words).encode
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows = []
-            for one, raw in zip(ids, encode(texts)):
+        rows, held = [], 0
+        for part in (batch.slice(at, SOME) for batch in batches for at in range(0, batch.num_rows, SOME)):
+            for one, raw in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
                 raw += end
+                held += len(raw)
                 for piece, at in enumerate(range(0, len(raw), 4 * max_tokens)):
-                    part = raw[at : at + 4 * max_tokens]
-                    rows.append((one, piece, at // 4, len(part) // 4, zlib.crc32(part), part)[: len(names)])
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=names)
+                    ids = raw[at : at + 4 * max_tokens]
+                    rows.append((one, piece, at // 4, len(ids) // 4, zlib.crc32(ids), ids)[: len(names)])
+                if held > HAND_ON:
+                    yield made(rows)
+                    rows, held = [], 0
+        if rows:
+            yield made(rows)
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     return narrow.mapInArrow(cut, PIECES + ", ids binary" * with_ids)
@@ -122,31 +131,33 @@ def pack(
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        forget()
         base, turn = TaskContext.get().partitionId(), 0
         waiting: list[pa.RecordBatch] = []
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             nonlocal turn
-            table = pa.Table.from_batches(waiting).combine_chunks()
-            waiting.clear()
-            lengths = table.column("length").to_numpy()
+            lengths = np.concatenate([b.column("length").to_numpy() for b in waiting])
             order = np.argsort(-lengths, kind="stable")
             bins, offsets = np.empty(len(order), dtype=np.int64), np.empty(len(order), dtype=np.int64)
             bins[order], offsets[order] = pack_group(lengths[order], capacity, weights, score)
-            first = (base << 40) + (turn << 26)
+            bins += (base << 40) + (turn << 26)
             turn += 1
-            table = table.append_column("sequence_id", pa.array(bins + first)).append_column("offset", pa.array(offsets))
-            return table.to_batches()[0]
+            at = 0
+            for part in waiting:  # batch by batch, so that pieces' ids are not copied
+                here = slice(at, at := at + part.num_rows)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(bins[here]), pa.array(offsets[here])], names=[*part.schema.names, "sequence_id", "offset"])
+            waiting.clear()
 
         for batch in batches:
             for at in range(0, batch.num_rows, 2 * group_pieces):
                 part = batch.slice(at, 2 * group_pieces)
                 full = sum(b.num_rows for b in waiting) + part.num_rows > 2 * group_pieces
                 if waiting and (full or sum(b.nbytes for b in waiting) > GROUP_BYTES):
-                    yield flush()
+                    yield from flush()
                 waiting.append(part)
         if waiting and sum(b.num_rows for b in waiting):
-            yield flush()
+            yield from flush()
 
     schema = StructType([*pieces.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
     return pieces.repartition(groups).mapInArrow(place, schema)

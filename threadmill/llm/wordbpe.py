@@ -23,8 +23,8 @@ import pyarrow as pa
 CACHE_WORDS = 700_000
 #: New words sent to the library in one call.
 CALL_WORDS = 20_000
-#: Bytes of text looked through for new words at a time.
-CALL_BYTES = 4_000_000
+#: Bytes of text looked through for new words at a time, at most and for each word of a half.
+CALL_BYTES, WORD_BYTES = 4_000_000, 16
 #: Separates words in a call; it forms a piece of its own.
 MARK = "\x01"
 #: A text that must have the ids of its words.
@@ -58,15 +58,20 @@ def encoder(path: str, store_words: int | None = None) -> "Encoder":
     return _encoders[path]
 
 
+def trim() -> None:
+    """Return free blocks, which a reused worker keeps from earlier tasks, to the system."""
+    pa.default_memory_pool().release_unused()
+    cut = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps free blocks otherwise
+    if cut:
+        cut(0)
+
+
 def forget() -> None:
     """Give back what a reused worker keeps for encoding; a task of another kind, which may need the memory, begins with this."""
     if _encoders:
         _encoders.clear()
         gc.collect()
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps free blocks otherwise
-    if trim:
-        trim(0)
+    trim()
 
 
 class Encoder:
@@ -85,8 +90,7 @@ class Encoder:
         self.words: dict[bytes, bytes] = {}  # ids as little-endian uint32
         self.older: dict[bytes, bytes] = {}
         # lower-case ASCII letters are their own normal form and one piece, which ends in a token that ends words
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = None
+        self.normal = self.tokenizer.normalizer
         self.last = np.zeros(self.vocab_size, dtype=bool)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         if suffix:
@@ -111,7 +115,9 @@ class Encoder:
             (letters if word.isalpha() else others).add(word)  # bytes are alpha if they are all ASCII letters
         for at in range(0, len(letters := list(letters)), CALL_WORDS):
             some = letters[at : at + CALL_WORDS]
-            ids = self.plain.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids
+            self.tokenizer.normalizer = None
+            ids = self._whole(b" ".join(some).decode())
+            self.tokenizer.normalizer = self.normal
             if not self._keep(some, ids, np.flatnonzero(self.last[ids]) + 1, 0):
                 others.update(some)
         for at in range(0, len(others := list(others)), CALL_WORDS):
@@ -136,12 +142,12 @@ class Encoder:
     def encode(self, texts: list[bytes | None]) -> Iterator[bytes]:
         """Each whole UTF-8 text's ids as little-endian uint32; a null or empty text has none.
 
-        Ids are made for some ``CALL_BYTES`` of text at a time, or one longer text.
+        Ids are made for some ``CALL_BYTES`` of text at a time, fewer with a small store, or one longer text.
         """
-        at = 0
+        at, most = 0, min(CALL_BYTES, WORD_BYTES * (self.store_words or CACHE_WORDS))
         while at < len(texts):
             some, size = [], 0
-            while at < len(texts) and (not some or size < CALL_BYTES):
+            while at < len(texts) and (not some or size < most):
                 some.append(texts[at] or b"")
                 size += len(some[-1])
                 at += 1
