@@ -66,7 +66,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     A null or empty text is the end id alone; repeated rows are packed one by one.
     Workers that earlier stages used keep fewer words' ids than packing alone would.
     """
-    return packing.pack_documents(docs, tokenizer_path(), 4096, end_id=1, with_ids=True, store_words=250_000)
+    return packing.pack_documents(docs, tokenizer_path(), 4096, end_id=1, with_ids=True, store_words=60_000)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
