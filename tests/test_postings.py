@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from threadmill.functions import textops
 from threadmill.operators import postings, retrieval
 
 
@@ -75,6 +76,20 @@ def test_substrings(spark):
     assert found == [(1, 1), (1, 2), (1, 7), (2, 1), (2, 7), (3, 1), (3, 6), (5, 7)]
 
 
+def test_substrings_without_a_row_for_each_place(spark, monkeypatch):
+    """Pairs are indexed without a shuffle, and what is shuffled is a row per document and wanted pair; texts cut into slices, equal ids and long texts find the same."""
+    monkeypatch.setattr(textops, "SLICE_BYTES", 40)
+    rows = [(i, f"{'ab' * (i % 9)} {i} xyz{'c' * (i % 4)}") for i in range(60)] + [(3, "ab xyzc"), (3, "abab"), (70, "ab" * 30_000)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    index = postings.bigram_index(docs)
+    assert "Exchange" not in index._jdf.queryExecution().executedPlan().toString() and index.schema["doc_id"].dataType.simpleString() == "int"
+    queries = [(1, "abab"), (2, "xyzcc"), (3, " 1"), (4, "zz"), (5, "ababababab")]
+    found = postings.substring_match(index, spark.createDataFrame(queries, "query_id long, text string"))
+    assert sorted(map(tuple, found.collect())) == sorted({(q, d) for q, t in queries for d, text in rows if t in text})
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(places" not in plan
+
+
 @pytest.mark.parametrize("words,expected", [(["b", "a", "b"], [("a", 1), ("b", 2)]), ([], []), (None, [])])
 def test_counts_in_a_row(spark, words, expected):
     df = retrieval.with_counts(spark.createDataFrame([(words,)], "words array<string>"))

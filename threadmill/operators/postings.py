@@ -10,14 +10,16 @@ Merging makes one segment of all.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.textops import slices
 from .retrieval import tokens, with_counts
 
 LISTS_DDL = "token string, field string, block long, docs array<long>, tf array<long>, lengths array<long>, max_tf long, min_length long, segment int, part int"
@@ -192,27 +194,118 @@ def _ranked(scored: DataFrame, k: int) -> DataFrame:
 # --- substrings of unsegmented text ------------------------------------------------
 
 
+def _small(numbers: np.ndarray) -> np.ndarray:
+    """The same numbers in 16 bits, which sort much faster, where they fit."""
+    return numbers.astype(np.uint16) if not len(numbers) or numbers.max() < 1 << 16 else numbers
+
+
+def _places_of_pairs(ids: pa.Array, texts: pa.Array) -> pa.Table:
+    """gram, doc_id, places of some documents."""
+    sizes = pc.utf8_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    codes = np.frombuffer("".join(t for t in texts.to_pylist() if t).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    inside = np.flatnonzero(doc[:-1] == doc[1:])
+    seen = np.zeros(0x110000, dtype=bool)
+    seen[codes] = True
+    letters, number = np.flatnonzero(seen), np.cumsum(seen) - 1
+    pair = _small(number[codes[inside]] * len(letters) + number[codes[inside + 1]])
+    doc, place = _small(doc[inside]), place[inside]
+    order = np.argsort(pair, kind="stable")
+    order = order[np.argsort(doc[order], kind="stable")]  # both stable, so places stay in order
+    pair, doc, place = pair[order], doc[order], place[order]
+    starts = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1])][: len(pair)])
+    different, which = np.unique(pair[starts], return_inverse=True)
+    names = pa.array([chr(letters[p // len(letters)]) + chr(letters[p % len(letters)]) for p in different.tolist()], pa.string())
+    places = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(pair)].astype(np.int32)), pa.array(place.astype(np.int32)))
+    return pa.table([names.take(pa.array(which)), ids.take(pa.array(doc[starts])), places], names=["gram", "doc_id", "places"])
+
+
 def bigram_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """gram, doc_id, places: where each pair of neighbouring characters stands (from 0)."""
-    chars = docs.select(F.col(doc_id).alias("doc_id"), F.filter(F.split(F.col(text), ""), lambda c: c != "").alias("chars")).filter(F.size("chars") > 1)
-    ends = F.transform(F.slice("chars", F.lit(2), F.size("chars") - 1), lambda c, i: F.struct(F.concat(F.get("chars", i), c).alias("gram"), i.alias("place")))
-    each = chars.select("doc_id", F.explode_outer(ends).alias("g")).filter("g is not null").select("doc_id", "g.gram", "g.place")
-    return each.groupBy("gram", "doc_id").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    """gram, doc_id, places: where each pair of neighbouring characters stands (from 0).
+
+    Places are gathered for each document where it is read, so nothing is shuffled.
+    """
+
+    def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in slices(batch, 1):
+                yield from _places_of_pairs(some.column(0), some.column(1)).to_batches()
+
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.length("text") > 1)
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(indexed, f"gram string, doc_id {id_type}, places array<int>")
 
 
 def substring_match(index: DataFrame, queries: DataFrame, query_id: str = "query_id", text: str = "text") -> DataFrame:
     """query_id, doc_id of documents that hold a query's text anywhere; queries of two or more characters, others find nothing.
 
     A query is covered by every second pair and the last one. Places of all of
-    these, less their offsets, agree where the text begins; they are intersected by
-    counting, which combines before it is shuffled. The query set must fit a broadcast.
+    these, less their offsets, agree where the text begins. The places that a document has for
+    pairs of any query are brought together once, as lists, and intersected there: no row is made
+    for a place. The query set must fit a broadcast.
     """
     size = queries.agg(F.coalesce(F.sum(F.octet_length(text) + 16), F.lit(0))).first()[0]
     if size > QUERY_BYTES:
         raise ValueError(f"{size} bytes of queries: search in parts of at most {QUERY_BYTES}")
     n = F.length(text)
     offsets = F.array_distinct(F.concat(F.sequence(F.lit(0), n - 2, F.lit(2)), F.array(n - 2)))
-    asked = queries.filter(n > 1).select(F.col(query_id).alias("query_id"), F.col(text).alias("text"), offsets.alias("offsets"))
-    grams = asked.select("query_id", F.size("offsets").alias("need"), F.explode("offsets").alias("offset"), "text").select("query_id", "need", "offset", F.substring("text", F.col("offset") + 1, F.lit(2)).alias("gram"))
-    starts = index.join(F.broadcast(grams), "gram").select("query_id", "need", "doc_id", F.explode("places").alias("place"), "offset").select("query_id", "need", "doc_id", (F.col("place") - F.col("offset")).alias("start"))
-    return starts.groupBy("query_id", "doc_id", "start").agg(F.count("*").alias("n"), F.first("need").alias("need")).filter("n = need").select("query_id", "doc_id").distinct()
+    gram = lambda o: F.struct(o.alias("offset"), F.substring(F.col(text), o + 1, F.lit(2)).alias("gram"))
+    asked = queries.filter(n > 1).select(F.col(query_id).alias("query_id"), F.transform(offsets, gram).alias("grams"))
+    wanted = asked.select(F.explode("grams.gram").alias("gram")).distinct()
+    looked_for = [(r["query_id"], [(g["gram"], g["offset"]) for g in r["grams"]]) for r in asked.collect()]  # no larger than the bound just checked
+    shared = index.sparkSession.sparkContext.broadcast(looked_for)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if batch.num_rows:
+                rows = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+                last = _documents(rows)
+                first = int(np.argmax(last == last[-1]))  # the last document may go on in the next batch
+                yield from _holders(rows.slice(0, first), shared.value, rows.schema.field("doc_id").type).to_batches()
+                rest = rows.slice(first)
+        if rest is not None:
+            yield from _holders(rest, shared.value, rest.schema.field("doc_id").type).to_batches()
+
+    types = {"query_id": asked.schema["query_id"].dataType.simpleString(), "doc_id": index.schema["doc_id"].dataType.simpleString()}
+    some = index.select("doc_id", "gram", "places").join(F.broadcast(wanted), "gram", "left_semi").select("doc_id", "gram", "places")
+    pairs = some.repartition("doc_id").sortWithinPartitions("doc_id").mapInArrow(found, f"number int, doc_id {types['doc_id']}")
+    numbers = index.sparkSession.createDataFrame([(i, q) for i, (q, _) in enumerate(looked_for)], f"number int, query_id {types['query_id']}")
+    return pairs.join(F.broadcast(numbers), "number").select("query_id", "doc_id").distinct()
+
+
+def _documents(rows: pa.Table) -> np.ndarray:
+    """A number for each row's document."""
+    return rows.column("doc_id").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+
+
+def _increasing(numbers: np.ndarray) -> np.ndarray:
+    return numbers if (numbers[1:] > numbers[:-1]).all() else np.unique(numbers)
+
+
+def _holders(rows: pa.Table, looked_for: list, id_type: pa.DataType) -> pa.Table:
+    """number, doc_id of the queries found in ``rows``, which are all rows of some documents."""
+    numbers, ids = [], []
+    if rows.num_rows:
+        doc, gram, places = _documents(rows), rows.column("gram").combine_chunks().dictionary_encode(), rows.column("places").combine_chunks()
+        names, first_row = gram.dictionary.to_pylist(), np.unique(doc, return_index=True)[1]
+        lengths = pc.list_value_length(places).to_numpy()
+        key = np.repeat(doc.astype(np.int64) << 32, lengths) + places.flatten().to_numpy()
+        of = _small(np.repeat(gram.indices.to_numpy(), lengths))
+        order = np.argsort(of, kind="stable")
+        # places of a gram by document; some stand twice only where documents share an id
+        runs = dict(zip(names, map(_increasing, np.split(key[order], np.cumsum(np.bincount(of, minlength=len(names)))[:-1]))))
+        for number, (_, grams) in enumerate(looked_for):
+            begun = None
+            for g, offset in grams:
+                here = runs[g] - offset if g in runs else np.empty(0, dtype=np.int64)
+                begun = here if begun is None else np.intersect1d(begun, here, assume_unique=True)
+                if not len(begun):
+                    break
+            # the first pair's offset is 0, so what is left begins inside its document
+            hit = np.unique(begun >> 32)
+            numbers.append(np.full(len(hit), number, dtype=np.int32))
+            ids.append(first_row[hit])
+    taken = rows.column("doc_id").combine_chunks().take(pa.array(np.concatenate(ids))) if ids else pa.array([], id_type)
+    return pa.table([pa.array(np.concatenate(numbers) if numbers else np.empty(0, dtype=np.int32)), taken], names=["number", "doc_id"])
