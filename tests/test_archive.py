@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import duckdb
 from pyspark.sql import functions as F
 
 from threadmill import schemas
@@ -9,6 +10,9 @@ from threadmill.functions.vocab import Vocab
 from threadmill.operators import archive, quality, retrieval, sampling
 from threadmill.sources import io, pages
 from threadmill.streaming import incremental, streams
+from threadmill.plans import registry
+
+from .oracle import compare
 
 
 def posts_of(spark, rows):
@@ -131,6 +135,15 @@ def test_index(spark):
     assert fresh == {"ann", "green", "bike"}
 
 
+def test_partial_update_with_many_listing_pages(spark, tmp_path):
+    """The tenth listing page of a board does not count as its first."""
+    rows = [(t, n, ("user", "assistant")[n % 2], f"text {t} {n}") for t in (3, 10, 52, 59, 640, 647) for n in range(5)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    compare(registry.QUERIES["archive_update_partial_state"](spark, str(tmp_path)), con, registry.ORACLE_SQL["archive_update_partial_state"])
+
+
 def test_fusion(spark):
     a = spark.createDataFrame([(1, 1, 10), (1, 2, 11)], "query_id int, rank int, doc_id int")
     b = spark.createDataFrame([(1, 1, 11)], "query_id int, rank int, doc_id int")
