@@ -107,3 +107,15 @@ def test_blocks_of_vectors(spark, monkeypatch):
     rows = lambda df: [(r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in df.orderBy("query_id", "rank").collect()]
     assert rows(blocks) == rows(retrieval.vector_topk(vectors, queries, 5))
     assert retrieval.vector_topk(vectors, queries.limit(0), 5).count() == 0
+
+
+def test_blocks_are_not_smaller_than_they_need_to_be(spark):
+    """Each block of queries is a copy of the vectors, so a small limit alone makes no more of them."""
+    rng = np.random.default_rng(3)
+    vectors = spark.createDataFrame([(i, [float(x) for x in rng.standard_normal(6)]) for i in range(120)], "vec_id long, embedding array<double>")
+    queries = vectors.filter("vec_id % 4 = 0").withColumnRenamed("vec_id", "query_id")
+    rows = lambda df: [(r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in df.orderBy("query_id", "rank").collect()]
+    expected = rows(retrieval.vector_topk(vectors, queries, 5))
+    blocks = retrieval.vector_topk(vectors, queries, 5, query_bytes=48)
+    assert rows(blocks) == expected == rows(retrieval.vector_topk(vectors, queries, 5))
+    assert "sequence(0, 29" not in blocks._jdf.queryExecution().analyzed().toString()
