@@ -109,13 +109,27 @@ def test_blocks_of_vectors(spark, monkeypatch):
     assert retrieval.vector_topk(vectors, queries.limit(0), 5).count() == 0
 
 
-def test_blocks_are_not_smaller_than_they_need_to_be(spark):
-    """Each block of queries is a copy of the vectors, so a small limit alone makes no more of them."""
+def test_blocks_are_not_smaller_than_they_need_to_be(spark, monkeypatch):
+    """Each block of queries is a copy of the vectors, so a small limit alone makes no more of them; scores in slices give the same rows."""
     rng = np.random.default_rng(3)
     vectors = spark.createDataFrame([(i, [float(x) for x in rng.standard_normal(6)]) for i in range(120)], "vec_id long, embedding array<double>")
     queries = vectors.filter("vec_id % 4 = 0").withColumnRenamed("vec_id", "query_id")
     rows = lambda df: [(r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in df.orderBy("query_id", "rank").collect()]
     expected = rows(retrieval.vector_topk(vectors, queries, 5))
+    monkeypatch.setattr(retrieval, "SCORE_BYTES", 3000)
     blocks = retrieval.vector_topk(vectors, queries, 5, query_bytes=48)
     assert rows(blocks) == expected == rows(retrieval.vector_topk(vectors, queries, 5))
     assert "sequence(0, 29" not in blocks._jdf.queryExecution().analyzed().toString()
+
+
+def test_scores_are_held_in_slices(monkeypatch):
+    """The matrix of scores does not grow with the queries."""
+    import tracemalloc
+
+    monkeypatch.setattr(retrieval, "SCORE_BYTES", 1 << 20)
+    vectors = np.random.default_rng(4).standard_normal((2000, 4))
+    tracemalloc.start()
+    found = retrieval.best_of_block(np.arange(2000), vectors, np.arange(2000), vectors, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.num_rows == 6000 and peak < 16 << 20  # 32 MB for all scores at once
