@@ -133,3 +133,12 @@ def test_scores_are_held_in_slices(monkeypatch):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert found.num_rows == 6000 and peak < 16 << 20  # 32 MB for all scores at once
+
+
+def test_bm25_shuffles_no_postings(spark):
+    """Only document frequencies, scores and ranks are shuffled, and words of the queries are met where documents are read."""
+    docs = corpus(spark).withColumnRenamed("content", "text")
+    queries = spark.createDataFrame([(1, "w3 w50"), (2, "w1 W1"), (3, None)], "query_id long, text string")
+    plan = retrieval.bm25(docs, queries, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line and "doc_id" in line and "token" in line]
