@@ -168,6 +168,15 @@ def test_privacy(spark):
     assert hits["phone", "t"] == 1 and hits["email", "l"] == 1 and hits["id_card", "t"] == 0
 
 
+def test_privacy_needs(spark):
+    """The quick test before each pattern passes whatever the pattern finds."""
+    texts = ["a@b.cc", "@", "x@y", "113812345678", "13812345678", "tel 13812345678.", "1234567890123456789", "12345678901234567X", "id 12345678901234567x!", "123456789012345678X", "", None]
+    assert quality.NEEDED.keys() == quality.PRIVATE.keys()
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = {k: df.filter(F.rlike("t", F.lit(p))).count() for k, p in quality.PRIVATE.items()}
+    assert {r["kind"]: r["hits"] for r in quality.privacy_audit(df, ["t"]).collect()} == plain and all(plain.values())
+
+
 def test_streams(spark, tmp_path):
     source = str(tmp_path / "in")
     rows = [(1, 1, "2026-4-3 10:52:36"), (1, 1, "2026-4-3 10:52:36"), (1, 2, "2026-4-3 10:53:00")]
