@@ -211,3 +211,23 @@ def test_whole_text_numeric_entities(spark, tmp_path):
     assert pages == {i: None if t is None else decoded(t) for i, t in enumerate(texts)}
     docs = {r["doc_id"]: r["decoded"] for r in registry.QUERIES["whole_text_entities"](spark, str(tmp_path)).collect()}
     assert docs == {i: None if t is None else chr(65 + i % 26) + chr(20013 + i % 50) + "<" + decoded(t) for i, t in enumerate(texts)}
+
+
+def test_python_steps_hold_a_slice_of_a_batch():
+    """What Python makes of a batch's texts is bounded, and the rows are the same."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from threadmill.functions import chunking, textops
+
+    texts = pa.array([("&#65;bc. " * 600) + str(i) for i in range(3000)] + [None, ""])
+    for work in (textops._numeric_entities.func, lambda t: chunking._split_all(t, 1500, 200, False)):
+        tracemalloc.start()
+        found = work(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 8 << 20 and len(found) == 3002 and found[3000].as_py() is None  # 16 MB of texts
+        assert found[7].as_py() == work(texts.slice(7, 1))[0].as_py() and len(work(texts.slice(0, 0))) == 0
+    assert textops._numeric_entities.func(texts)[7].as_py() == "Abc. " * 600 + "7"
+    assert chunking._split_all(texts, 1500, 200, False)[7].as_py() == chunking.split_long(texts[7].as_py(), 1500, 200)

@@ -5,14 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
 from . import tagging
 from .matching import any_among, hits, literal
-from .textops import SPACE, head, normalize, strip
+from .textops import SPACE, head, normalize, slices, strip
 from .vocab import Vocab
 
 SENTENCE_END = re.compile(r"(?<=[。？！.?!])\s*")
@@ -64,6 +64,11 @@ def split_long(text: str, max_chars: int, overlap: int, dedupe_tail: bool = Fals
     return done
 
 
+def _split_all(texts: pa.Array, max_chars: int, overlap: int, dedupe_tail: bool) -> pa.Array:
+    kind, cut = pa.list_(pa.string()), lambda t: None if t is None else split_long(t, max_chars, overlap, dedupe_tail)
+    return pa.chunked_array([pa.array(map(cut, some.to_pylist()), kind) for some in slices(texts)], kind).combine_chunks()
+
+
 def folded(text: Column, max_chars: int, overlap: int, dedupe_tail: bool = False) -> Column:
     """What :func:`split_long` returns, as a fold over the sentences without Python.
 
@@ -98,9 +103,9 @@ def chunks(text: Column, max_chars: int = 1500, overlap: int = 200, dedupe_tail:
     if fold:
         return F.when(F.length(text) > max_chars, folded(text, max_chars, overlap, dedupe_tail)).otherwise(F.array(text))
 
-    @F.pandas_udf("array<string>")
-    def long_texts(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else split_long(t, max_chars, overlap, dedupe_tail))
+    @F.arrow_udf("array<string>")
+    def long_texts(texts: pa.Array) -> pa.Array:
+        return _split_all(texts, max_chars, overlap, dedupe_tail)
 
     long = F.when(F.length(text) > max_chars, text)  # short texts cross to Python as nulls
     return F.coalesce(long_texts(long), F.array(text))
