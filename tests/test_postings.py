@@ -52,6 +52,17 @@ def test_segments(spark, tmp_path):
     assert rows(index.search(queries, 5).rows) == rows(plain) == rows(merged.search(queries, 5).rows)
 
 
+def test_void_entries_are_looked_up(spark, tmp_path):
+    """A posting is looked up among its block's void ids, not compared with each of them."""
+    docs = spark.range(-40, 200).select(F.col("id").alias("doc_id"), F.concat(F.lit("x y"), F.col("id").cast("string")).alias("content"))
+    index = postings.Index(spark, str(tmp_path), width=64, parts=2)
+    index.add(docs, 0, ["content"])
+    index.add(docs.filter("doc_id % 3 = 0"), 1, ["content"], removed=docs.filter("pmod(doc_id, 5) = 1"))
+    found = index.entries()
+    assert "exists(void" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["doc_id"] for r in found.filter("token = 'x'").collect()) == [i for i in range(-40, 200) if i % 3 == 0 or i % 5 != 1]
+
+
 def test_blocks_are_skipped(spark, tmp_path):
     rare = F.when(F.pmod("id", F.lit(1000)) == 7, F.lit("rare rare rare ")).otherwise(F.lit(""))
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(rare, F.lit("common "), F.repeat(F.lit("x "), F.pmod("id", F.lit(40)).cast("int"))).alias("content"))

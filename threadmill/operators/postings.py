@@ -27,10 +27,20 @@ DOCS_DDL = "doc_id long, field string, length long, segment int"
 GONE_DDL = "doc_id long, before int"
 #: Ids of a block, and folders of a segment.
 WIDTH, PARTS = 4096, 64
+#: Ids whose lists a file holds.
+FILE_IDS = 1 << 16
 #: Bytes of queries that one search takes.
 QUERY_BYTES = 32 << 20
 
 
+def _dense(some: list, width: int) -> list[int]:
+    """``some`` (place, before) as a list of ``width`` numbers, 0 where there is none."""
+    every = [0] * width
+    for place, before in some:
+        every[place] = before
+    return every
+
+
 def part_of(token: Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(parts)).cast("int")
 
@@ -82,16 +92,21 @@ class Index:
             "token", "field", "block", F.col("all.doc_id").alias("docs"), F.col("all.tf").alias("tf"), F.col("all.length").alias("lengths"),
             F.array_max("all.tf").alias("max_tf"), F.array_min("all.length").alias("min_length"), F.lit(segment).alias("segment"), part_of(F.col("token"), self.parts).alias("part"),
         )
-        # sorted, so that a token's blocks follow each other in few row groups
-        rows.repartition("part").sortWithinPartitions("part", "token", "field", "block").write.mode("append").partitionBy("segment", "part").parquet(f"{self.root}/lists")
+        # sorted, so that a token's blocks follow each other in few row groups; a folder's blocks are dealt to
+        # tasks by ranges of ids, so that there are more tasks than folders where the index is large
+        rows.repartition("part", F.floor(F.col("block") * self.width / FILE_IDS)).sortWithinPartitions("part", "token", "field", "block").write.mode("append").partitionBy("segment", "part").parquet(f"{self.root}/lists")
 
     def live(self, lists: DataFrame) -> DataFrame:
         """``lists`` as (token, field, block, all) of documents that are not void, one row for all segments; empty ones stay out."""
-        void = self.gone().groupBy(F.floor(F.col("doc_id") / self.width).alias("block")).agg(F.collect_list(F.struct("doc_id", "before")).alias("void"))
+        block, place = F.floor(F.col("doc_id") / self.width).alias("block"), F.pmod("doc_id", F.lit(self.width)).cast("int")
+        # a place for every id of a block, so that a posting is looked up and not searched for
+        width = self.width
+        befores = F.udf(lambda some: _dense(some, width), "array<int>")
+        void = self.gone().groupBy(block).agg(F.collect_list(F.struct(place.alias("place"), "before")).alias("some")).select("block", befores("some").alias("void"))
         zipped = F.arrays_zip(F.col("docs").alias("doc_id"), F.col("tf"), F.col("lengths").alias("length"))
         joined = lists.withColumn("all", zipped).join(void, "block", "left")
         kept = F.when(F.col("void").isNull(), F.col("all")).otherwise(
-            F.filter("all", lambda p: ~F.exists("void", lambda v: (v["doc_id"] == p["doc_id"]) & (v["before"] > F.col("segment"))))
+            F.filter("all", lambda p: F.get("void", F.pmod(p["doc_id"], F.lit(self.width)).cast("int")) <= F.col("segment"))
         )
         some = joined.withColumn("kept", kept).filter(F.size("kept") > 0)
         # one list of a block in each segment
