@@ -200,3 +200,14 @@ def test_floors_of_a_giant_thread(spark):
     key = ["tid", "page", "position", "floor"]
     assert one.count() == 200_006 and one.select(*key).exceptAll(other.select(*key)).count() == 0
     assert [r["floor"] for r in one.filter("tid = 2").orderBy("page", "position").collect()] == [1, 2, 3, 4, 5]
+
+
+def test_unseen_shuffles_little(spark):
+    """Archived posts are left out before what is new is compared; of repeated ones the same stays."""
+    stored = spark.createDataFrame([(1, 1)], "tid long, floor int")
+    parsed = spark.createDataFrame([("a", 1, 1), ("b", 1, 2), ("c", 1, 2), ("c", None, 2)], "v string, tid long, floor int")
+    found = incremental.unseen_floors(parsed, stored)
+    best = archive.one_each(parsed.filter("tid = 1 and floor = 2"), ["tid", "floor"]).first()["v"]
+    assert sorted(map(str, found.select("tid", "floor", "v").collect())) == sorted(map(str, spark.createDataFrame([(1, 2, best), (None, 2, "c")], "tid long, floor int, v string").collect()))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftAnti")

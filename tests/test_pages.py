@@ -162,3 +162,37 @@ def test_harvest(spark, tmp_path):
     assert found.rejects.count() == 1 and found.listings.count() == 2
     same = harvest.update_archive(found, found, "http://f", last_crawl="t2")
     assert same.posts.count() == 3 and {r["last_crawl"] for r in same.threads.collect()} == {"t1"}
+
+
+def test_text_cleaned_once(spark):
+    """Judging whether a post is kept does not clean its text once more."""
+    found = pages.thread_posts(frame(spark, '<p class="author"><strong>a</strong></p>b &#99; <br>c<p class="author"></p> <p class="author"></p>d'))
+    assert [(r["position"], r["author"], r["content"]) for r in found.orderBy("position").collect()] == [(0, "a", "b c \nc"), (2, "未知", "d")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("</?div[^>]*>") == 1
+
+
+def test_written_update(spark, tmp_path):
+    """An update written under a root has the tables of one that is a plan, its added posts are there once, and again it adds none."""
+    from threadmill.operators import harvest
+
+    block = '<p class="author"><strong>a</strong> 发表于 2026-4-3 10:52:36</p>{}'
+    html = {
+        "http://f/forum.php": '<a href="forum.php?mod=forumdisplay&fid=2">b</a>',
+        "http://f/?fid-2.html": '<li><a href="?tid-7.html">2026春</a></li><li><a href="?tid-9.html">new</a></li>',
+        "http://f/?tid-7.html": block.format("one") + block.format("two"),
+        "http://f/?tid-9.html": block.format("three three"),
+    }
+    rows = [(u, h, None) for u, h in html.items()]
+    made = lambda some, crawl, name: harvest.archive_pages(spark.createDataFrame(some, "url string, html string, fetched_at timestamp"), "http://f", pages.board_dimension(spark), last_crawl=crawl, root=f"{tmp_path}/{name}")
+    cut = [(u, block.format("one") if "tid-7" in u else h.partition("<li><a href=\"?tid-9")[0], t) for u, h, t in rows if "tid-9" not in u]
+    old, landed = made(cut, "t1", "old"), made(rows, "t2", "landed")
+    plan = harvest.update_archive(old, landed, "http://f", last_crawl="t2")
+    new = harvest.update_archive(old, landed, "http://f", last_crawl="t2", root=f"{tmp_path}/new", version=2)
+    for name in ("boards", "listings", "posts", "threads", "index", "page_counts"):
+        both = [sorted(map(str, getattr(a, name).select(*sorted(getattr(a, name).columns)).collect())) for a in (plan, new)]
+        assert both[0] == both[1] and both[0], name
+    assert sorted((r["tid"], r["floor"]) for r in spark.read.parquet(f"{tmp_path}/new/added/v00000002").collect()) == [(7, 2), (9, 1)]
+    assert {(r["tid"], r["post_count"], r["last_crawl"]) for r in new.threads.collect()} == {(7, 2, "t2"), (9, 1, "t2")}
+    again = harvest.update_archive(new, landed, "http://f", last_crawl="t3", root=f"{tmp_path}/again", version=3)
+    assert spark.read.parquet(f"{tmp_path}/again/added/v00000003").count() == 0 and again.posts.count() == 3
