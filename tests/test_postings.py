@@ -5,6 +5,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +64,68 @@ def test_void_entries_are_looked_up(spark, tmp_path):
     assert sorted(r["doc_id"] for r in found.filter("token = 'x'").collect()) == [i for i in range(-40, 200) if i % 3 == 0 or i % 5 != 1]
 
 
+def test_lists_across_batches(monkeypatch):
+    """Blocks and fields that go on in the next slice or batch give one list of a token, in the order of the ids; null ids have a block of their own."""
+    rng = np.random.default_rng(5)
+    rows = [(i // 8, f, i, [f"w{w}" for w in rng.integers(0, 6, rng.integers(0, 9))]) for i in range(-20, 60) if i % 7 for f in ("a", "b")]
+    rows = [(None, "a", None, ["w1", "w1"]), (None, "a", None, [])] + sorted(rows, key=lambda r: r[:3])
+    expected = {}
+    for block, field, doc, words in rows:
+        for w in {"", *words}:
+            expected.setdefault((w, field, block), []).append((doc, words.count(w) if w else 1, len(words)))
+    schema = pa.schema([("block", pa.int64()), ("field", pa.string()), ("doc_id", pa.int64()), ("words", pa.list_(pa.string()))])
+    for slice_words, batch in ((3, 5), (20, 50), (1, 1), (1 << 19, 1000)):
+        monkeypatch.setattr(postings, "SLICE_WORDS", slice_words)
+        batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows[at : at + batch]], schema) for at in range(0, len(rows), batch)]
+        found = [r for b in postings._lists(iter(batches)) for r in b.to_pylist()]
+        assert len(found) == len(expected)
+        assert {(r["token"], r["field"], r["block"]): list(zip(r["docs"], r["tf"], r["lengths"])) for r in found} == expected
+    assert list(postings._lists(iter([]))) == []
+
+
+def test_lists_are_written_where_they_are(spark, tmp_path, monkeypatch):
+    """Indexing shuffles texts, not postings, and merging brings together only lists of one token and block in several segments."""
+    plans, write = [], postings.Index._write
+    monkeypatch.setattr(postings.Index, "_write", lambda self, lists, segment: (plans.append(lists), write(self, lists, segment)))
+    docs = corpus(spark)
+    index = postings.Index(spark, str(tmp_path / "i"), width=32, parts=4)
+    index.add(docs, 0, ["content"])
+    index.add(docs.filter("doc_id % 3 = 0").withColumn("content", F.lit("w3 once")), 1, ["content"], removed=docs.filter("doc_id % 5 = 1"))
+    exchanges = [[line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(" in line] for df in plans]
+    assert all(len(e) == 1 and "token" not in e[0] for e in exchanges)
+    files = {str(p) for p in (tmp_path / "i").rglob("*.parquet")}
+    merged = index.merged(str(tmp_path / "m"))
+    union = plans[-1]._jdf.queryExecution().optimizedPlan()
+    while union.nodeName() != "Union":
+        union = union.children().apply(0)
+    alone, shared = (union.children().apply(i).toString() for i in (0, 1))
+    assert "LeftAnti" in alone and "strategy=broadcast" in alone and "flatten(" not in alone and "flatten(" in shared
+    monkeypatch.setattr(postings, "KEY_BYTES", 0)
+    monkeypatch.setattr(postings, "VOID_BYTES", 0)
+    together = index.merged(str(tmp_path / "t"))
+    lists = lambda i: sorted(tuple(r) for r in i._read("lists", postings.LISTS_DDL).collect())
+    assert lists(merged) == lists(together) and {str(p) for p in (tmp_path / "i").rglob("*.parquet")} == files
+    assert merged._read("lists", postings.LISTS_DDL).groupBy(*postings.KEY).count().filter("count > 1").count() == 0
+    assert entries(merged) == entries(index) == entries(merged.merged(str(tmp_path / "again")))
+
+
+def test_documents_of_an_index(spark, tmp_path):
+    """Documents without words count, void ones do not, in every field, also after merging and adding to what was merged."""
+    rows = [(1, "a b", "t"), (2, "", None), (3, None, "x x y"), (-4, "c", ""), (900, "!", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, content string, title string")
+    index = postings.Index(spark, str(tmp_path / "i"), width=16, parts=3)
+    index.add(docs, 0, ["title", "content"])
+    lengths = lambda i: sorted((r["doc_id"], r["field"], r["length"]) for r in i.docs().collect())
+    assert lengths(index) == sorted([(1, "content", 2), (1, "title", 1), (2, "content", 0), (2, "title", 0), (3, "content", 0), (3, "title", 3), (-4, "content", 1), (-4, "title", 0), (900, "content", 0), (900, "title", 1)])
+    index.add(docs.filter("doc_id = 3").withColumn("content", F.lit("new word")), 1, ["title", "content"], removed=docs.filter("doc_id = 900"))
+    now = sorted([(1, "content", 2), (1, "title", 1), (2, "content", 0), (2, "title", 0), (3, "content", 2), (3, "title", 3), (-4, "content", 1), (-4, "title", 0)])
+    merged = index.merged(str(tmp_path / "m"))
+    assert lengths(index) == lengths(merged) == now
+    merged.add(docs.filter("doc_id = 900"), 1, ["title", "content"], removed=docs.filter("doc_id = 1"))
+    assert lengths(merged) == [d for d in now if d[0] != 1] + [(900, "content", 0), (900, "title", 1)]
+    assert sorted(tuple(r) for r in merged.entries().filter("field = 'title'").collect()) == [("x", "title", 3, 2), ("y", "title", 3, 1), ("z", "title", 900, 1)]
+
+
 def test_blocks_are_skipped(spark, tmp_path):
     rare = F.when(F.pmod("id", F.lit(1000)) == 7, F.lit("rare rare rare ")).otherwise(F.lit(""))
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(rare, F.lit("common "), F.repeat(F.lit("x "), F.pmod("id", F.lit(40)).cast("int"))).alias("content"))

@@ -3,9 +3,10 @@
 A segment is written once. Its lists have a row per token, field and block of
 ``width`` ids: the documents in order, how often each holds the token and how long it
 is, and two maxima that bound what any of them can score. Lists lie in folders by a hash of the
-token, so a search reads those of its tokens alone. Later documents make later
-segments; what they replace or remove is a list of ids, void in earlier segments.
-Merging makes one segment of all.
+token, so a search reads those of its tokens alone. Every document also holds the
+empty token, once, whose lists tell which documents there are and how long. Later
+documents make later segments; what they replace or remove is a list of ids, void in
+earlier segments. Merging makes one segment of all.
 """
 
 from __future__ import annotations
@@ -20,17 +21,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.textops import slices
-from .retrieval import tokens, with_counts
+from .retrieval import tokens
 
-LISTS_DDL = "token string, field string, block long, docs array<long>, tf array<long>, lengths array<long>, max_tf long, min_length long, segment int, part int"
-DOCS_DDL = "doc_id long, field string, length long, segment int"
+LISTS_DDL = "token string, field string, block long, docs array<long>, tf array<int>, lengths array<int>, max_tf int, min_length int, segment int, part int"
 GONE_DDL = "doc_id long, before int"
+#: What tells the lists of a segment apart.
+KEY = ("token", "field", "block")
 #: Ids of a block, and folders of a segment.
 WIDTH, PARTS = 4096, 64
-#: Ids whose lists a file holds.
-FILE_IDS = 1 << 16
 #: Bytes of queries that one search takes.
 QUERY_BYTES = 32 << 20
+#: Bytes of void ids, and of the keys of the smaller segments' lists, that go to every task.
+VOID_BYTES, KEY_BYTES = 64 << 20, 32 << 20
+#: Words that a task counts at a time.
+SLICE_WORDS = 1 << 19
 
 
 def _dense(some: list, width: int) -> list[int]:
@@ -45,21 +49,98 @@ def part_of(token: Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(parts)).cast("int")
 
 
+def _word_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Consecutive documents of ``batch`` with at most ``SLICE_WORDS`` words, or one."""
+    ends, start = np.cumsum(pc.list_value_length(batch.column("words")).to_numpy()), 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_WORDS, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+def _begins(*columns: np.ndarray) -> np.ndarray:
+    """Where any of ``columns`` differs from the place before."""
+    new = np.zeros(max(len(columns[0]) - 1, 0), dtype=bool)
+    for c in columns:
+        new |= c[1:] != c[:-1]
+    return np.flatnonzero(np.r_[True, new][: len(columns[0])])
+
+
+def _lists_of(rows: pa.RecordBatch, group: np.ndarray) -> tuple[pa.Table, np.ndarray]:
+    """token, field, block, docs, tf, lengths of some documents, which are in the order of ``group``; and the lists' groups, in order."""
+    sizes = pc.list_value_length(rows.column("words")).to_numpy()
+    words = rows.column("words").flatten().dictionary_encode()
+    every, number = np.arange(len(sizes), dtype=np.int32), len(words.dictionary)  # of the empty token, which is in no text
+    doc, code = np.r_[np.repeat(every, sizes), every], _small(np.r_[words.indices.to_numpy(), np.full(len(sizes), number, dtype=np.int32)])
+    order = np.argsort(code, kind="stable")
+    if group[0] != group[-1]:
+        order = order[np.argsort(_small(group)[doc[order]], kind="stable")]  # both stable, so documents stay in order
+    code, doc = code[order], doc[order]
+    posting = _begins(code, doc)
+    tf = np.diff(np.r_[posting, len(code)]).astype(np.int32)
+    code, doc = code[posting], doc[posting]
+    of = _begins(code, group[doc])
+    offsets, first = pa.array(np.r_[of, len(code)].astype(np.int32)), pa.array(doc[of])
+    lists = [pa.ListArray.from_arrays(offsets, c) for c in (rows.column("doc_id").take(pa.array(doc)), pa.array(tf), pa.array(sizes[doc]))]
+    return pa.table([pa.concat_arrays([words.dictionary, pa.array([""])]).take(pa.array(code[of])), rows.column("field").take(first), rows.column("block").take(first), *lists], names=[*KEY, "docs", "tf", "lengths"]), group[doc[of]]
+
+
+def _joined(pieces: list[pa.Table]) -> pa.Table:
+    """Lists of one block and field, of consecutive documents, with those of a token in one."""
+    if len(pieces) == 1:
+        return pieces[0]
+    rows = pa.concat_tables(pieces).combine_chunks()
+    code = rows.column("token").combine_chunks().dictionary_encode().indices.to_numpy()
+    order = np.argsort(code, kind="stable")
+    rows, first = rows.take(pa.array(order)).combine_chunks(), _begins(code[order])
+    ends = np.r_[0, np.cumsum(pc.list_value_length(rows.column("docs").combine_chunks()).to_numpy())]
+    offsets = pa.array(ends[np.r_[first, len(order)]].astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, rows.column(c).combine_chunks().flatten()) for c in ("docs", "tf", "lengths")]
+    return pa.table([*(rows.column(c).take(pa.array(first)) for c in KEY), *lists], names=rows.column_names)
+
+
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lists of documents (block, field, doc_id, words) that come in this order, whole blocks of them."""
+    pieces: list[pa.Table] = []  # of the last block, which may go on
+    last = None
+    for batch in batches:
+        for rows in _word_slices(batch):
+            block, field = rows.column("block"), rows.column("field").dictionary_encode().indices.to_numpy()
+            # ids may be null, and so are their blocks
+            starts = _begins(pc.fill_null(block, 0).to_numpy(), block.is_null().to_numpy(zero_copy_only=False), field)
+            group = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(field)]))
+            lists, of = _lists_of(rows, group)
+            key = lambda at: (block[at].as_py(), rows.column("field")[at].as_py())
+            if pieces and last != key(0):
+                yield from _joined(pieces).to_batches(10_000)
+                pieces = []
+            inner, end = np.searchsorted(of, [1, of[-1]])
+            if end:
+                yield from _joined([*pieces, lists.slice(0, inner)]).to_batches(10_000)
+                yield from lists.slice(inner, end - inner).to_batches(10_000)
+                pieces = []
+            pieces.append(lists.slice(end))
+            last = key(rows.num_rows - 1)
+    if pieces:
+        yield from _joined(pieces).to_batches(10_000)
+
+
 class Index:
     """The segments under ``root``, which all executors share."""
 
     def __init__(self, spark: SparkSession, root: str, width: int = WIDTH, parts: int = PARTS):
         self.spark, self.root, self.width, self.parts = spark, root.rstrip("/"), width, parts
 
+    def _exists(self, kind: str) -> bool:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
     def _read(self, kind: str, ddl: str) -> DataFrame:
-        path = f"{self.root}/{kind}"
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        if not hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
-            return self.spark.createDataFrame([], ddl)
-        return self.spark.read.schema(ddl).parquet(path)
+        return self.spark.read.schema(ddl).parquet(f"{self.root}/{kind}") if self._exists(kind) else self.spark.createDataFrame([], ddl)
 
     def lists(self) -> DataFrame:
-        return self._read("lists", LISTS_DDL)
+        return self._read("lists", LISTS_DDL).filter(F.col("token") != "")
 
     def gone(self) -> DataFrame:
         """doc_id, before: what segments with a smaller number hold of the document is void."""
@@ -67,19 +148,19 @@ class Index:
 
     def docs(self) -> DataFrame:
         """The documents that are not void, by field."""
-        gone = self.gone().withColumnRenamed("doc_id", "__id")
-        return self._read("docs", DOCS_DDL).join(gone, (F.col("doc_id") == F.col("__id")) & (F.col("segment") < F.col("before")), "left_anti")
+        every = self._read("lists", LISTS_DDL).filter((F.col("token") == "") & (F.col("part") == part_of(F.lit(""), self.parts)))
+        return self._kept(every).select("field", "segment", F.explode("all").alias("p")).select("p.doc_id", "field", F.col("p.length").cast("long").alias("length"), "segment")
 
     def add(self, docs: DataFrame, segment: int, fields: Sequence[str], doc_id: str = "doc_id", removed: DataFrame | None = None, **options) -> None:
-        """Write ``docs`` as a segment; earlier entries of these documents, and of ``removed`` ones, are void from then on."""
-        named = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), tokens(F.col(f), **options).alias("words")) for f in fields])).alias("f")
-        words = docs.select(F.col(doc_id).cast("long").alias("doc_id"), named).select("doc_id", "f.field", "f.words")
-        counts = with_counts(words).select("doc_id", "field", F.size("words").cast("long").alias("length"), "counts")
-        counts.select("doc_id", "field", "length", F.lit(segment).alias("segment")).write.mode("append").partitionBy("segment").parquet(f"{self.root}/docs")
-        each = counts.select("doc_id", "field", "length", F.explode_outer("counts").alias("c")).filter("c is not null").select("doc_id", "field", "length", "c.token", "c.tf")
-        block = F.floor(F.col("doc_id") / self.width).alias("block")
-        lists = each.groupBy("token", "field", block).agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf", "length"))).alias("all"))
-        self._write(lists, segment)
+        """Write ``docs`` as a segment; earlier entries of these documents, and of ``removed`` ones, are void from then on.
+
+        Texts are shuffled once, by blocks of ids; words are listed, counted and gathered where a block's texts lie, so no posting is shuffled.
+        """
+        named = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("text")) for f in fields])).alias("f")
+        texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), named).select(F.floor(F.col("doc_id") / self.width).alias("block"), "f.field", "doc_id", "f.text")
+        ordered = texts.repartition("block").sortWithinPartitions("block", "field", "doc_id")
+        words = ordered.select("block", "field", "doc_id", tokens(F.col("text"), **options).alias("words"))
+        self._write(words.mapInArrow(_lists, "token string, field string, block long, docs array<long>, tf array<int>, lengths array<int>"), segment)
         gone = docs.select(F.col(doc_id).cast("long").alias("doc_id"))
         if removed is not None:
             gone = gone.unionByName(removed.select(F.col(doc_id).cast("long").alias("doc_id")))
@@ -87,40 +168,59 @@ class Index:
             gone.distinct().withColumn("before", F.lit(segment)).write.mode("append").parquet(f"{self.root}/gone")
 
     def _write(self, lists: DataFrame, segment: int) -> None:
-        """``lists``: token, field, block, all (at most ``width`` entries, in order)."""
+        """``lists``: token, field, block, docs, tf, lengths (at most ``width`` documents, in order). They are written where they are."""
         rows = lists.select(
-            "token", "field", "block", F.col("all.doc_id").alias("docs"), F.col("all.tf").alias("tf"), F.col("all.length").alias("lengths"),
-            F.array_max("all.tf").alias("max_tf"), F.array_min("all.length").alias("min_length"), F.lit(segment).alias("segment"), part_of(F.col("token"), self.parts).alias("part"),
+            *KEY, "docs", "tf", "lengths", F.array_max("tf").alias("max_tf"), F.array_min("lengths").alias("min_length"),
+            F.lit(segment).alias("segment"), part_of(F.col("token"), self.parts).alias("part"),
         )
-        # sorted, so that a token's blocks follow each other in few row groups; a folder's blocks are dealt to
-        # tasks by ranges of ids, so that there are more tasks than folders where the index is large
-        rows.repartition("part", F.floor(F.col("block") * self.width / FILE_IDS)).sortWithinPartitions("part", "token", "field", "block").write.mode("append").partitionBy("segment", "part").parquet(f"{self.root}/lists")
-
-    def live(self, lists: DataFrame) -> DataFrame:
-        """``lists`` as (token, field, block, all) of documents that are not void, one row for all segments; empty ones stay out."""
-        block, place = F.floor(F.col("doc_id") / self.width).alias("block"), F.pmod("doc_id", F.lit(self.width)).cast("int")
-        # a place for every id of a block, so that a posting is looked up and not searched for
+        # sorted, so that a token's blocks follow each other in few row groups
+        rows.sortWithinPartitions("part", *KEY).write.mode("append").option("compression", "zstd").partitionBy("segment", "part").parquet(f"{self.root}/lists")
+
+    def _kept(self, lists: DataFrame) -> DataFrame:
+        """token, field, block, segment, all: what is not void of each list; empty ones stay out. No list is shuffled unless there are over ``VOID_BYTES`` of void ids."""
+        rows = lists.withColumn("all", F.arrays_zip(F.col("docs").alias("doc_id"), F.col("tf"), F.col("lengths").alias("length")))
+        if not self._exists("gone"):
+            return rows.select(*KEY, "segment", "all")
         width = self.width
+        block, place = F.floor(F.col("doc_id") / width).alias("block"), F.pmod("doc_id", F.lit(width)).cast("int")
+        # a place for every id of a block, so that a posting is looked up and not searched for
         befores = F.udf(lambda some: _dense(some, width), "array<int>")
         void = self.gone().groupBy(block).agg(F.collect_list(F.struct(place.alias("place"), "before")).alias("some")).select("block", befores("some").alias("void"))
-        zipped = F.arrays_zip(F.col("docs").alias("doc_id"), F.col("tf"), F.col("lengths").alias("length"))
-        joined = lists.withColumn("all", zipped).join(void, "block", "left")
-        kept = F.when(F.col("void").isNull(), F.col("all")).otherwise(
-            F.filter("all", lambda p: F.get("void", F.pmod(p["doc_id"], F.lit(self.width)).cast("int")) <= F.col("segment"))
-        )
-        some = joined.withColumn("kept", kept).filter(F.size("kept") > 0)
+        if self._read("gone", GONE_DDL).select(block).distinct().count() * width * 4 <= VOID_BYTES:
+            void = F.broadcast(void)
+        kept = F.when(F.col("void").isNull(), F.col("all")).otherwise(F.filter("all", lambda p: F.get("void", F.pmod(p["doc_id"], F.lit(width)).cast("int")) <= F.col("segment")))
+        return rows.join(void, "block", "left").withColumn("kept", kept).filter(F.size("kept") > 0).select(*KEY, "segment", F.col("kept").alias("all"))
+
+    def live(self, lists: DataFrame) -> DataFrame:
+        """``lists`` as (token, field, block, all) of documents that are not void, one row for all segments; empty ones stay out."""
         # one list of a block in each segment
-        return some.groupBy("token", "field", "block").agg(F.array_sort(F.flatten(F.collect_list("kept"))).alias("all"))
+        return self._kept(lists).groupBy(*KEY).agg(F.array_sort(F.flatten(F.collect_list("all"))).alias("all"))
 
     def entries(self) -> DataFrame:
         """token, field, doc_id, tf of every live posting."""
-        return self.live(self.lists()).select("token", "field", F.explode("all").alias("p")).select("token", "field", "p.doc_id", "p.tf")
+        return self._kept(self.lists()).select("token", "field", F.explode("all").alias("p")).select("token", "field", "p.doc_id", F.col("p.tf").cast("long").alias("tf"))
 
     def merged(self, root: str) -> "Index":
-        """An index of one segment with the same live entries, under another root."""
-        other = Index(self.spark, root, self.width, self.parts)
-        other._write(self.live(self.lists()), 0)
-        self.docs().select("doc_id", "field", "length", F.lit(0).alias("segment")).write.mode("append").partitionBy("segment").parquet(f"{other.root}/docs")
+        """An index of one segment with the same live entries, under another root.
+
+        A list of the largest segment that no other segment continues is copied without its void entries, where it is read;
+        only lists of one token and block in several segments are brought together. Over ``KEY_BYTES`` of keys in the other segments, all are.
+        """
+        other, lists = Index(self.spark, root, self.width, self.parts), self._read("lists", LISTS_DDL)
+        sizes = lists.groupBy("segment").count().collect()  # a row per segment
+        largest = max(sizes, key=lambda r: r["count"])["segment"] if sizes else 0
+        rest, most = lists.filter(F.col("segment") != largest), lists.filter(F.col("segment") == largest)
+        if len(sizes) < 2:
+            rows = self._kept(most).select(*KEY, "all")
+        elif rest.agg(F.sum(F.octet_length("token") + F.octet_length("field") + 40)).first()[0] > KEY_BYTES:
+            rows = self.live(lists)
+        else:
+            parts = [r["part"] for r in rest.select("part").distinct().collect()]
+            keys = F.broadcast(rest.select(*KEY).distinct())
+            again = most.filter(F.col("part").isin(parts)).join(keys, list(KEY), "left_semi").select(*lists.columns)
+            alone = most.join(keys, list(KEY), "left_anti").select(*lists.columns)
+            rows = self._kept(alone).select(*KEY, "all").unionByName(self.live(again.unionByName(rest)))
+        other._write(rows.select(*KEY, F.col("all.doc_id").alias("docs"), F.col("all.tf").alias("tf"), F.col("all.length").alias("lengths")), 0)
         return other
 
     def search(self, queries: DataFrame, k: int = 10, field: str = "content", k1: float = 1.2, b: float = 0.75, query_id: str = "query_id", text: str = "text", seeds: int = 2) -> "Ranked":
